@@ -1,0 +1,5 @@
+"""Intentionally empty: the job is a full refresh over bounded tables.
+
+There is no unbounded source, no watermark and no state to keep, so a rerun of
+`thalweg.plans.run` is the only form of incremental work.
+"""
