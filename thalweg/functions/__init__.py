@@ -6,12 +6,12 @@ from thalweg.functions.codes import (
     strip_leading_zeros,
 )
 from thalweg.functions.geometry import (
-    distance,
-    edge_fraction,
     edges_of,
     explode_edges,
     force_3d,
+    measure_on_edge,
     positions_at_measure,
+    squared_distance_to_edge,
 )
 from thalweg.functions.keys import KEY_COLUMNS, event_id, hashed_key
 from thalweg.functions.measures import clamp_measure
@@ -19,8 +19,6 @@ from thalweg.functions.measures import clamp_measure
 __all__ = [
     "KEY_COLUMNS",
     "clamp_measure",
-    "distance",
-    "edge_fraction",
     "edges_of",
     "event_id",
     "explode_edges",
@@ -28,8 +26,10 @@ __all__ = [
     "hashed_key",
     "is_descendant_or_self",
     "joined_code",
+    "measure_on_edge",
     "path_order",
     "positions_at_measure",
+    "squared_distance_to_edge",
     "strip_dashes",
     "strip_leading_zeros",
 ]

@@ -29,30 +29,46 @@ def explode_edges(lines: DataFrame, *keep: str, vertices: str = "vertices") -> D
     return pairs.select(*keep, "edge_no", *ends)
 
 
-def edge_fraction(px: Column, py: Column, x1: Column, y1: Column, x2: Column, y2: Column) -> Column:
-    """Where along the edge (0..1) the closest point to (px, py) lies.
+def squared_distance_to_edge(px: Column, py: Column, edge: dict[str, Column]) -> Column:
+    """Squared planar distance from a point to the edge x1, y1, x2, y2.
 
-    A zero-length edge gives 0. The `coalesce` has to sit inside `least`, which
-    skips NULLs and would otherwise report 1.
+    Beyond an end the end itself counts, and its coordinates are used as they
+    are. That keeps the distance to a vertex bit-identical for the edges that
+    share it, which tie detection relies on. A zero-length edge is its start.
     """
-    dx, dy = x2 - x1, y2 - y1
-    along = (px - x1) * dx + (py - y1) * dy
-    share = along / F.nullif(dx * dx + dy * dy, F.lit(0.0))
-    return F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.coalesce(share, F.lit(0.0))))
+    e = _Edge(px, py, edge)
+    ax, ay, bx, by = px - e.x1, py - e.y1, px - e.x2, py - e.y2
+    across = ax * e.dy - ay * e.dx
+    return (
+        F.when(e.before_start, ax * ax + ay * ay)
+        .when(e.past_end, bx * bx + by * by)
+        .otherwise(across * across / e.length2)
+    )
 
 
-def between_ends(t: Column, start: Column, end: Column) -> Column:
-    """Linear interpolation that returns the end values exactly at 0 and 1.
+def measure_on_edge(px: Column, py: Column, edge: dict[str, Column]) -> Column:
+    """M of the edge at its closest position to the point."""
+    e = _Edge(px, py, edge)
+    m1, m2 = edge["m1"], edge["m2"]
+    inside = m1 + e.along / e.length2 * (m2 - m1)
+    return F.when(e.before_start, m1).when(e.past_end, m2).otherwise(inside)
 
-    Exact ends keep the distance to a vertex bit-identical for the two edges
-    that share it, which tie detection relies on.
-    """
-    return F.when(t >= 1.0, end).otherwise(start + t * (end - start))
 
+class _Edge:
+    """Shared terms: where the foot of the point falls on the edge's line."""
+
+    def __init__(self, px: Column, py: Column, edge: dict[str, Column]):
+        self.x1, self.y1, self.x2, self.y2 = (edge[c] for c in ("x1", "y1", "x2", "y2"))
+        self.dx, self.dy = self.x2 - self.x1, self.y2 - self.y1
+        self.length2 = self.dx * self.dx + self.dy * self.dy
+        self.along = (px - self.x1) * self.dx + (py - self.y1) * self.dy
+        self.before_start = self.along <= 0.0
+        self.past_end = self.along >= self.length2
 
-def distance(px: Column, py: Column, qx: Column, qy: Column) -> Column:
-    dx, dy = px - qx, py - qy
-    return F.sqrt(dx * dx + dy * dy)
+
+def between_ends(t: Column, start: Column, end: Column) -> Column:
+    """Linear interpolation that returns the end value exactly at 1."""
+    return F.when(t >= 1.0, end).otherwise(start + t * (end - start))
 
 
 def positions_at_measure(vertices: str | Column, measure: str | Column) -> Column:

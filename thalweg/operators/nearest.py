@@ -24,11 +24,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from thalweg.functions import distance, edge_fraction, explode_edges
-from thalweg.functions.geometry import between_ends
+from thalweg.functions import explode_edges, measure_on_edge, squared_distance_to_edge
+from thalweg.operators.skew import SLICE, copy_to_slices, hot_keys, spread
 
 DEFAULT_K = 100
 DEFAULT_RADIUS = 1500.0
+POINTS_PER_SLICE = 50_000
 
 CELL = "cell"
 
@@ -44,6 +45,7 @@ def nearest_lines(
     carry: Sequence[str] = (),
     line_id: str = "linear_feature_id",
     keep_cell: bool = False,
+    points_per_slice: int = POINTS_PER_SLICE,
 ) -> DataFrame:
     """The `k` nearest lines of every point, nearer than `radius`.
 
@@ -58,29 +60,25 @@ def nearest_lines(
     """
     size = float(cell_size or radius)
     located = _located_points(points, by, size)
-    hot = _hot_cells(located)
-    found = _spread_points(located, hot, by).join(
-        _spread_edges(_edge_cells(lines, line_id, carry, size, radius), hot), CELL
-    )
+    hot = hot_keys(located, ("cx", "cy"), points_per_slice)
+    edges = _edge_cells(lines, line_id, carry, size, radius)
+    left = spread(located, hot, ("cx", "cy"), by).select(_cell_id().alias(CELL), *by, "px", "py")
+    right = copy_to_slices(edges, hot, ("cx", "cy")).withColumn(CELL, _cell_id())
+    found = left.hint("merge").join(right.drop("cx", "cy", SLICE), CELL)
 
+    edge = {c: F.col(c) for c in ("x1", "y1", "x2", "y2", "m1", "m2")}
     px, py = F.col("px"), F.col("py")
-    ends = [F.col(c) for c in ("x1", "y1", "x2", "y2")]
-    x1, y1, x2, y2 = ends
-    t = F.col("t")
     group = [CELL, *by, line_id, *carry]
-    pairs = (
-        found.withColumn("t", edge_fraction(px, py, x1, y1, x2, y2))
-        .withColumn("distance", distance(px, py, between_ends(t, x1, x2), between_ends(t, y1, y2)))
-        .where(F.col("distance") < radius)
-        .select(*group, "distance", between_ends(t, F.col("m1"), F.col("m2")).alias("measure"))
-    )
-    per_line = (
-        pairs.groupBy(*group)
-        .agg(F.min(F.struct("distance", "measure")).alias("best"))
-        .select(*group, "best.distance", "best.measure")
+    squared = squared_distance_to_edge(px, py, edge)
+    # a generous cut while joining; the exact one follows on the distance itself
+    pairs = found.where(squared < F.lit(radius * radius * (1 + 1e-12))).select(
+        *group, F.sqrt(squared).alias("distance"), measure_on_edge(px, py, edge).alias("measure")
     )
+    closest_edge = Window.partitionBy(CELL, *by, line_id).orderBy("distance", "measure")
+    per_line = pairs.withColumn("_place", F.row_number().over(closest_edge)).where("_place = 1")
+    reached = per_line.drop("_place").where(F.col("distance") < radius)
     nearest_first = Window.partitionBy(CELL, *by).orderBy("distance", line_id)
-    top = per_line.withColumn("_place", F.row_number().over(nearest_first)).where(F.col("_place") <= k)
+    top = reached.withColumn("_place", F.row_number().over(nearest_first)).where(F.col("_place") <= k)
     kept = ([CELL] if keep_cell else []) + [*by, line_id, *carry, "distance", "measure"]
     return top.select(*kept)
 
@@ -100,29 +98,10 @@ def _located_points(points: DataFrame, by: Sequence[str], size: float) -> DataFr
     )
 
 
-def _hot_cells(located: DataFrame) -> DataFrame:
-    """Cells with more points than an average shuffle partition, and their slices.
-
-    Each such cell holds over 1/partitions of all points, so there are fewer
-    than `partitions` of them.
-    """
-    partitions = int(located.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    counts = located.groupBy("cx", "cy").agg(F.count("*").alias("n"))
-    total = located.agg(F.count("*").alias("n")).scalar()
-    share = F.col("n") * F.lit(partitions) / total
-    return counts.where(share > 1).select("cx", "cy", F.ceil(share).cast("int").alias("slices"))
-
-
-def _spread_points(located: DataFrame, hot: DataFrame, by: Sequence[str]) -> DataFrame:
-    piece = F.pmod(F.xxhash64(*by), F.coalesce("slices", F.lit(1)))
-    joined = located.join(F.broadcast(hot), ["cx", "cy"], "left")
-    return joined.select(F.xxhash64("cx", "cy", piece).alias(CELL), *by, "px", "py")
-
-
-def _spread_edges(edges: DataFrame, hot: DataFrame) -> DataFrame:
-    pieces = F.sequence(F.lit(0).cast("long"), F.coalesce("slices", F.lit(1)).cast("long") - 1)
-    joined = edges.join(F.broadcast(hot), ["cx", "cy"], "left").withColumn("piece", F.explode(pieces))
-    return joined.withColumn(CELL, F.xxhash64("cx", "cy", "piece")).drop("cx", "cy", "piece", "slices")
+def _cell_id() -> Column:
+    """One number per cell and slice. Should two ever share a number, their
+    pairs meet needlessly and the distance sorts them out."""
+    return F.xxhash64("cx", "cy", SLICE)
 
 
 def _edge_cells(

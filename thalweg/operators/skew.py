@@ -1,38 +1,62 @@
-"""An equi-join that stays even when one key holds much of the large side."""
+"""Keeping equi-joins even when one key holds much of a table.
+
+A key with many rows is cut into numbered slices; the other side gets one copy
+of its rows per slice. Results don't depend on which keys are cut or how often,
+so only the largest keys need to be listed, which bounds the list.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+MAX_HOT_KEYS = 10_000
+ROWS_PER_SLICE = 1_000_000
+
+SLICE = "_slice"
 
-def join_to_unique(large: DataFrame, unique: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
-    """Join `large` to a side that has at most one row per `on` combination.
 
-    A key with more rows than an average shuffle partition is split: its rows
-    go to numbered slices and its one row on the unique side is copied to each.
-    Fewer keys than shuffle partitions can be that frequent, and the slices add
-    up to less than twice the partitions, which bounds the broadcast list and
-    the copies.
+def hot_keys(df: DataFrame, on: Sequence[str], rows_per_slice: int) -> DataFrame:
+    """The keys with more than `rows_per_slice` rows and their number of `slices`.
+
+    At most the `MAX_HOT_KEYS` largest are listed, so the result is safe to
+    broadcast. Any key left out holds under 1/MAX_HOT_KEYS of the table.
     """
-    partitions = int(large.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keys = large.select(*on)
-    total = keys.agg(F.count("*").alias("n")).scalar()
-    share = F.col("n") * F.lit(partitions) / total
-    hot = (
-        keys.groupBy(*on)
-        .agg(F.count("*").alias("n"))
-        .where(share > 1)
-        .select(*on, F.ceil(share).cast("long").alias("_slices"))
-    )
-    hot = F.broadcast(hot)
-    one = F.coalesce("_slices", F.lit(1).cast("long"))
-    rest = [c for c in large.columns if c not in on]
-    piece = F.pmod(F.xxhash64(*(rest or on)), one)
-    spread = large.join(hot, list(on), "left").withColumn("_piece", piece).drop("_slices")
-    copies = unique.join(hot, list(on), "left").withColumn(
-        "_piece", F.explode(F.sequence(F.lit(0).cast("long"), one - 1))
-    )
-    return spread.join(copies.drop("_slices"), [*on, "_piece"], how).drop("_piece")
+    counts = df.groupBy(*on).agg(F.count("*").alias("n")).where(F.col("n") > rows_per_slice)
+    largest = counts.orderBy(F.col("n").desc(), *on).limit(MAX_HOT_KEYS)
+    return largest.select(*on, F.ceil(F.col("n") / rows_per_slice).cast("long").alias("slices"))
+
+
+def spread(df: DataFrame, hot: DataFrame, on: Sequence[str], by: Sequence[str]) -> DataFrame:
+    """Give every row of the large side one slice of its key, chosen by `by`."""
+    joined = df.join(F.broadcast(hot), list(on), "left")
+    return joined.withColumn(SLICE, F.pmod(F.xxhash64(*by), _slices())).drop("slices")
+
+
+def copy_to_slices(df: DataFrame, hot: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Repeat every row of the other side for each slice of its key."""
+    joined = df.join(F.broadcast(hot), list(on), "left")
+    every = F.sequence(F.lit(0).cast("long"), _slices() - 1)
+    return joined.withColumn(SLICE, F.explode(every)).drop("slices")
+
+
+def join_to_unique(
+    large: DataFrame,
+    unique: DataFrame,
+    on: Sequence[str],
+    by: Sequence[str],
+    rows_per_slice: int = ROWS_PER_SLICE,
+) -> DataFrame:
+    """Inner join with a side that has at most one row per `on` combination.
+
+    `by` are columns of `large` that tell its rows apart within a key.
+    """
+    hot = hot_keys(large, on, rows_per_slice)
+    left, right = spread(large, hot, on, by), copy_to_slices(unique, hot, on)
+    return left.join(right, [*on, SLICE]).drop(SLICE)
+
+
+def _slices() -> Column:
+    return F.coalesce("slices", F.lit(1).cast("long"))

@@ -120,7 +120,7 @@ def matches(keyed: DataFrame, sources: Sources, cell_size: float | None = None)
     """One row per matched observation: line, codes, unrounded measure, tag."""
     won = with_anchor_codes(winners(keyed, sources, cell_size), sources.streams)
     slim = with_profile(keyed).where("match_ref is not null").select("observation_key", *PROFILE)
-    joined = join_to_unique(slim, won, PROFILE)
+    joined = join_to_unique(slim, won, PROFILE, by=["observation_key"])
     return joined.select(
         "observation_key",
         "linear_feature_id",
@@ -153,7 +153,7 @@ def snapped(won: DataFrame, streams: DataFrame) -> DataFrame:
 def snap(keyed: DataFrame, won: DataFrame, streams: DataFrame) -> DataFrame:
     """The output table from keyed observations and their winners."""
     placed = snapped(won, streams).withColumnRenamed("distance", "distance_to_stream")
-    return join_to_unique(with_profile(keyed), placed, PROFILE).select(*OUTPUT_COLUMNS)
+    return join_to_unique(with_profile(keyed), placed, PROFILE, by=["observation_key"]).select(*OUTPUT_COLUMNS)
 
 
 def build(sources: Sources, point_type: str | None = None, cell_size: float | None = None) -> DataFrame:
