@@ -34,18 +34,15 @@ def rollup_events(observations: DataFrame, species: DataFrame, max_items: int =
         "species_id",
         F.col("distance_to_stream").alias("distance"),
     )
-    place = F.min_by(
-        F.struct("linear_feature_id", "wscode", "localcode", "watershed_group_code", "geom"),
-        F.struct("linear_feature_id", "observation_key"),
+    gathered = (
+        _in_parts(named, EVENT, "observation_key", max_items)
+        .groupBy(*EVENT, "part_no")
+        .agg(F.sort_array(F.collect_list(item)).alias("items"))
     )
-    parted = _in_parts(named, EVENT, "observation_key", max_items)
-    events = parted.groupBy(*EVENT, "part_no").agg(
-        F.sort_array(F.collect_list(item)).alias("items"), place.alias("place")
-    )
-    # all parts of an event show the same place
-    if_cut = F.col("part_no") > 0
-    first = events.where(~if_cut).select(*EVENT, F.col("place").alias("first_place"))
-    return _event_columns(events.drop("place").join(first, list(EVENT)))
+    place = F.struct("linear_feature_id", "wscode", "localcode", "watershed_group_code", "geom")
+    first = F.min_by(place, F.struct("linear_feature_id", "observation_key"))
+    places = observations.groupBy(*EVENT).agg(first.alias("place"))
+    return _event_columns(gathered.join(places, list(EVENT)))
 
 
 def _event_columns(events: DataFrame) -> DataFrame:
@@ -55,18 +52,18 @@ def _event_columns(events: DataFrame) -> DataFrame:
     return events.select(
         event_id(*EVENT).alias("fish_obsrvtn_event_id"),
         "part_no",
-        "first_place.linear_feature_id",
-        F.col("first_place.wscode").alias("wscode_ltree"),
-        F.col("first_place.localcode").alias("localcode_ltree"),
+        "place.linear_feature_id",
+        F.col("place.wscode").alias("wscode_ltree"),
+        F.col("place.localcode").alias("localcode_ltree"),
         "blue_line_key",
-        "first_place.watershed_group_code",
+        "place.watershed_group_code",
         "downstream_route_measure",
         column("match_type").alias("match_types"),
         column("obs_id").alias("obs_ids"),
         column("species_code").alias("species_codes"),
         column("species_id").alias("species_ids"),
         column("distance").alias("distances_to_stream"),
-        "first_place.geom",
+        "place.geom",
     )
 
 
@@ -80,9 +77,9 @@ def rollup_unmatched(
 ) -> DataFrame:
     """Distinct positions of unmatched observations, gathered like events.
 
-    A position is named by its lowest observation id; the distance is that to
-    the closest candidate line, NULL where none is in reach. Every observation
-    of a position has the same candidates.
+    A row is named by its lowest observation id; the distance is that to the
+    closest candidate line, NULL where none is in reach. Every observation of a
+    position has the same candidates.
     """
     ids = species.select(F.col("code").alias("species_code"), "species_id")
     reach = candidates.groupBy("observation_key").agg(F.min("distance").alias("distance"))

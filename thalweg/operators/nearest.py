@@ -39,7 +39,7 @@ def nearest_lines(
     lines: DataFrame,
     *,
     by: Sequence[str],
-    k: int = DEFAULT_K,
+    k: int | None = DEFAULT_K,
     radius: float = DEFAULT_RADIUS,
     cell_size: float | None = None,
     carry: Sequence[str] = (),
@@ -47,7 +47,7 @@ def nearest_lines(
     keep_cell: bool = False,
     points_per_slice: int = POINTS_PER_SLICE,
 ) -> DataFrame:
-    """The `k` nearest lines of every point, nearer than `radius`.
+    """The `k` nearest lines of every point, nearer than `radius`; all if `k` is None.
 
     `points` has `x`, `y` and the `by` columns, which identify a point. `lines`
     has `line_id`, `vertices` and the `carry` columns. The result has `by`,
@@ -78,7 +78,9 @@ def nearest_lines(
     per_line = pairs.withColumn("_place", F.row_number().over(closest_edge)).where("_place = 1")
     reached = per_line.drop("_place").where(F.col("distance") < radius)
     nearest_first = Window.partitionBy(CELL, *by).orderBy("distance", line_id)
-    top = reached.withColumn("_place", F.row_number().over(nearest_first)).where(F.col("_place") <= k)
+    top = reached
+    if k is not None:
+        top = reached.withColumn("_place", F.row_number().over(nearest_first)).where(F.col("_place") <= k)
     kept = ([CELL] if keep_cell else []) + [*by, line_id, *carry, "distance", "measure"]
     return top.select(*kept)
 

@@ -75,7 +75,7 @@ def candidates(
     streams: DataFrame,
     *,
     by: tuple[str, ...],
-    k: int = DEFAULT_K,
+    k: int | None = DEFAULT_K,
     radius: float = DEFAULT_RADIUS,
     keep_cell: bool = False,
     cell_size: float | None = None,
@@ -107,11 +107,16 @@ def winners(keyed: DataFrame, sources: Sources, cell_size: float | None = None)
     """The matched line per distinct (x, y, profile)."""
     profiles = with_profile(keyed).where("match_ref is not null").select(*PROFILE).distinct()
     found = candidates(profiles, sources.streams, by=PROFILE, keep_cell=True, cell_size=cell_size)
-    pairs = waterbody_targets(sources.waterbody_dictionary, sources.waterbody_xref, sources.waterbodies)
-    flagged = flag_listed(found, listed_targets(pairs, sources.stream_xref))
+    flagged = flag_listed(found, all_targets(sources))
     return match_tiers(flagged, by=[CELL, *PROFILE]).drop(CELL)
 
 
+def all_targets(sources: Sources) -> DataFrame:
+    """What the waterbody and stream lookups connect, as one table."""
+    pairs = waterbody_targets(sources.waterbody_dictionary, sources.waterbody_xref, sources.waterbodies)
+    return listed_targets(pairs, sources.stream_xref)
+
+
 def with_profile(keyed: DataFrame) -> DataFrame:
     return keyed.withColumn("match_ref", match_profile())
 
