@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from thalweg.functions import joined_code, strip_dashes, strip_leading_zeros
+from thalweg.operators.grouping import first_per_group
 
 # Waterbody types, distance limits in metres and result tags.
 STILL_WATER = ("Lake", "Wetland")
@@ -25,6 +26,9 @@ TIER_C = "C. matched - stream; 100-500m; lookup"
 TIER_D = "D. matched - waterbody; construction line within 1500m; lookup"
 TIER_E = "E. matched - waterbody; construction line within 1500m; closest"
 
+# in the order in which they are tried
+TIER_RULES = (TIER_D, TIER_E, TIER_A, TIER_B, TIER_C)
+
 PROFILE = ("x", "y", "match_ref")
 
 _STILL, _FLOWING, _FLOWING_UNCODED = "W", "S", "U"
@@ -104,28 +108,26 @@ def match_tiers(candidates: DataFrame, *, by: Sequence[str]) -> DataFrame:
 
     All rules are judged in one pass over the candidates, at most `k` per group.
     """
-    w = Window.partitionBy(*by)
     d, listed = F.col("distance"), F.col("listed")
     still = F.col("match_ref").startswith(_STILL)
     near = d <= NEAR_LIMIT
     far = (d > NEAR_LIMIT) & (d < FAR_LIMIT)
-    rules = [
-        (TIER_D, still & listed),
-        (TIER_E, still),
-        (TIER_A, ~still & near & listed),
-        (TIER_B, ~still & near),
-        (TIER_C, ~still & far & listed),
-    ]
-    judged = candidates
-    for n, (_, accepts) in enumerate(rules):
-        judged = judged.withColumn(f"_d{n}", F.min(F.when(accepts, d)).over(w))
-    limits = [F.col(f"_d{n}") for n in range(len(rules))]
-    tier = F.coalesce(*[F.when(x.isNotNull(), F.lit(tag)) for x, (tag, _) in zip(limits, rules)])
-    at_limit = judged.withColumn("match_type", tier).where(d == F.coalesce(*limits))
-    in_reach = at_limit.where((F.col("match_type") != TIER_D) | F.col("waterbody_key").isNotNull())
-    order = Window.partitionBy(*by).orderBy(F.col("measure").asc_nulls_last(), "linear_feature_id")
-    placed = in_reach.withColumn("_place", F.row_number().over(order)).where("_place = 1")
-    return placed.drop("_place", "listed", *[f"_d{n}" for n in range(len(rules))])
+    # a candidate counts for the first rule that takes it; where no candidate
+    # counts for an earlier rule, that is every candidate a rule takes
+    rule = (
+        F.when(still & listed, TIER_RULES.index(TIER_D))
+        .when(still, TIER_RULES.index(TIER_E))
+        .when(near & listed, TIER_RULES.index(TIER_A))
+        .when(near, TIER_RULES.index(TIER_B))
+        .when(far & listed, TIER_RULES.index(TIER_C))
+    )
+    first = F.min(F.when(rule.isNotNull(), F.struct(rule.alias("rule"), d.alias("at"))))
+    decided = candidates.withColumn("_first", first.over(Window.partitionBy(*by)))
+    tag = F.element_at(F.array(*[F.lit(t) for t in TIER_RULES]), F.col("_first.rule") + 1)
+    at_limit = decided.where(d == F.col("_first.at")).withColumn("match_type", tag)
+    eligible = at_limit.where((F.col("match_type") != TIER_D) | F.col("waterbody_key").isNotNull())
+    order = [F.col("measure").asc_nulls_last(), F.col("linear_feature_id").asc()]
+    return first_per_group(eligible, by, order).drop("listed", "_first")
 
 
 def unmatched(observations: DataFrame, matches: DataFrame) -> DataFrame:

@@ -61,7 +61,10 @@ def nearest_lines(
     size = float(cell_size or radius)
     located = _located_points(points, by, size)
     hot = hot_keys(located, ("cx", "cy"), points_per_slice)
-    edges = _edge_cells(lines, line_id, carry, size, radius)
+    edges = explode_edges(lines, line_id, *carry).drop("edge_no", "z1", "z2")
+    if k is not None:
+        edges = _without_spare_copies(edges, line_id, k)
+    edges = _edge_cells(edges, size, radius)
     left = spread(located, hot, ("cx", "cy"), by).select(_cell_id().alias(CELL), *by, "px", "py")
     right = copy_to_slices(edges, hot, ("cx", "cy")).withColumn(CELL, _cell_id())
     found = left.hint("merge").join(right.drop("cx", "cy", SLICE), CELL)
@@ -106,9 +109,18 @@ def _cell_id() -> Column:
     return F.xxhash64("cx", "cy", SLICE)
 
 
-def _edge_cells(
-    lines: DataFrame, line_id: str, carry: Sequence[str], size: float, radius: float
-) -> DataFrame:
+def _without_spare_copies(edges: DataFrame, line_id: str, k: int) -> DataFrame:
+    """Of every set of coinciding edges keep those of the `k` lowest line ids.
+
+    A line further down the set always has `k` lines before it that are as near,
+    so it can't be among the `k` nearest through this edge.
+    """
+    same = Window.partitionBy("x1", "y1", "x2", "y2").orderBy(line_id)
+    # rank, so that a line that repeats an edge keeps all of its measures
+    return edges.withColumn("_place", F.dense_rank().over(same)).where(F.col("_place") <= k).drop("_place")
+
+
+def _edge_cells(edges: DataFrame, size: float, radius: float) -> DataFrame:
     """Edges once per grid cell that holds positions within `radius` of them.
 
     The cells are walked column by column; in each column only the part of the
@@ -116,7 +128,6 @@ def _edge_cells(
     along it and not its whole bounding box.
     """
     reach = radius * (1 + 1e-9) + 1e-6
-    edges = explode_edges(lines, line_id, *carry).drop("edge_no", "z1", "z2")
     x1, y1, x2, y2 = (F.col(c) for c in ("x1", "y1", "x2", "y2"))
     column = F.sequence(
         _index(F.least(x1, x2) - reach, size), _index(F.greatest(x1, x2) + reach, size)

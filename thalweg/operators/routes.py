@@ -29,18 +29,18 @@ def closest_per_route(
     one of them, the anchor: the tied line with the lowest id, reported as
     `anchor_id`. Lines without a route drop out.
     """
-    w = Window.partitionBy(*by, route).orderBy("distance", line_id)
-    from_anchor = ["measure", *anchored]
-    ranked = candidates.where(F.col(route).isNotNull()).select(
-        *by,
-        line_id,
-        route,
-        "distance",
-        F.first("distance").over(w).alias("_nearest"),
-        F.first(line_id).over(w).alias("anchor_id"),
-        *[F.first(c).over(w).alias(c) for c in from_anchor],
+    group = Window.partitionBy(*by, route)
+    # a rank filter is cut short while streaming, so later steps see ties only
+    tied = (
+        candidates.where(F.col(route).isNotNull())
+        .withColumn("_rank", F.rank().over(group.orderBy("distance")))
+        .where("_rank = 1")
+    )
+    anchor = group.orderBy(line_id)
+    from_anchor = [F.first(c).over(anchor).alias(c) for c in ("measure", *anchored)]
+    return tied.select(
+        *by, line_id, route, "distance", F.first(line_id).over(anchor).alias("anchor_id"), *from_anchor
     )
-    return ranked.where("distance = _nearest").drop("_nearest")
 
 
 def with_anchor_codes(matched: DataFrame, lines: DataFrame) -> DataFrame:
