@@ -21,7 +21,9 @@ from thalweg.operators import events, matching
 from thalweg.operators.grouping import duplicate_report, key_collisions, repeated_keys, with_observation_key
 from thalweg.operators.nearest import nearest_lines
 from thalweg.operators.routes import elevation_at, locate_along
+from thalweg.operators.skew import spread_join
 from thalweg.plans import Sources, build, lookups, snapping
+from thalweg.plans.staging import stage
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -51,7 +53,7 @@ def _text(array: Column | str) -> Column:
 
 
 def _keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return snapping.keyed_observations(standins.observations(spark, sf_dir))
+    return stage(snapping.keyed_observations(standins.observations(spark, sf_dir)), "keyed")
 
 
 def _date_text(df: DataFrame) -> DataFrame:
@@ -69,7 +71,7 @@ def obs_key(spark, sf_dir):
 
 @_query
 def obs_dedup(spark, sf_dir):
-    return _keyed(spark, sf_dir).select(
+    return snapping.keyed_observations(standins.observations(spark, sf_dir)).select(
         "observation_key", "fish_observation_point_id", "species_code", "waterbody_type", "x", "y"
     )
 
@@ -173,8 +175,9 @@ def _found(spark, sf_dir, k):
     """Search per distinct position, as the job does, then per observation."""
     keyed = _keyed(spark, sf_dir).select("observation_key", "x", "y")
     lines = snapping.eligible_streams(standins.streams(spark, sf_dir))
-    found = nearest_lines(keyed.select("x", "y").distinct(), lines, by=["x", "y"], k=k)
-    return keyed.join(found, ["x", "y"])
+    spots = stage(keyed.select("x", "y").distinct(), "spots")
+    found = nearest_lines(spots, lines, by=["x", "y"], k=k)
+    return spread_join(keyed, found, ["x", "y"], by=["observation_key"])
 
 
 @_query
@@ -233,8 +236,7 @@ def closest_per_route(spark, sf_dir):
 
 
 def _matches(spark, sf_dir) -> tuple[Sources, DataFrame, DataFrame]:
-    sources = standins.sources(spark, sf_dir)
-    keyed = snapping.keyed_observations(sources.observations)
+    sources, keyed = standins.sources(spark, sf_dir), _keyed(spark, sf_dir)
     return sources, keyed, snapping.matches(keyed, sources)
 
 
@@ -259,7 +261,7 @@ def waterbody_pairs(spark, sf_dir):
 @_query
 def stream_xref_candidates(spark, sf_dir):
     sources = standins.sources(spark, sf_dir)
-    keyed = snapping.with_profile(snapping.keyed_observations(sources.observations))
+    keyed = snapping.with_profile(_keyed(spark, sf_dir))
     flowing = keyed.where(~F.col("waterbody_type").isin(*matching.STILL_WATER))
     found = snapping.observation_candidates(flowing, sources.streams)
     refs = flowing.select("observation_key", "match_ref")
@@ -305,7 +307,7 @@ def unmatched_obs(spark, sf_dir):
 @_query
 def unmatched_rollup(spark, sf_dir):
     sources, keyed, matched = _matches(spark, sf_dir)
-    left = matching.unmatched(keyed, matched)
+    left = stage(matching.unmatched(keyed, matched), "unmatched")
     found = snapping.observation_candidates(left, sources.streams)
     rolled = events.rollup_unmatched(left, found, sources.species)
     return rolled.select(
@@ -424,7 +426,7 @@ def event_ids(spark, sf_dir):
 
 def _events(spark, sf_dir) -> tuple[Sources, DataFrame]:
     sources, snapped = _output(spark, sf_dir)
-    return sources, events.rollup_events(snapped, sources.species)
+    return sources, events.rollup_events(stage(snapped, "observations"), sources.species)
 
 
 @_query

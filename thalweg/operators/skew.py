@@ -18,45 +18,59 @@ ROWS_PER_SLICE = 1_000_000
 SLICE = "_slice"
 
 
-def hot_keys(df: DataFrame, on: Sequence[str], rows_per_slice: int) -> DataFrame:
+def hot_keys(df: DataFrame, on: Sequence[str], rows_per_slice: int) -> DataFrame | None:
     """The keys with more than `rows_per_slice` rows and their number of `slices`.
 
-    At most the `MAX_HOT_KEYS` largest are listed, so the result is safe to
-    broadcast. Any key left out holds under 1/MAX_HOT_KEYS of the table.
+    Runs one counting job at once, so that plans stay plain in the usual case
+    that there are none (None). At most the `MAX_HOT_KEYS` largest keys are
+    listed, which bounds what the driver holds and broadcasts; any key left out
+    has under 1/MAX_HOT_KEYS of the table.
     """
     counts = df.groupBy(*on).agg(F.count("*").alias("n")).where(F.col("n") > rows_per_slice)
-    largest = counts.orderBy(F.col("n").desc(), *on).limit(MAX_HOT_KEYS)
-    return largest.select(*on, F.ceil(F.col("n") / rows_per_slice).cast("long").alias("slices"))
+    slices = F.ceil(F.col("n") / rows_per_slice).cast("long").alias("slices")
+    listed = counts.orderBy(F.col("n").desc(), *on).limit(MAX_HOT_KEYS).select(*on, slices)
+    rows = listed.collect()
+    return df.sparkSession.createDataFrame(rows, listed.schema) if rows else None
 
 
-def spread(df: DataFrame, hot: DataFrame, on: Sequence[str], by: Sequence[str]) -> DataFrame:
+def spread(df: DataFrame, hot: DataFrame | None, on: Sequence[str], by: Sequence[str]) -> DataFrame:
     """Give every row of the large side one slice of its key, chosen by `by`."""
+    if hot is None:
+        return df.withColumn(SLICE, _zero())
     joined = df.join(F.broadcast(hot), list(on), "left")
     return joined.withColumn(SLICE, F.pmod(F.xxhash64(*by), _slices())).drop("slices")
 
 
-def copy_to_slices(df: DataFrame, hot: DataFrame, on: Sequence[str]) -> DataFrame:
+def copy_to_slices(df: DataFrame, hot: DataFrame | None, on: Sequence[str]) -> DataFrame:
     """Repeat every row of the other side for each slice of its key."""
+    if hot is None:
+        return df.withColumn(SLICE, _zero())
     joined = df.join(F.broadcast(hot), list(on), "left")
-    every = F.sequence(F.lit(0).cast("long"), _slices() - 1)
+    every = F.sequence(_zero(), _slices() - 1)
     return joined.withColumn(SLICE, F.explode(every)).drop("slices")
 
 
-def join_to_unique(
+def spread_join(
     large: DataFrame,
-    unique: DataFrame,
+    other: DataFrame,
     on: Sequence[str],
     by: Sequence[str],
     rows_per_slice: int = ROWS_PER_SLICE,
 ) -> DataFrame:
-    """Inner join with a side that has at most one row per `on` combination.
+    """Inner join whose `large` side may hold most of its rows under one key.
 
     `by` are columns of `large` that tell its rows apart within a key.
     """
     hot = hot_keys(large, on, rows_per_slice)
-    left, right = spread(large, hot, on, by), copy_to_slices(unique, hot, on)
+    if hot is None:
+        return large.join(other, list(on))
+    left, right = spread(large, hot, on, by), copy_to_slices(other, hot, on)
     return left.join(right, [*on, SLICE]).drop(SLICE)
 
 
+def _zero() -> Column:
+    return F.lit(0).cast("long")
+
+
 def _slices() -> Column:
     return F.coalesce("slices", F.lit(1).cast("long"))

@@ -19,7 +19,8 @@ from thalweg.operators.matching import (
 )
 from thalweg.operators.nearest import CELL, DEFAULT_K, DEFAULT_RADIUS, nearest_lines
 from thalweg.operators.routes import closest_per_route, locate_along, with_anchor_codes
-from thalweg.operators.skew import join_to_unique
+from thalweg.operators.skew import spread_join
+from thalweg.plans.staging import stage
 from thalweg.schemas import OBSERVATION_COLUMNS, OUTPUT_COLUMNS
 
 # The code of unconnected streams and the edge type left out.
@@ -98,14 +99,15 @@ def candidates(
 def observation_candidates(keyed: DataFrame, streams: DataFrame) -> DataFrame:
     """The candidates of every observation, searched once per distinct position."""
     at = ("x", "y")
-    spots = keyed.select(*at).distinct()
+    spots = stage(keyed.select(*at).distinct(), "spots")
     found = candidates(spots, streams, by=at)
-    return keyed.select("observation_key", *at).join(found, list(at)).drop(*at)
+    slim = keyed.select("observation_key", *at)
+    return spread_join(slim, found, at, by=["observation_key"]).drop(*at)
 
 
 def winners(keyed: DataFrame, sources: Sources, cell_size: float | None = None) -> DataFrame:
     """The matched line per distinct (x, y, profile)."""
-    profiles = with_profile(keyed).where("match_ref is not null").select(*PROFILE).distinct()
+    profiles = stage(with_profile(keyed).where("match_ref is not null").select(*PROFILE).distinct(), "profiles")
     found = candidates(profiles, sources.streams, by=PROFILE, keep_cell=True, cell_size=cell_size)
     flagged = flag_listed(found, all_targets(sources))
     return match_tiers(flagged, by=[CELL, *PROFILE]).drop(CELL)
@@ -125,7 +127,7 @@ def matches(keyed: DataFrame, sources: Sources, cell_size: float | None = None)
     """One row per matched observation: line, codes, unrounded measure, tag."""
     won = with_anchor_codes(winners(keyed, sources, cell_size), sources.streams)
     slim = with_profile(keyed).where("match_ref is not null").select("observation_key", *PROFILE)
-    joined = join_to_unique(slim, won, PROFILE, by=["observation_key"])
+    joined = spread_join(slim, won, PROFILE, by=["observation_key"])
     return joined.select(
         "observation_key",
         "linear_feature_id",
@@ -158,10 +160,10 @@ def snapped(won: DataFrame, streams: DataFrame) -> DataFrame:
 def snap(keyed: DataFrame, won: DataFrame, streams: DataFrame) -> DataFrame:
     """The output table from keyed observations and their winners."""
     placed = snapped(won, streams).withColumnRenamed("distance", "distance_to_stream")
-    return join_to_unique(with_profile(keyed), placed, PROFILE, by=["observation_key"]).select(*OUTPUT_COLUMNS)
+    return spread_join(with_profile(keyed), placed, PROFILE, by=["observation_key"]).select(*OUTPUT_COLUMNS)
 
 
 def build(sources: Sources, point_type: str | None = None, cell_size: float | None = None) -> DataFrame:
-    """The whole job as one lazy plan."""
-    keyed = keyed_observations(sources.observations, point_type)
+    """The whole job: two staged tables, then one lazy plan for the rest."""
+    keyed = stage(keyed_observations(sources.observations, point_type), "keyed")
     return snap(keyed, winners(keyed, sources, cell_size), sources.streams)

@@ -1,0 +1,33 @@
+"""Intermediate tables in the folder that the cluster shares."""
+
+from __future__ import annotations
+
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+
+CHECKPOINT_DIR = "spark.checkpoint.dir"
+
+
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write `df` once and go on from the written table.
+
+    Later steps read just the columns they need, don't repeat the work, and
+    survive the loss of executors without going back to the sources.
+    """
+    path = f"{_shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _shared_dir(spark: SparkSession) -> str:
+    """The session's checkpoint folder; in local mode one is made if unset."""
+    shared = spark.conf.get(CHECKPOINT_DIR, None)
+    if shared:
+        return shared.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError(f"{CHECKPOINT_DIR} must name a folder that all executors share")
+    own = tempfile.mkdtemp(prefix="thalweg-")
+    spark.conf.set(CHECKPOINT_DIR, own)
+    return own
