@@ -1,90 +1,56 @@
-"""Point geometries in well-known binary, decoded by column expressions.
+"""Point geometries in well-known binary, for sources without x and y columns.
 
-Covers points and multi-points with or without Z and M, in either byte order,
-in the plain, ISO and EWKB (SRID) forms. Everything else gives NULL.
+Built-in expressions can't take a double out of bytes, so this one step at
+ingest runs in Python, on Arrow batches.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+import struct
 
-_POINT, _MULTIPOINT = 1, 4
+import pandas as pd
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+# Geometry types and the flags of the extended form.
+POINT, MULTIPOINT = 1, 4
+HAS_Z, HAS_M, HAS_SRID = 0x80000000, 0x40000000, 0x20000000
 
-def wkb_points(geometry: str | Column) -> Column:
-    """The positions of a point or multi-point: `array<struct<x,y>>`.
+POINT_XY = T.StructType([T.StructField("x", T.DoubleType()), T.StructField("y", T.DoubleType())])
 
-    NULL or empty geometry gives NULL or an empty array.
-    """
-    wkb = F.col(geometry) if isinstance(geometry, str) else geometry
-    raw = F.hex(wkb)
-    kind, head = _kind(raw), _head(raw)
-    count = F.when(kind == _MULTIPOINT, _uint(raw, head)).otherwise(1)
-    start = F.when(kind == _MULTIPOINT, head + 4 + 5).otherwise(head)
-    stride = 5 + 8 * _dimensions(raw)
 
-    def part(i: Column) -> Column:
-        at = start + i * stride
-        return F.struct(_double(raw, at).alias("x"), _double(raw, at + 8).alias("y"))
+@F.pandas_udf(T.ArrayType(POINT_XY))
+def wkb_points(geometry: pd.Series) -> pd.Series:
+    """The positions of a point or multi-point, in plain, ISO or extended form.
 
-    parts = F.transform(F.sequence(F.lit(0), count - 1), part)
+    Empty geometry gives an empty array; NULL and other types give NULL.
+    """
+    return geometry.map(_positions)
+
+
+def _positions(wkb: bytes | None) -> list[dict[str, float]] | None:
+    if wkb is None:
+        return None
+    kind, at, order = _header(wkb, 0)
+    if kind == POINT:
+        starts = [0]
+    elif kind == MULTIPOINT:
+        (n,) = struct.unpack_from(order + "I", wkb, at)
+        starts = [at + 4 + i * ((len(wkb) - at - 4) // n) for i in range(n)]
+    else:
+        return None
+    points = (_point(wkb, s) for s in starts)
     # an empty point is written with NaN coordinates
-    placed = F.filter(parts, lambda p: ~F.isnan(p["x"]) & ~F.isnan(p["y"]))
-    none = F.filter(F.array(part(F.lit(0))), lambda p: F.lit(False))
-    return F.when(kind.isin(_POINT, _MULTIPOINT), F.when(count > 0, placed).otherwise(none))
-
-
-def _little(raw: Column) -> Column:
-    return F.substring(raw, 1, 2) == "01"
-
-
-def _bytes(raw: Column, at: Column | int, n: int) -> Column:
-    """`n` bytes from byte `at`, most significant first, as hex text."""
-    start = F.lit(at) if isinstance(at, int) else at
-
-    def one(k: int) -> Column:
-        return F.substr(raw, (start + k) * 2 + 1, F.lit(2))
-
-    forward = F.concat(*[one(k) for k in range(n)])
-    backward = F.concat(*[one(k) for k in reversed(range(n))])
-    return F.when(_little(raw), backward).otherwise(forward)
-
-
-def _uint(raw: Column, at: Column | int) -> Column:
-    return F.conv(_bytes(raw, at, 4), 16, 10).cast("int")
-
-
-def _type_code(raw: Column) -> Column:
-    return F.conv(_bytes(raw, 1, 4), 16, 10).cast("long")
-
-
-def _kind(raw: Column) -> Column:
-    return F.pmod(_type_code(raw).bitwiseAND(0x0FFFFFFF), F.lit(1000)).cast("int")
-
-
-def _dimensions(raw: Column) -> Column:
-    code = _type_code(raw)
-    iso = F.floor(code.bitwiseAND(0x0FFFFFFF) / 1000).cast("int")
-    has_z = (code.bitwiseAND(0x80000000) != 0) | iso.isin(1, 3)
-    has_m = (code.bitwiseAND(0x40000000) != 0) | iso.isin(2, 3)
-    return F.lit(2) + has_z.cast("int") + has_m.cast("int")
+    return [{"x": x, "y": y} for x, y in points if x == x and y == y]
 
 
-def _head(raw: Column) -> Column:
-    """Where the content starts: after byte order, type and, if flagged, SRID."""
-    return F.when(_type_code(raw).bitwiseAND(0x20000000) != 0, 9).otherwise(5)
+def _header(wkb: bytes, start: int) -> tuple[int, int, str]:
+    order = "<" if wkb[start] == 1 else ">"
+    (code,) = struct.unpack_from(order + "I", wkb, start + 1)
+    plain = code & ~(HAS_Z | HAS_M | HAS_SRID)
+    return plain % 1000, start + (9 if code & HAS_SRID else 5), order
 
 
-def _double(raw: Column, at: Column) -> Column:
-    """An IEEE 754 double from its parts; every step is exact."""
-    text = _bytes(raw, at, 8)
-    high = F.conv(F.substring(text, 1, 8), 16, 10).cast("long")
-    low = F.conv(F.substring(text, 9, 8), 16, 10).cast("double")
-    sign = F.when(high.bitwiseAND(0x80000000) != 0, -1.0).otherwise(1.0)
-    exponent = F.shiftright(high, 20).bitwiseAND(0x7FF)
-    fraction = (high.bitwiseAND(0xFFFFF).cast("double") * 4294967296.0 + low) / 4503599627370496.0
-    normal = sign * (fraction + 1.0) * F.pow(F.lit(2.0), exponent - 1023)
-    tiny = sign * fraction * F.pow(F.lit(2.0), F.lit(-1022))
-    special = F.when(fraction == 0.0, sign * F.lit(float("inf"))).otherwise(F.lit(float("nan")))
-    return F.when(exponent == 0, tiny).when(exponent == 0x7FF, special).otherwise(normal)
+def _point(wkb: bytes, start: int) -> tuple[float, float]:
+    _, at, order = _header(wkb, start)
+    return struct.unpack_from(order + "2d", wkb, at)
