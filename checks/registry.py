@@ -23,7 +23,7 @@ from thalweg.operators.nearest import nearest_lines
 from thalweg.operators.routes import elevation_at, locate_along
 from thalweg.operators.skew import spread_join
 from thalweg.plans import Sources, build, lookups, snapping
-from thalweg.plans.staging import stage
+from thalweg.staging import stage
 
 Query = Callable[[SparkSession, str], DataFrame]
 

@@ -6,26 +6,28 @@ then meets every pair that can be within the radius, and the exact distance
 decides. All later steps group by the cell as well, so the whole search moves
 each side through one shuffle.
 
-Two things keep that equi-join even and small:
-
-* *Hot cells.* A cell that holds more points than the average shuffle partition
-  is split: its points are spread over numbered slices, its edges are copied to
-  each slice. Fewer cells than shuffle partitions can be that large, so the
-  list of them is safe to broadcast.
-* *Dense cells.* Where a small cell holds at least `k` lines, its own points
-  have their k-th nearest line within the cell's diagonal, so they search a
-  finer grid with that radius instead of the full one.
+Two things keep that equi-join even and small; both are looked up beforehand by
+a counting job and leave the plan alone where there is nothing to do:
+
+* *Hot cells.* The points of a cell that holds very many are spread over
+  numbered slices, its edges are copied to each slice.
+* *Dense cells.* Where a cell of a finer grid holds at least `k` line starts,
+  the points in it have their k-th nearest line within the cell's diagonal. They
+  are searched on that finer grid with the diagonal as radius, so their number
+  of pairs stays in proportion to `k` and not to all lines within the radius.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from thalweg.functions import explode_edges, measure_on_edge, squared_distance_to_edge
 from thalweg.operators.skew import SLICE, copy_to_slices, hot_keys, spread
+from thalweg.staging import stage
 
 DEFAULT_K = 100
 DEFAULT_RADIUS = 1500.0
@@ -33,6 +35,13 @@ POINTS_PER_SLICE = 50_000
 
 CELL = "cell"
 
+_AT = ["cx", "cy"]
+# the finer grids: how many, and how much finer each is than the one above
+_LEVELS = 3
+_FINER = 4
+# squared distances are cut a little wide; the exact cut is on the distance
+_LEEWAY = 1 + 1e-12
+
 
 def nearest_lines(
     points: DataFrame,
@@ -50,7 +59,7 @@ def nearest_lines(
     """The `k` nearest lines of every point, nearer than `radius`; all if `k` is None.
 
     `points` has `x`, `y` and the `by` columns, which identify a point. `lines`
-    has `line_id`, `vertices` and the `carry` columns. The result has `by`,
+    has one row per `line_id`, with `vertices` and the `carry` columns. The result has `by`,
     `line_id`, `carry`, the planar `distance` and the `measure` (M) at the
     closest position. Ties at the k-th place go to the lowest id, ties within a
     line to the lowest measure. Points without a line in reach give no row.
@@ -59,54 +68,145 @@ def nearest_lines(
     partitioning of the result.
     """
     size = float(cell_size or radius)
-    located = _located_points(points, by, size)
-    hot = hot_keys(located, ("cx", "cy"), points_per_slice)
     edges = explode_edges(lines, line_id, *carry).drop("edge_no", "z1", "z2")
-    if k is not None:
+    dense = None if k is None else _dense_cells(lines, k, size)
+    if dense is not None:
         edges = _without_spare_copies(edges, line_id, k)
-    edges = _edge_cells(edges, size, radius)
-    left = spread(located, hot, ("cx", "cy"), by).select(_cell_id().alias(CELL), *by, "px", "py")
-    right = copy_to_slices(edges, hot, ("cx", "cy")).withColumn(CELL, _cell_id())
-    found = left.hint("merge").join(right.drop("cx", "cy", SLICE), CELL)
+
+    def search(located: DataFrame, edge_cells: DataFrame, reach: float) -> DataFrame:
+        return _search(located, edge_cells, by, k, min(reach, radius), line_id, carry, points_per_slice)
+
+    x, y = F.col("x"), F.col("y")
+    placed = points.where(x.isNotNull() & y.isNotNull()).select(*by, x.alias("px"), y.alias("py"))
+    located = _in_cells(placed, by, size)
+    edge_cells = _edge_cells(edges, size, radius)
+    if dense is None:
+        found = search(located, edge_cells, radius)
+    else:
+        found = _search_by_level(located, edge_cells, dense, by, size, radius, search)
+    kept = ([CELL] if keep_cell else []) + [*by, line_id, *carry, "distance", "measure"]
+    return found.where(F.col("distance") < radius).select(*kept)
+
+
+def _search(
+    located: DataFrame,
+    edge_cells: DataFrame,
+    by: Sequence[str],
+    k: int | None,
+    reach: float,
+    line_id: str,
+    carry: Sequence[str],
+    points_per_slice: int,
+) -> DataFrame:
+    """The `k` nearest lines no farther than `reach`, on one grid.
+
+    The distance to a line found only beyond `reach` isn't settled, so rows
+    there are left out.
+    """
+    hot = hot_keys(located, _AT, points_per_slice)
+    left = spread(located, hot, _AT, by).select(_cell_id().alias(CELL), *by, "px", "py")
+    right = copy_to_slices(edge_cells, hot, _AT).withColumn(CELL, _cell_id()).drop(*_AT, SLICE)
+    found = left.hint("merge").join(right, CELL)
 
     edge = {c: F.col(c) for c in ("x1", "y1", "x2", "y2", "m1", "m2")}
     px, py = F.col("px"), F.col("py")
     group = [CELL, *by, line_id, *carry]
     squared = squared_distance_to_edge(px, py, edge)
-    # a generous cut while joining; the exact one follows on the distance itself
-    pairs = found.where(squared < F.lit(radius * radius * (1 + 1e-12))).select(
+    pairs = found.where(squared <= F.lit(reach * reach * _LEEWAY)).select(
         *group, F.sqrt(squared).alias("distance"), measure_on_edge(px, py, edge).alias("measure")
     )
     closest_edge = Window.partitionBy(CELL, *by, line_id).orderBy("distance", "measure")
-    per_line = pairs.withColumn("_place", F.row_number().over(closest_edge)).where("_place = 1")
-    reached = per_line.drop("_place").where(F.col("distance") < radius)
+    per_line = pairs.withColumn("_place", F.row_number().over(closest_edge)).where("_place = 1").drop("_place")
+    if k is None:
+        return per_line
     nearest_first = Window.partitionBy(CELL, *by).orderBy("distance", line_id)
-    top = reached
-    if k is not None:
-        top = reached.withColumn("_place", F.row_number().over(nearest_first)).where(F.col("_place") <= k)
-    kept = ([CELL] if keep_cell else []) + [*by, line_id, *carry, "distance", "measure"]
-    return top.select(*kept)
+    placed = per_line.withColumn("_place", F.row_number().over(nearest_first))
+    return placed.where(F.col("_place") <= k).drop("_place")
+
+
+def _search_by_level(
+    located: DataFrame,
+    edge_cells: DataFrame,
+    dense: DataFrame,
+    by: Sequence[str],
+    size: float,
+    radius: float,
+    search: Callable[[DataFrame, DataFrame, float], DataFrame],
+) -> DataFrame:
+    """Search every point on the finest grid whose cell around it is dense.
+
+    A fine cell lies in one coarse cell, and an edge near the fine one is near
+    the coarse one too. So each grid's edges come from those of the grid above,
+    cut to its dense cells.
+    """
+    above = (F.floor(F.col(c) / _FINER).cast("long").alias(c) for c in _AT)
+    parents = dense.where("level = 1").select(*above)
+    edges = edge_cells.join(parents, _AT, "left_semi")
+    rest, found, reach = located, [], radius
+    for level in range(1, _LEVELS + 1):
+        coarse, finer = size / _FINER ** (level - 1), size / _FINER**level
+        cells = dense.where(F.col("level") == level).select(*_AT)
+        points = _in_cells(rest, by, finer)
+        found.append(search(_in_cells(points.join(cells, _AT, "left_anti"), by, coarse), edge_cells, reach))
+        rest = points.join(cells, _AT, "left_semi")
+        reach = finer * 2**0.5 * (1 + 1e-9)
+        edges = _to_finer_cells(edges, finer, reach).join(cells, _AT, "left_semi")
+        edge_cells = edges
+    found.append(search(rest, edge_cells, reach))
+    return reduce(DataFrame.unionByName, found)
+
+
+def _to_finer_cells(edges: DataFrame, size: float, reach: float) -> DataFrame:
+    """Replace the cell of each row by those finer cells in it that are near the edge."""
+    out = edges
+    for cell, a, b in (("cx", "x1", "x2"), ("cy", "y1", "y2")):
+        first = F.greatest(F.col(cell) * _FINER, _index(F.least(a, b) - reach, size))
+        last = F.least(F.col(cell) * _FINER + (_FINER - 1), _index(F.greatest(a, b) + reach, size))
+        near = out.withColumns({"_first": first, "_last": last}).where("_first <= _last")
+        out = near.withColumn(cell, F.explode(F.sequence("_first", "_last"))).drop("_first", "_last")
+    return out
+
+
+def _dense_cells(lines: DataFrame, k: int, size: float) -> DataFrame | None:
+    """Cells of the finer grids (`level`, `cx`, `cy`) that hold `k` line starts or more.
+
+    None, without a table, where no cell does.
+    """
+    start = F.try_element_at(F.col("vertices"), F.lit(1))
+    finest = size / _FINER**_LEVELS
+    fine = (
+        lines.where(F.size("vertices") > 1)
+        .select(_index(start["x"], finest).alias("fx"), _index(start["y"], finest).alias("fy"))
+        .groupBy("fx", "fy")
+        .agg(F.count("*").alias("n"))
+    )
+    levels = F.explode(F.array(*[F.lit(j) for j in range(1, _LEVELS + 1)]))
+    above = F.pow(F.lit(float(_FINER)), F.lit(_LEVELS) - F.col("level"))
+    cx, cy = (F.floor(F.col(c) / above).cast("long").alias(a) for c, a in zip(("fx", "fy"), _AT))
+    counts = (
+        fine.where(F.col("fx").isNotNull() & F.col("fy").isNotNull())
+        .withColumn("level", levels)
+        .groupBy("level", cx, cy)
+        .agg(F.sum("n").alias("n"))
+        .where(F.col("n") >= k)
+        .select("level", *_AT)
+    )
+    return None if counts.isEmpty() else stage(counts, "dense-cells")
 
 
 def _index(v: Column, size: float) -> Column:
     return F.floor(v / F.lit(size)).cast("long")
 
 
-def _located_points(points: DataFrame, by: Sequence[str], size: float) -> DataFrame:
-    here = points.where(F.col("x").isNotNull() & F.col("y").isNotNull())
-    return here.select(
-        *by,
-        F.col("x").alias("px"),
-        F.col("y").alias("py"),
-        _index(F.col("x"), size).alias("cx"),
-        _index(F.col("y"), size).alias("cy"),
-    )
+def _in_cells(points: DataFrame, by: Sequence[str], size: float) -> DataFrame:
+    x, y = F.col("px"), F.col("py")
+    return points.select(*by, x, y, _index(x, size).alias("cx"), _index(y, size).alias("cy"))
 
 
 def _cell_id() -> Column:
     """One number per cell and slice. Should two ever share a number, their
     pairs meet needlessly and the distance sorts them out."""
-    return F.xxhash64("cx", "cy", SLICE)
+    return F.xxhash64(*_AT, SLICE)
 
 
 def _without_spare_copies(edges: DataFrame, line_id: str, k: int) -> DataFrame:

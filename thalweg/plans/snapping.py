@@ -20,7 +20,7 @@ from thalweg.operators.matching import (
 from thalweg.operators.nearest import CELL, DEFAULT_K, DEFAULT_RADIUS, nearest_lines
 from thalweg.operators.routes import closest_per_route, locate_along, with_anchor_codes
 from thalweg.operators.skew import spread_join
-from thalweg.plans.staging import stage
+from thalweg.staging import stage
 from thalweg.schemas import OBSERVATION_COLUMNS, OUTPUT_COLUMNS
 
 # The code of unconnected streams and the edge type left out.
