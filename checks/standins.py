@@ -7,142 +7,113 @@ both engines hold identical rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from thalweg.plans import Sources
 
 SEGMENTS_PER_ROUTE = 10
 
 
-def _div(a: Column, b: int) -> Column:
-    return F.floor(a / b).cast("long")
-
-
-def _vertex(route: Column, j: Column) -> Column:
-    x = (route % 20) * 1400 + (route * 37) % 300 + j * 60
-    y = _div(route, 20) * 500 + (route * 53) % 200 + (route * 31 + j * j * 17) % 97
-    z = (route % 100 + 500) + j * 0.5
-    m = j * 65 + 0.25
-    return F.struct(*[c.cast("double").alias(n) for n, c in zip("xyzm", (x, y, z, m))])
+def _vertex(e: int) -> str:
+    j = f"(2 * i + {e})"
+    return f"""named_struct(
+        'x', cast((l % 20) * 1400 + (l * 37) % 300 + 60 * {j} as double),
+        'y', cast((l div 20) * 500 + (l * 53) % 200 + (l * 31 + 17 * {j} * {j}) % 97 as double),
+        'z', cast(500 + l % 100 as double) + {j} * 0.5D,
+        'm', cast(65 * {j} as double) + 0.25D)"""
 
 
 def streams(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("o_orderkey")
-    route, i = _div(key, SEGMENTS_PER_ROUTE), key % SEGMENTS_PER_ROUTE
-    code = F.lit(1000000) + route
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey")
-    return orders.select(
-        key.alias("linear_feature_id"),
-        (F.lit(354087611) + route).alias("blue_line_key"),
-        F.when(route % 50 == 7, 6010).when(route % 4 < 2, 1200).otherwise(1000).alias("edge_type"),
-        F.when(route % 47 == 9, None)
-        .when(route % 43 == 5, F.concat(F.lit("999."), route.cast("string")))
-        .otherwise(F.concat(F.lit("100."), code.cast("string")))
-        .alias("wscode_ltree"),
-        F.when(
-            route % 41 != 3,
-            F.concat(F.lit("100."), code.cast("string"), F.lit("."), i.cast("string")),
-        ).alias("localcode_ltree"),
-        F.when(route % 4 < 2, F.lit(1000) + _div(route, 4)).alias("waterbody_key"),
-        F.concat(F.lit("GRP"), (route % 7).cast("string")).alias("watershed_group_code"),
-        (i * 130 + 0.25).cast("double").alias("downstream_route_measure"),
-        ((i + 1) * 130 + 0.25).cast("double").alias("upstream_route_measure"),
-        F.concat(F.lit("River "), (route % 20).cast("string")).alias("gnis_name"),
-        ((key % 400).cast("double") / 10000.0).alias("gradient"),
-        (key % 7 + 1).cast("int").alias("stream_order"),
-        F.array(*[_vertex(route, i * 2 + e) for e in range(3)]).alias("vertices"),
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    return orders.selectExpr("o_orderkey", "o_orderkey div 10 as l", "o_orderkey % 10 as i").selectExpr(
+        "o_orderkey as linear_feature_id",
+        "354087611 + l as blue_line_key",
+        "case when l % 50 = 7 then 6010 when l % 4 < 2 then 1200 else 1000 end as edge_type",
+        """case when l % 47 = 9 then null when l % 43 = 5 then concat('999.', l)
+            else concat('100.', 1000000 + l) end as wscode_ltree""",
+        "if(l % 41 = 3, null, concat('100.', 1000000 + l, '.', i)) as localcode_ltree",
+        "if(l % 4 < 2, 1000 + l div 4, null) as waterbody_key",
+        "concat('GRP', l % 7) as watershed_group_code",
+        "cast(130 * i as double) + 0.25D as downstream_route_measure",
+        "cast(130 * (i + 1) as double) + 0.25D as upstream_route_measure",
+        "concat('River ', l % 20) as gnis_name",
+        "cast(o_orderkey % 400 as double) / 10000D as gradient",
+        "cast(1 + o_orderkey % 7 as int) as stream_order",
+        f"array({_vertex(0)}, {_vertex(1)}, {_vertex(2)}) as vertices",
     )
 
 
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Needs the route count up front: one row-count action on `orders`."""
     routes = spark.read.parquet(f"{sf_dir}/orders.parquet").count() // SEGMENTS_PER_ROUTE
-    e, user = F.col("event_id"), F.col("user_id")
-    route = (e * 7) % routes
-
-    def named(prefix: str, value: Column) -> Column:
-        return F.concat(F.lit(prefix), value.cast("string"))
-
-    shift = F.when(e % 17 == 0, (e * 11) % 9000).otherwise(0)
-    x = (route % 20) * 1400 + (e * 131) % 1500 - shift
-    y = _div(route, 20) * 500 + (e * e * 29) % 700 - 100
-    events = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "ts", "user_id", "event_type")
-    return events.select(
-        e.alias("fish_observation_point_id"),
-        F.when(e % 13 != 0, _div(route, 4) + e % 2).alias("wbody_id"),
-        F.upper(F.substring("event_type", 1, 2)).alias("species_code"),
-        (user % 9).alias("agency_id"),
-        F.when(e % 10 == 0, "Summary").otherwise("Observation").alias("point_type_code"),
-        F.col("ts").cast("date").alias("observation_date"),
-        named("Agency ", user % 9).alias("agency_name"),
-        named("src", e % 3).alias("source"),
-        named("report ", user).alias("source_ref"),
-        (user % 3 + 9).cast("int").alias("utm_zone"),
-        ((user % 20) * 1400 + 400000).cast("int").alias("utm_easting"),
-        ((user % 5) * 500 + 5000000).cast("int").alias("utm_northing"),
-        F.when(e % 4 != 1, "A").alias("activity_code"),
-        F.when(e % 4 != 1, "Activity").alias("activity"),
-        F.when(e % 4 != 0, "A").alias("life_stage_code"),
-        F.when(e % 4 != 0, "Adult").alias("life_stage"),
-        F.col("event_type").alias("species_name"),
-        F.concat(F.lpad((_div(route, 4) + 1).cast("string"), 5, "0"), F.lit("ABCD")).alias("waterbody_identifier"),
-        F.when(e % 6 == 0, "Lake").when(e % 6 == 1, "Wetland").when(e % 6 != 5, "Stream").alias("waterbody_type"),
-        named("River ", route % 20).alias("gazetted_name"),
-        named("100-", F.lit(1000000) + route).alias("new_watershed_code"),
-        named("100-", F.lit(1000000) + route).alias("trimmed_watershed_code"),
-        named("report/", user).alias("acat_report_url"),
-        named("F", e % 5).alias("feature_code"),
-        x.cast("double").alias("x"),
-        y.cast("double").alias("y"),
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    return events.selectExpr(
+        "event_id as e", "ts", "user_id as u", "event_type", f"(event_id * 7) % {routes} as l"
+    ).selectExpr(
+        "e as fish_observation_point_id",
+        "if(e % 13 = 0, null, l div 4 + e % 2) as wbody_id",
+        "upper(substring(event_type, 1, 2)) as species_code",
+        "u % 9 as agency_id",
+        "if(e % 10 = 0, 'Summary', 'Observation') as point_type_code",
+        "cast(ts as date) as observation_date",
+        "concat('Agency ', u % 9) as agency_name",
+        "concat('src', e % 3) as source",
+        "concat('report ', u) as source_ref",
+        "cast(9 + u % 3 as int) as utm_zone",
+        "cast(400000 + (u % 20) * 1400 as int) as utm_easting",
+        "cast(5000000 + (u % 5) * 500 as int) as utm_northing",
+        "if(e % 4 = 1, null, 'A') as activity_code",
+        "if(e % 4 = 1, null, 'Activity') as activity",
+        "if(e % 4 = 0, null, 'A') as life_stage_code",
+        "if(e % 4 = 0, null, 'Adult') as life_stage",
+        "event_type as species_name",
+        "concat(lpad(l div 4 + 1, 5, '0'), 'ABCD') as waterbody_identifier",
+        "case e % 6 when 0 then 'Lake' when 1 then 'Wetland' when 5 then null else 'Stream' end as waterbody_type",
+        "concat('River ', l % 20) as gazetted_name",
+        "concat('100-', 1000000 + l) as new_watershed_code",
+        "concat('100-', 1000000 + l) as trimmed_watershed_code",
+        "concat('report/', u) as acat_report_url",
+        "concat('F', e % 5) as feature_code",
+        """cast((l % 20) * 1400 + (e * 131) % 1500 - if(e % 17 = 0, (e * 11) % 9000, 0) as double) as x""",
+        "cast((l div 20) * 500 + (e * e * 29) % 700 - 100 as double) as y",
     )
 
 
 def waterbodies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return streams(spark, sf_dir).where("waterbody_key is not null").select("waterbody_key").distinct()
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    routes = orders.selectExpr("o_orderkey div 10 as l").where("l % 4 < 2")
+    return routes.selectExpr("1000 + l div 4 as waterbody_key").distinct()
 
 
 def waterbody_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    number = F.col("waterbody_key") - 1000
-    return waterbodies(spark, sf_dir).select(
-        number.alias("id"),
-        F.concat(F.lpad((number + 1).cast("string"), 5, "0"), F.lit("ABCD")).alias("waterbody_identifier"),
+    return waterbodies(spark, sf_dir).selectExpr(
+        "waterbody_key - 1000 as id",
+        "concat(lpad(waterbody_key - 999, 5, '0'), 'ABCD') as waterbody_identifier",
     )
 
 
 def waterbody_xref(spark: SparkSession, sf_dir: str) -> DataFrame:
-    number = F.col("waterbody_key") - 1000
-    return waterbodies(spark, sf_dir).select(
-        (number + 1).alias("waterbody_key_50k"),
-        F.lit("ABCD").alias("watershed_group_code_50k"),
-        (number + 1000).alias("waterbody_key_20k"),
+    return waterbodies(spark, sf_dir).selectExpr(
+        "waterbody_key - 999 as waterbody_key_50k",
+        "'ABCD' as watershed_group_code_50k",
+        "waterbody_key as waterbody_key_20k",
     )
 
 
 def stream_xref(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("o_orderkey")
-    return (
-        spark.read.parquet(f"{sf_dir}/orders.parquet")
-        .where((key % SEGMENTS_PER_ROUTE) % 3 == 0)
-        .select(
-            F.concat(F.lit("100"), (F.lit(1000000) + _div(key, SEGMENTS_PER_ROUTE)).cast("string")).alias(
-                "watershed_code_50k"
-            ),
-            key.alias("linear_feature_id_20k"),
-        )
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    return orders.where("(o_orderkey % 10) % 3 = 0").selectExpr(
+        "concat('100', 1000000 + o_orderkey div 10) as watershed_code_50k",
+        "o_orderkey as linear_feature_id_20k",
     )
 
 
 def species(spark: SparkSession, sf_dir: str) -> DataFrame:
-    name = F.col("event_type")
-    return (
-        spark.read.parquet(f"{sf_dir}/events.parquet")
-        .select(
-            (F.length(name) * 100 + F.ascii(name)).cast("int").alias("species_id"),
-            F.upper(F.substring(name, 1, 2)).alias("code"),
-            name.alias("name"),
-        )
-        .distinct()
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    return events.select("event_type").distinct().selectExpr(
+        "cast(length(event_type) * 100 + ascii(event_type) as int) as species_id",
+        "upper(substring(event_type, 1, 2)) as code",
+        "event_type as name",
     )
 
 

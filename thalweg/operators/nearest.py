@@ -184,8 +184,7 @@ def _dense_cells(lines: DataFrame, k: int, size: float) -> DataFrame | None:
     above = F.pow(F.lit(float(_FINER)), F.lit(_LEVELS) - F.col("level"))
     cx, cy = (F.floor(F.col(c) / above).cast("long").alias(a) for c, a in zip(("fx", "fy"), _AT))
     counts = (
-        fine.where(F.col("fx").isNotNull() & F.col("fy").isNotNull())
-        .withColumn("level", levels)
+        fine.withColumn("level", levels)
         .groupBy("level", cx, cy)
         .agg(F.sum("n").alias("n"))
         .where(F.col("n") >= k)
