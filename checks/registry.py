@@ -20,7 +20,7 @@ from thalweg.functions import (
 from thalweg.operators import events, matching
 from thalweg.operators.grouping import duplicate_report, key_collisions, repeated_keys, with_observation_key
 from thalweg.operators.nearest import nearest_lines
-from thalweg.operators.routes import elevation_at, locate_along
+from thalweg.operators.routes import anchor_codes, elevation_at, locate_along
 from thalweg.operators.skew import spread_join
 from thalweg.plans import Sources, build, lookups, snapping
 from thalweg.staging import stage
@@ -220,7 +220,7 @@ def knn_within_radius(spark, sf_dir):
 def closest_per_route(spark, sf_dir):
     streams = standins.streams(spark, sf_dir)
     found = snapping.observation_candidates(_keyed(spark, sf_dir), streams)
-    return snapping.with_anchor_codes(found, streams).select(
+    return found.join(anchor_codes(streams), "anchor_id").select(
         "observation_key",
         "linear_feature_id",
         "wscode",

@@ -43,14 +43,13 @@ def closest_per_route(
     )
 
 
-def with_anchor_codes(matched: DataFrame, lines: DataFrame) -> DataFrame:
-    """Add the path codes of the anchor line."""
-    codes = lines.select(
+def anchor_codes(lines: DataFrame) -> DataFrame:
+    """Path codes by `anchor_id`."""
+    return lines.select(
         F.col("linear_feature_id").alias("anchor_id"),
         F.col("wscode_ltree").alias("wscode"),
         F.col("localcode_ltree").alias("localcode"),
     )
-    return matched.join(codes, "anchor_id").drop("anchor_id")
 
 
 def locate_along(

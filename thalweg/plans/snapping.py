@@ -18,7 +18,7 @@ from thalweg.operators.matching import (
     waterbody_targets,
 )
 from thalweg.operators.nearest import CELL, DEFAULT_K, DEFAULT_RADIUS, nearest_lines
-from thalweg.operators.routes import closest_per_route, locate_along, with_anchor_codes
+from thalweg.operators.routes import anchor_codes, closest_per_route, locate_along
 from thalweg.operators.skew import spread_join
 from thalweg.staging import stage
 from thalweg.schemas import OBSERVATION_COLUMNS, OUTPUT_COLUMNS
@@ -106,11 +106,11 @@ def observation_candidates(keyed: DataFrame, streams: DataFrame) -> DataFrame:
 
 
 def winners(keyed: DataFrame, sources: Sources, cell_size: float | None = None) -> DataFrame:
-    """The matched line per distinct (x, y, profile)."""
+    """The matched line per distinct (x, y, profile), stored: it is the costly step."""
     profiles = stage(with_profile(keyed).where("match_ref is not null").select(*PROFILE).distinct(), "profiles")
     found = candidates(profiles, sources.streams, by=PROFILE, keep_cell=True, cell_size=cell_size)
     flagged = flag_listed(found, all_targets(sources))
-    return match_tiers(flagged, by=[CELL, *PROFILE]).drop(CELL)
+    return stage(match_tiers(flagged, by=[CELL, *PROFILE]).drop(CELL), "winners")
 
 
 def all_targets(sources: Sources) -> DataFrame:
@@ -125,7 +125,7 @@ def with_profile(keyed: DataFrame) -> DataFrame:
 
 def matches(keyed: DataFrame, sources: Sources, cell_size: float | None = None) -> DataFrame:
     """One row per matched observation: line, codes, unrounded measure, tag."""
-    won = with_anchor_codes(winners(keyed, sources, cell_size), sources.streams)
+    won = with_codes(winners(keyed, sources, cell_size), sources.streams)
     slim = with_profile(keyed).where("match_ref is not null").select("observation_key", *PROFILE)
     joined = spread_join(slim, won, PROFILE, by=["observation_key"])
     return joined.select(
@@ -141,6 +141,11 @@ def matches(keyed: DataFrame, sources: Sources, cell_size: float | None = None)
     )
 
 
+def with_codes(won: DataFrame, streams: DataFrame) -> DataFrame:
+    """Winners with the path codes of their anchor line."""
+    return spread_join(won, anchor_codes(streams), ["anchor_id"], by=PROFILE).drop("anchor_id")
+
+
 def snapped(won: DataFrame, streams: DataFrame) -> DataFrame:
     """Winners with whole-metre measures, codes, group and position."""
     own = streams.select(
@@ -150,11 +155,11 @@ def snapped(won: DataFrame, streams: DataFrame) -> DataFrame:
         F.col("upstream_route_measure").alias("_to"),
     )
     rounded = (
-        won.join(own, "linear_feature_id")
+        spread_join(with_codes(won, streams), own, ["linear_feature_id"], by=PROFILE, counted=won)
         .withColumn("downstream_route_measure", clamp_measure("measure", "_from", "_to"))
         .drop("measure", "_from", "_to")
     )
-    return locate_along(with_anchor_codes(rounded, streams), streams, by=PROFILE)
+    return locate_along(rounded, streams, by=PROFILE)
 
 
 def snap(keyed: DataFrame, won: DataFrame, streams: DataFrame) -> DataFrame:
@@ -164,6 +169,6 @@ def snap(keyed: DataFrame, won: DataFrame, streams: DataFrame) -> DataFrame:
 
 
 def build(sources: Sources, point_type: str | None = None, cell_size: float | None = None) -> DataFrame:
-    """The whole job: two staged tables, then one lazy plan for the rest."""
+    """The whole job: three staged tables, then one lazy plan for the rest."""
     keyed = stage(keyed_observations(sources.observations, point_type), "keyed")
     return snap(keyed, winners(keyed, sources, cell_size), sources.streams)
