@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from thalweg.llm import simhash, urlfilter
+from thalweg.llm import decontam, langid, paragraphs, pii, simhash, urlfilter
 
 #: The rules that the url contract states.
 STATED_RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
@@ -17,11 +17,29 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(_table(spark, sf_dir, "documents"))
+    spans = F.array_join(F.transform("spans", lambda x: F.concat_ws(":", x.kind, x.start, x.stop)), ",")
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", spans.alias("spans"))
+
+
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(_table(spark, sf_dir, "documents"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.simhash_groups(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op9_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return paragraphs.repeats(_table(spark, sf_dir, "documents"))
+
+
 def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     stated = [urlfilter.domain_rule(action, rule) for action, rule in STATED_RULES]
     own = [urlfilter.word_rule("block", word) for word in urlfilter.UNWANTED]
@@ -59,7 +77,11 @@ FROM ruled
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_pii": op1_pii,
+        "op2_language_id": op2_language_id,
         "op5_simhash": op5_simhash,
+        "op8_decontamination": op8_decontamination,
+        "op9_paragraph_dedup": op9_paragraph_dedup,
         "op10_url_filters": op10_url_filters,
     }
 
