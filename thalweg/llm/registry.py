@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from thalweg.llm import decontam, langid, paragraphs, pii, simhash, urlfilter
+from thalweg.llm import decontam, langid, paragraphs, pii, simhash, toxicity, urlfilter
 
 #: The rules that the url contract states.
 STATED_RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
@@ -32,6 +32,11 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = toxicity.detect(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return found.select("doc_id", "held_out", "score", "predicted", F.size("passages").alias("n_passages"))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -80,6 +85,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_pii": op1_pii,
         "op2_language_id": op2_language_id,
         "op5_simhash": op5_simhash,
+        "op6_toxicity": op6_toxicity,
         "op8_decontamination": op8_decontamination,
         "op9_paragraph_dedup": op9_paragraph_dedup,
         "op10_url_filters": op10_url_filters,
