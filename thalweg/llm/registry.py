@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from thalweg.llm import ann, decontam, langid, paragraphs, pii, simhash, toxicity, urlfilter
+from thalweg.llm import ann, decontam, langid, packing, paragraphs, pii, simhash, toxicity, urlfilter
 
 #: The rules that the url contract states.
 STATED_RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
@@ -31,6 +31,16 @@ def op3_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(_table(spark, sf_dir, "embeddings"), every=20, k=20)
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.simhash_groups(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -89,6 +99,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_pii": op1_pii,
         "op2_language_id": op2_language_id,
         "op3_nearest_neighbours": op3_nearest_neighbours,
+        "op4_packing": op4_packing,
         "op5_simhash": op5_simhash,
         "op6_toxicity": op6_toxicity,
         "op8_decontamination": op8_decontamination,
