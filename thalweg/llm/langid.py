@@ -31,7 +31,7 @@ LEAST_SHARE = 1e-5
 LEAST_RATIO = 0.5
 UNKNOWN = "und"
 MOST_LANGUAGES = 64
-#: Characters that are looked at together; longer texts are read in slices of so many.
+#: Characters that are looked at together; longer texts are read in slices of so many, cut between words.
 STEP = 1 << 20
 
 
@@ -52,11 +52,15 @@ def _is_letter() -> np.ndarray:
 
 
 def _slices(texts: list[str | None]) -> Iterator[tuple[list[int], list[str]]]:
-    """Positions in `texts` and lower-cased slices, about `STEP` characters at a time."""
+    """Positions in `texts` and lower-cased slices, about `STEP` characters at a time; cut between words."""
     at, parts, size = [], [], 0
     for i, t in enumerate(texts):
-        for s in range(0, len(t or ""), STEP):
-            part = t[s : s + STEP].lower()
+        start = 0
+        while start < len(t or ""):
+            stop = start + STEP
+            while stop < len(t) and t[stop].isalpha():
+                stop += 1
+            part, start = t[start:stop].lower(), stop
             at.append(i)
             parts.append(part)
             size += len(part)
