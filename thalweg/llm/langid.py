@@ -204,8 +204,8 @@ def predict_texts(model: Model, texts: list[str | None]) -> tuple[list[str], np.
     return [model.languages[k] if n else UNKNOWN for k, n in zip(best.tolist(), letters.tolist())], score
 
 
-def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """`docs` with lang_pred and score added; they must not be names of its columns.
+def predict(docs: DataFrame, model: Model, text_col: str = "text", names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """`docs` with lang_pred and score added, under `names`, which must not be names of its columns.
 
     lang_pred is the language whose filter holds the largest corrected share of
     the text's trigrams, ties going to the first name; that share is the score.
@@ -213,13 +213,13 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     everything if no language was learned. Repeated rows and NULLs elsewhere stay.
     """
     columns = docs.columns
-    schema = StructType([*docs.schema, StructField("lang_pred", StringType()), StructField("score", DoubleType())])
+    schema = StructType([*docs.schema, StructField(names[0], StringType()), StructField(names[1], DoubleType())])
     at = columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            names, score = predict_texts(model, b.column(at).to_pylist())
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(names, pa.string()), pa.array(score)], [*columns, "lang_pred", "score"])
+            found, score = predict_texts(model, b.column(at).to_pylist())
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(found, pa.string()), pa.array(score)], [*columns, *names])
 
     return docs.mapInArrow(run, schema)
 

@@ -19,7 +19,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from thalweg.llm.components import components
@@ -76,17 +76,21 @@ def fingerprint(text: str | None) -> int:
     return int(sum(1 << i for i, c in enumerate(set_bits.tolist()) if 2 * c > n))
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id and fp (the fingerprint's 64 bits as a signed long), one row per row."""
+def text_hash() -> Column:
+    """Tells texts of the same id apart; NULL counts as empty."""
+    return F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+
+
+def fingerprints(docs: DataFrame) -> DataFrame:
+    """doc_id, h (a hash of the text) and fp (the fingerprint's 64 bits as a signed long), one row per row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fp = np.fromiter((fingerprint(t.as_py()) for t in b.column(1)), np.uint64, b.num_rows)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp.view(np.int64))], ["doc_id", "fp"])
+            fp = np.fromiter((fingerprint(t.as_py()) for t in b.column(2)), np.uint64, b.num_rows)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fp.view(np.int64))], ["doc_id", "h", "fp"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
-        run, "doc_id long, fp long"
-    )
+    kept = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_hash().alias("h"), F.col("text").cast("string").alias("text"))
+    return kept.mapInArrow(run, "doc_id long, h long, fp long")
 
 
 def edges(fps: DataFrame) -> DataFrame:
@@ -102,23 +106,37 @@ def groups(fps: DataFrame) -> DataFrame:
     `fps` has doc_id and fp. A NULL doc_id links like any other row but isn't a
     smallest one; a component without any doc_id has a NULL component_id.
     """
-    distinct = stage(fps.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-distinct")
-    labels = components(edges(distinct.select("fp")))
-    rooted = distinct.join(labels, F.col("fp") == F.col("node"), "left").select(
-        "fp", "first", F.coalesce("label", "fp").alias("root")
-    )
+    rooted = _rooted(fps, F.col("doc_id"))
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     return fps.join(rooted.join(least, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
 
 
-def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, fp, component_id for every row of `docs`.
+def _rooted(fps: DataFrame, first: Column) -> DataFrame:
+    """fp, the smallest `first` of its rows, and root: the smallest fingerprint reachable."""
+    distinct = stage(fps.groupBy("fp").agg(F.min(first).alias("first")), "simhash-distinct")
+    labels = components(edges(distinct.select("fp")))
+    return distinct.join(labels, F.col("fp") == F.col("node"), "left").select("fp", "first", F.coalesce("label", "fp").alias("root"))
+
+
+def simhash_groups(docs: DataFrame) -> DataFrame:
+    """doc_id, fp, component_id for every row of `docs` (doc_id, text).
 
     NULL and empty texts, and those of white space, have fingerprint zero and link
     to each other and to any fingerprint of at most 3 set bits. Repeated rows stay.
     An empty table gives an empty result. Other columns aren't read.
     """
-    return groups(stage(fingerprints(docs, id_col, text_col), "simhash-fps"))
+    return groups(stage(fingerprints(docs), "simhash-fps"))
+
+
+def one_of_each_group(docs: DataFrame) -> DataFrame:
+    """Of every group one row of `docs`, with all its columns: that of the smallest doc_id, NULL last, then of the smallest hash of its text."""
+    fps = stage(fingerprints(docs), "simhash-fps")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h")
+    kept = _rooted(fps, order).groupBy("root").agg(F.min("first").alias("f")).select("f.doc_id", "f.h")
+    kept = kept.select(F.xxhash64("doc_id", "h").alias("__key"), F.col("h").alias("__h"))
+    # rows meet by id and text, so a hot group stays spread; only repeated rows share both
+    keyed = docs.withColumns({"__key": F.xxhash64(F.col("doc_id").cast("long"), text_hash()), "__h": text_hash()})
+    return keyed.join(kept, ["__key", "__h"], "left_semi").dropDuplicates(["__key", "__h"]).select(*docs.columns)
 
 
 def _listed(df: DataFrame, keys) -> DataFrame:
