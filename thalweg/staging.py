@@ -10,14 +10,14 @@ from pyspark.sql import DataFrame, SparkSession
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write `df` once and go on from the written table.
+def stage(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
+    """Write `df` once, compressed by `codec`, and go on from the written table.
 
     Later steps read just the columns they need, don't repeat the work, and
     survive the loss of executors without going back to the sources.
     """
     path = f"{_shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.mode("errorifexists").parquet(path)
+    df.write.mode("errorifexists").option("compression", codec).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
