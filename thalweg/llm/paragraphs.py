@@ -81,8 +81,8 @@ def units(text: str) -> Iterator[tuple[int, int, int, list[str]]]:
                     yield 1, a, b, piece
 
 
-def _hash(words: list[str]) -> int:
-    return xxhash.xxh64_intdigest(" ".join(words), 9)
+def _hash(level: int, words: list[str]) -> int:
+    return xxhash.xxh64_intdigest(" ".join(words), level)
 
 
 def bands(many: list[list[str]]) -> np.ndarray:
@@ -110,7 +110,7 @@ def bands(many: list[list[str]]) -> np.ndarray:
     return out.view(np.int64)
 
 
-UNITS = "doc_id long, h long, level int, start int, stop int, uid long, line string, bands array<long>"
+UNITS = "doc_id long, h int, level int, start int, stop int, uid long, line string, bands array<long>"
 
 
 def scan(docs: DataFrame) -> DataFrame:
@@ -128,17 +128,17 @@ def scan(docs: DataFrame) -> DataFrame:
                     rows, size = [], 0
             yield _batch(rows)
 
-    key = F.xxhash64(F.coalesce("text", F.lit("")))
+    key = F.hash(F.coalesce("text", F.lit("")))  # tells rows of the same id apart
     return docs.select("doc_id", key.alias("h"), "text").mapInArrow(run, UNITS)
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
     whole = [words for _, _, level, _, _, words, _ in rows if level == 0]
     found = iter(bands(whole).tolist() if whole else [])
-    ids = np.fromiter((_hash(r[5]) for r in rows), np.uint64, len(rows)).view(np.int64)
+    ids = np.fromiter((_hash(r[2], r[5]) for r in rows), np.uint64, len(rows)).view(np.int64)
     cols = [
         pa.array([r[0] for r in rows], pa.int64()),
-        pa.array([r[1] for r in rows], pa.int64()),
+        pa.array([r[1] for r in rows], pa.int32()),
         pa.array([r[2] for r in rows], pa.int32()),
         pa.array([r[3] for r in rows], pa.int32()),
         pa.array([r[4] for r in rows], pa.int32()),
@@ -152,31 +152,30 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 def candidates(scanned: DataFrame) -> DataFrame:
     """Pairs (a < b) of ids of different lines that share a band."""
     listed = scanned.where("level = 0").select("uid", "bands").dropDuplicates(["uid"])
-    listed = listed.select(F.posexplode("bands").alias("no", "band"), "uid")
+    listed = listed.select(F.explode("bands").alias("band"), "uid")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest = np.empty((3, 0), np.int64)
+        rest = np.empty((2, 0), np.int64)
         for batch in batches:
             rows = np.concatenate([rest, np.stack([c.to_numpy(zero_copy_only=False) for c in batch.columns])], axis=1)
-            new = np.flatnonzero((rows[:2, 1:] != rows[:2, :-1]).any(axis=0)) + 1
+            new = np.flatnonzero(rows[0, 1:] != rows[0, :-1]) + 1
             last = int(new[-1]) if len(new) else 0
             yield from _pairs(rows[:, :last])
             rest = rows[:, last:]
         yield from _pairs(rest)
 
-    listed = listed.select(F.col("no").cast("long").alias("no"), "band", "uid").repartition("no", "band")
-    pairs = listed.sortWithinPartitions("no", "band", "uid").mapInArrow(run, "a long, b long")
+    pairs = listed.repartition("band").sortWithinPartitions("band", "uid").mapInArrow(run, "a long, b long")
     return pairs.distinct()
 
 
 def _pairs(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """The pairs to compare of whole buckets (no, band, uid), at most `SMALL` or `HUBS` for each member."""
+    """The pairs to compare of whole buckets (band, uid), at most `SMALL` or `HUBS` for each member."""
     if rows.shape[1] < 2:
         return
-    new = np.concatenate([[True], (rows[:2, 1:] != rows[:2, :-1]).any(axis=0)])
+    new = np.concatenate([[True], rows[0, 1:] != rows[0, :-1]])
     starts = np.flatnonzero(new)
     sizes = np.diff(np.append(starts, rows.shape[1]))
-    v, small = rows[2], np.repeat(sizes <= SMALL, sizes)
+    v, small = rows[1], np.repeat(sizes <= SMALL, sizes)
     at = np.arange(rows.shape[1]) - np.repeat(starts, sizes)
     left = np.repeat(sizes, sizes) - at
     for d in range(1, SMALL):
@@ -200,7 +199,7 @@ def verified(pairs: DataFrame, scanned: DataFrame) -> DataFrame:
     """The pairs whose exact Jaccard reaches the threshold."""
     needed = pairs.select(F.explode(F.array("a", "b")).alias("uid")).distinct()
     own = scanned.where("level = 0").select("uid", "line").join(needed, "uid", "left_semi").dropDuplicates(["uid"])
-    own = stage(own, "paragraph-lines")
+    own = stage(own, "paragraph-lines", "zstd")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -215,6 +214,12 @@ def verified(pairs: DataFrame, scanned: DataFrame) -> DataFrame:
     return pairs.join(first, "a").join(second, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
+def _with_roots(labels: DataFrame) -> DataFrame:
+    """uid and cls of every labelled node and of the smallest nodes they are labelled with."""
+    roots = labels.select(F.col("label").alias("uid"), F.col("label").alias("cls")).distinct()
+    return labels.select(F.col("node").alias("uid"), F.col("label").alias("cls")).union(roots)
+
+
 def repeats(docs: DataFrame) -> DataFrame:
     """One row for each document that holds a paragraph of a class of two or more.
 
@@ -228,19 +233,22 @@ def repeats(docs: DataFrame) -> DataFrame:
     fewer than 20 words, hold no paragraph. Other columns aren't read.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    scanned = stage(scan(docs), "paragraphs")
+    scanned = stage(scan(docs), "paragraphs", "zstd")
     pairs = stage(candidates(scanned), "paragraph-pairs")
     labels = components(stage(verified(pairs, scanned), "paragraph-edges"))
-    places = scanned.select("doc_id", "h", "level", "start", "stop", "uid").join(labels, F.col("uid") == F.col("node"), "left")
-    places = places.select("doc_id", "h", "level", "start", "stop", F.coalesce("label", "uid").alias("cls")).withColumn(
-        "place", F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h", "start")
-    )
-    kept = places.groupBy("level", "cls").agg(F.min("place").alias("first"), F.max("place").alias("last"))
-    kept = kept.where("first != last").select("level", "cls", "first")
-    held = places.join(kept, ["level", "cls"]).withColumn("gone", F.col("place") != F.col("first"))
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h", "start")
+    places = scanned.select("doc_id", "h", "start", "stop", "uid", place.alias("place"))
+    # most ids have one place and no class, and go no further than this count
+    own = places.withColumn("mark", F.hash("place"))
+    own = own.groupBy("uid").agg(F.min("place").alias("first"), F.min("mark").alias("low"), F.max("mark").alias("high"))
+    own = own.join(_with_roots(labels), "uid", "left").where("cls IS NOT NULL OR low != high")
+    own = stage(own.select("uid", F.coalesce("cls", "uid").alias("cls"), "first"), "paragraph-classes")
+    kept = own.groupBy("cls").agg(F.min("first").alias("first"))
+    kept = own.select("uid", "cls").join(kept, "cls").select("uid", "first")
+    held = places.join(kept, "uid").withColumn("gone", F.col("place") != F.col("first"))
     span = F.when(F.col("gone"), F.struct("start", "stop"))
     each = held.groupBy("doc_id", "h").agg(
-        F.countDistinct("level", "start").alias("n_repeated"),
+        F.countDistinct("start", "stop").alias("n_repeated"),
         F.array_sort(F.collect_set(span)).alias("spans"),
         F.array_sort(F.collect_set(F.when(F.col("gone"), F.col("first.doc_id")))).alias("kept_in"),
     )
