@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from thalweg.llm import ann, decontam, langid, packing, paragraphs, pii, simhash, toxicity, urlfilter
+from thalweg.llm import ann, decontam, langid, packing, paragraphs, pii, simhash, substrings, toxicity, urlfilter
 
 #: The rules that the url contract states.
 STATED_RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
@@ -51,6 +51,10 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "score", "predicted", F.size("passages").alias("n_passages"))
 
 
+def op7_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeats(_table(spark, sf_dir, "documents"))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -102,6 +106,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_packing": op4_packing,
         "op5_simhash": op5_simhash,
         "op6_toxicity": op6_toxicity,
+        "op7_repeated_strings": op7_repeated_strings,
         "op8_decontamination": op8_decontamination,
         "op9_paragraph_dedup": op9_paragraph_dedup,
         "op10_url_filters": op10_url_filters,
