@@ -372,6 +372,27 @@ SELECT (blue_line_key + 1 - 354087611) * 10000000 + CAST(round_even(downstream_r
 FROM species_of GROUP BY blue_line_key, downstream_route_measure
 """,
 )
+
+
+def _cut(n: int) -> str:
+    """Events with their arrays cut after every n observations."""
+    return f"""
+SELECT g.* EXCLUDE (obs_ids, match_types, species_codes, species_ids, distances), p.* EXCLUDE (route, pos)
+FROM gathered g JOIN (
+  SELECT blue_line_key AS route, downstream_route_measure AS pos, part_no,
+    list(fish_observation_point_id ORDER BY fish_observation_point_id) AS obs_ids,
+    list(match_type ORDER BY fish_observation_point_id) AS match_types,
+    list(species_code ORDER BY fish_observation_point_id) AS species_codes,
+    list(species_id ORDER BY fish_observation_point_id) AS species_ids,
+    list(distance_to_stream ORDER BY fish_observation_point_id) AS distances
+  FROM (SELECT *, (row_number() OVER (PARTITION BY blue_line_key, downstream_route_measure
+      ORDER BY fish_observation_point_id) - 1) // {n} AS part_no FROM species_of)
+  GROUP BY 1, 2, 3) p ON p.route = g.blue_line_key AND p.pos = g.downstream_route_measure
+"""
+
+
+_part("cut_usual", ("gathered",), _cut(100_000))
+_part("cut_small", ("gathered",), _cut(2))
 _part(
     "reach",
     ("candidates",),
@@ -380,6 +401,22 @@ _part(
 
 
 
+def _unmatched(n: int) -> str:
+    return f"""
+SELECT first_id AS fish_obsrvtn_pnt_distinct_id, part_no, array_to_string(list(id ORDER BY id), ',') AS obs_ids,
+  array_to_string(list(species_id ORDER BY id), ',') AS species_ids,
+  round(any_value(least_distance), 6) AS distance_to_stream, x, y
+FROM (SELECT o.fish_observation_point_id AS id, s.species_id, o.x, o.y,
+    min(o.fish_observation_point_id) OVER (PARTITION BY o.x, o.y) AS first_id,
+    min(r.distance) OVER (PARTITION BY o.x, o.y) AS least_distance,
+    (row_number() OVER (PARTITION BY o.x, o.y ORDER BY o.fish_observation_point_id) - 1) // {n} AS part_no
+  FROM obs o LEFT JOIN reach r ON r.observation_key = o.observation_key
+  LEFT JOIN species s ON s.code = o.species_code
+  WHERE o.observation_key NOT IN (SELECT observation_key FROM matched))
+GROUP BY first_id, part_no, x, y
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     q = query
     tier_columns = (
@@ -388,7 +425,7 @@ def oracle_sql() -> dict[str, str]:
     )
     mm = "CAST(round({0} * 1000) AS BIGINT)"
     event_text = (
-        "fish_obsrvtn_event_id, linear_feature_id, wscode_ltree, localcode_ltree, blue_line_key,"
+        "fish_obsrvtn_event_id, part_no, linear_feature_id, wscode_ltree, localcode_ltree, blue_line_key,"
         " watershed_group_code, downstream_route_measure, round(geom_z, 6) AS geom_z,"
         " array_to_string(obs_ids, ',') AS obs_ids, array_to_string(match_types, ',') AS match_types,"
         " array_to_string(species_codes, ',') AS species_codes, array_to_string(species_ids, ',') AS species_ids,"
@@ -495,16 +532,8 @@ def oracle_sql() -> dict[str, str]:
             "SELECT observation_key, fish_observation_point_id, waterbody_type FROM obs"
             " WHERE observation_key NOT IN (SELECT observation_key FROM matched)",
         ),
-        "unmatched_rollup": q(
-            ("obs", "matched", "reach", "species"),
-            "SELECT min(o.fish_observation_point_id) AS fish_obsrvtn_pnt_distinct_id,"
-            " array_to_string(list(o.fish_observation_point_id ORDER BY o.fish_observation_point_id), ',') AS obs_ids,"
-            " array_to_string(list(s.species_id ORDER BY o.fish_observation_point_id), ',') AS species_ids,"
-            " round(min(r.distance), 6) AS distance_to_stream, o.x, o.y"
-            " FROM obs o LEFT JOIN reach r ON r.observation_key = o.observation_key"
-            " LEFT JOIN species s ON s.code = o.species_code"
-            " WHERE o.observation_key NOT IN (SELECT observation_key FROM matched) GROUP BY o.x, o.y",
-        ),
+        "unmatched_rollup": q(("obs", "matched", "reach", "species"), _unmatched(100_000)),
+        "unmatched_rollup_in_parts": q(("obs", "matched", "reach", "species"), _unmatched(2)),
         "measure_clamp": q(
             ("rounded",),
             "SELECT observation_key, round(measure, 6) AS measure, downstream_route_measure FROM rounded",
@@ -569,7 +598,8 @@ def oracle_sql() -> dict[str, str]:
             f" + CAST(round_even({measure_of}, 0) AS BIGINT) AS fish_obsrvtn_event_id"
             " FROM (SELECT event_id AS e, (SELECT count(*) // 10 FROM orders) AS n FROM events)",
         ),
-        "event_rollup": q(("gathered",), f"SELECT {event_text} FROM gathered"),
+        "event_rollup": q(("cut_usual",), f"SELECT {event_text} FROM cut_usual"),
+        "event_rollup_in_parts": q(("cut_small",), f"SELECT {event_text} FROM cut_small"),
         "event_explode": q(
             ("gathered", "source", "species", "streams"),
             "SELECT x.id AS fish_observation_point_id, x.fish_obsrvtn_event_id, x.linear_feature_id,"
@@ -584,17 +614,24 @@ def oracle_sql() -> dict[str, str]:
         ),
         "unnest_arrays": q(
             (),
-            "SELECT event_id, unnest(range(event_id % 4)) AS n, unnest(list_transform(range(event_id % 3),"
-            " lambda i: concat('v', i))) AS label FROM events",
+            "SELECT event_id, unnest(CASE WHEN event_id % 7 <> 0 THEN range(event_id % 4) END) AS n,"
+            " unnest(CASE WHEN event_id % 5 <> 0 THEN list_transform(range(event_id % 3), lambda i: concat('v', i)) END)"
+            " AS label FROM events",
         ),
         "events_with_species": q(
-            ("gathered",),
-            "SELECT fish_obsrvtn_event_id, array_to_string(obs_ids, ',') AS obs_ids FROM gathered"
+            ("cut_usual",),
+            "SELECT fish_obsrvtn_event_id, part_no, array_to_string(obs_ids, ',') AS obs_ids FROM cut_usual"
             " WHERE list_has_any(species_ids, [499, 518])",
         ),
+        "events_with_species_in_parts": q(
+            ("cut_small",),
+            "SELECT c.fish_obsrvtn_event_id, part_no, array_to_string(c.obs_ids, ',') AS obs_ids"
+            " FROM cut_small c JOIN gathered g ON g.fish_obsrvtn_event_id = c.fish_obsrvtn_event_id"
+            " WHERE list_has_any(g.species_ids, [499, 518])",
+        ),
         "events_with_observation": q(
-            ("gathered",),
-            "SELECT fish_obsrvtn_event_id, array_to_string(species_codes, ',') AS species_codes FROM gathered"
+            ("cut_usual",),
+            "SELECT fish_obsrvtn_event_id, part_no, array_to_string(species_codes, ',') AS species_codes FROM cut_usual"
             " WHERE list_contains(obs_ids, 391)",
         ),
     }

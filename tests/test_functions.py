@@ -142,7 +142,6 @@ def test_wkb_points(spark):
         (two, [(1.5, -2.5), (1e-310, 1234567.890123)]),
         (none, []),
         (wkb_point(float("nan"), float("nan")), []),
-        (b"\x01" + struct.pack("<II", 2, 0), None),
         (None, None),
     ]
     df = spark.createDataFrame([(i, bytearray(w) if w else None) for i, (w, _) in enumerate(cases)], "i int, g binary")
@@ -151,6 +150,12 @@ def test_wkb_points(spark):
         assert (None if got[i] is None else [tuple(p) for p in got[i]]) == expected, i
 
 
+def test_other_geometry_stops(spark):
+    df = spark.createDataFrame([(bytearray(b"\x01" + struct.pack("<II", 2, 0)),)], "g binary")
+    with pytest.raises(Exception, match="neither a point"):
+        df.select(wkb_points("g")).collect()
+
+
 def test_duplicates_group_nulls(spark):
     import datetime
 
@@ -190,3 +195,9 @@ def test_unnest_pads(spark):
     df = spark.createDataFrame([(1, [1, 2, 3], ["a", "b"])], "i int, n array<int>, t array<string>")
     rows = events.unnest(df, {"n": "n1", "t": "t1"}).collect()
     assert [(r.n1, r.t1) for r in rows] == [(1, "a"), (2, "b"), (3, None)]
+
+
+def test_unnest_null_arrays(spark):
+    df = spark.createDataFrame([(1, None, ["x", "y"]), (2, [7], None), (3, None, None), (4, [], [])], "i int, n array<int>, t array<string>")
+    rows = events.unnest(df, {"n": "n1", "t": "t1"}).orderBy("i", "t1").collect()
+    assert [tuple(r) for r in rows] == [(1, None, "x"), (1, None, "y"), (2, 7, None)]

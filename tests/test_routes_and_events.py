@@ -107,14 +107,33 @@ def test_unmatched_rollup(spark):
         [("a", 5, "ST", 1.0, 1.0), ("b", 3, "CO", 1.0, 1.0), ("c", 9, "??", 2.0, 2.0)],
         "observation_key string, fish_observation_point_id long, species_code string, x double, y double",
     )
-    reach = spark.createDataFrame([("a", 7.0), ("a", 8.0), ("b", 7.0)], "observation_key string, distance double")
-    got = events.rollup_unmatched(left, reach, species(spark)).orderBy("x").collect()
+    lines = streams(spark, line(1, (8, 1, 0), (8, 2, 1)), line(2, (9, 1, 0), (9, 2, 1)))
+    left = left.withColumn("x", F.when(F.col("x") == 2.0, 9000.0).otherwise(F.col("x")))
+    got = events.rollup_unmatched(left, lines, species(spark)).orderBy("x").collect()
     assert [(r.fish_obsrvtn_pnt_distinct_id, r.obs_ids, r.species_ids, r.distance_to_stream) for r in got] == [
         (3, [3, 5], [12, 11], 7.0),
         (9, [9], [None], None),
     ]
 
 
+def test_parts_follow_the_ids(spark, monkeypatch):
+    monkeypatch.setattr(events, "BUCKET", 7)
+    rolled = events.rollup_events(observed(spark, 40), species(spark), max_items=10)
+    big = rolled.where("downstream_route_measure = 34180").orderBy("part_no").collect()
+    assert [r.part_no for r in big] == [0, 1, 2, 3]
+    assert [r.obs_ids for r in big] == [list(range(s, s + 10)) for s in range(0, 40, 10)]
+    # one observation at one part brings the whole event
+    assert events.events_with_observation(rolled, 33).count() == 4
+    assert events.events_with_species(rolled, [11]).count() == 4
+    left = spark.createDataFrame(
+        [(f"k{i}", i, "ST", 1.0, 1.0) for i in range(25)],
+        "observation_key string, fish_observation_point_id long, species_code string, x double, y double",
+    )
+    spots = events.rollup_unmatched(left, streams(spark, line(1, (8, 1, 0), (8, 2, 1))), species(spark), max_items=10)
+    got = spots.orderBy("part_no").collect()
+    assert [(r.fish_obsrvtn_pnt_distinct_id, r.part_no, len(r.obs_ids)) for r in got] == [(0, 0, 10), (0, 1, 10), (0, 2, 5)]
+
+
 def test_lookups_sort_by_path(spark):
     rows = [("b", "9", "9", 1.0), ("a", "100.2", "1", 5.0), ("c", "100.2", "1", 2.0), ("d", None, "1", 2.0)]
     obs = spark.createDataFrame(rows, "observation_key string, wscode string, localcode string, downstream_route_measure double")

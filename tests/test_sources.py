@@ -73,6 +73,23 @@ def test_fractional_ids_stop(spark, tmp_path):
         sources.read_observations(spark, str(tmp_path / "half")).collect()
 
 
+@pytest.mark.parametrize(
+    "column, value, kind",
+    [("wbody_id", 5.7, "double"), ("utm_zone", decimal.Decimal("9.6"), "decimal(3,1)"), ("agency_id", float("nan"), "double")],
+)
+def test_other_fractions_stop(spark, tmp_path, column, value, kind):
+    df = observations(spark, observation()).drop(column)
+    df.crossJoin(spark.createDataFrame([(value,)], f"{column} {kind}")).write.parquet(str(tmp_path / "f"))
+    with pytest.raises(Exception, match="isn't whole|overflow"):
+        sources.read_observations(spark, str(tmp_path / "f")).collect()
+
+
+def test_long_texts_stop_at_ingest(spark, tmp_path):
+    observations(spark, observation(species_code="TOOLONG")).write.parquet(str(tmp_path / "long"))
+    with pytest.raises(ValueError, match="longer than declared"):
+        sources.read_observations(spark, str(tmp_path / "long"))
+
+
 def output(spark, *keys, **values):
     rows = []
     for k in keys:

@@ -8,7 +8,8 @@ from __future__ import annotations
 
 import struct
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,29 +20,57 @@ HAS_Z, HAS_M, HAS_SRID = 0x80000000, 0x40000000, 0x20000000
 POINT_XY = T.StructType([T.StructField("x", T.DoubleType()), T.StructField("y", T.DoubleType())])
 
 
-@F.pandas_udf(T.ArrayType(POINT_XY))
-def wkb_points(geometry: pd.Series) -> pd.Series:
+@F.arrow_udf(T.ArrayType(POINT_XY))
+def wkb_points(geometry: pa.Array) -> pa.Array:
     """The positions of a point or multi-point, in plain, ISO or extended form.
 
-    Empty geometry gives an empty array; NULL and other types give NULL.
+    Empty geometry gives an empty array, NULL gives NULL; another type stops the job.
+    Points are read together by length and header, multi-points one by one.
     """
-    return geometry.map(_positions)
+    geometry = geometry.cast(pa.large_binary())
+    offsets = np.frombuffer(geometry.buffers()[1], np.int64)[geometry.offset : geometry.offset + len(geometry) + 1]
+    data = np.frombuffer(geometry.buffers()[2] or b"", np.uint8)
+    real = np.flatnonzero(geometry.is_valid().to_numpy(zero_copy_only=False))
+    found_at, xs, ys = [], [], []
+    lengths = np.diff(offsets)[real]
+    for length in np.unique(lengths).tolist():
+        rows = real[lengths == length]
+        if length < 5:
+            raise ValueError("geometry is cut off")
+        heads = data[offsets[rows][:, None] + np.arange(5)]
+        kinds, which = np.unique(heads, axis=0, return_inverse=True)
+        for k, head in enumerate(kinds):
+            own = rows[which.ravel() == k]
+            kind, at, order = _header(head.tobytes(), 0)
+            if kind == POINT:
+                xy = data[offsets[own][:, None] + np.arange(at, at + 16)].reshape(-1).view(order + "f8").reshape(-1, 2)
+                found_at.append(own)
+                xs.append(xy[:, 0].astype(float))
+                ys.append(xy[:, 1].astype(float))
+            elif kind == MULTIPOINT:
+                for i in own.tolist():
+                    points = _parts(data[offsets[i] : offsets[i + 1]].tobytes(), at, order)
+                    found_at.append(np.full(len(points), i))
+                    xs.append(np.array([x for x, _ in points], float))
+                    ys.append(np.array([y for _, y in points], float))
+            else:
+                raise ValueError(f"geometry type {kind} is neither a point nor a multi-point")
+    at, x, y = (np.concatenate([np.zeros(0, t), *c]) for t, c in ((np.int64, found_at), (float, xs), (float, ys)))
+    kept = ~(np.isnan(x) | np.isnan(y))  # an empty point is written with NaN coordinates
+    order = np.flatnonzero(kept)[np.argsort(at[kept], kind="stable")]
+    ends = np.searchsorted(at[order], np.arange(len(geometry) + 1)).astype(np.int32)
+    points = pa.StructArray.from_arrays([pa.array(x[order]), pa.array(y[order])], ["x", "y"])
+    return pa.ListArray.from_arrays(pa.array(ends), points, mask=geometry.is_null())
 
 
-def _positions(wkb: bytes | None) -> list[dict[str, float]] | None:
-    if wkb is None:
-        return None
-    kind, at, order = _header(wkb, 0)
-    if kind == POINT:
-        starts = [0]
-    elif kind == MULTIPOINT:
-        (n,) = struct.unpack_from(order + "I", wkb, at)
-        starts = [at + 4 + i * ((len(wkb) - at - 4) // n) for i in range(n)]
-    else:
-        return None
-    points = (_point(wkb, s) for s in starts)
-    # an empty point is written with NaN coordinates
-    return [{"x": x, "y": y} for x, y in points if x == x and y == y]
+def _parts(wkb: bytes, at: int, order: str) -> list[tuple[float, float]]:
+    (n,) = struct.unpack_from(order + "I", wkb, at)
+    size = (len(wkb) - at - 4) // max(n, 1)
+    out = []
+    for i in range(n):
+        _, start, own = _header(wkb, at + 4 + i * size)
+        out.append(struct.unpack_from(own + "2d", wkb, start))
+    return out
 
 
 def _header(wkb: bytes, start: int) -> tuple[int, int, str]:
@@ -49,8 +78,3 @@ def _header(wkb: bytes, start: int) -> tuple[int, int, str]:
     (code,) = struct.unpack_from(order + "I", wkb, start + 1)
     plain = code & ~(HAS_Z | HAS_M | HAS_SRID)
     return plain % 1000, start + (9 if code & HAS_SRID else 5), order
-
-
-def _point(wkb: bytes, start: int) -> tuple[float, float]:
-    _, at, order = _header(wkb, start)
-    return struct.unpack_from(order + "2d", wkb, at)

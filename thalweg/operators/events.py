@@ -1,21 +1,24 @@
 """The event model: one row per (route, measure) with arrays of observations.
 
-An event's arrays can't grow without limit. Events with more observations than
-`max_items` are cut into parts, rows that differ in `part_no`; explosion puts
-them together again.
+An event's arrays can't grow without limit. Every event is cut into parts of
+`max_items` observations in the order of their ids, rows that differ in `part_no`;
+(event id, part_no) is the table's key. Explosion and membership put parts together
+again, so answers don't depend on where they are cut.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from thalweg.functions import event_id
-from thalweg.operators.skew import SLICE, hot_keys, spread
+from thalweg.operators.nearest import nearest_lines
 
 MAX_ITEMS = 100_000
+#: Ids that are numbered in one go; bounds the rows of one key in a window.
+BUCKET = 65_536
 
 EVENT = ("blue_line_key", "downstream_route_measure")
 
@@ -35,7 +38,7 @@ def rollup_events(observations: DataFrame, species: DataFrame, max_items: int =
         F.col("distance_to_stream").alias("distance"),
     )
     gathered = (
-        _in_parts(named, EVENT, "observation_key", max_items)
+        _in_parts(named, EVENT, "fish_observation_point_id", max_items)
         .groupBy(*EVENT, "part_no")
         .agg(F.sort_array(F.collect_list(item)).alias("items"))
     )
@@ -68,29 +71,45 @@ def _event_columns(events: DataFrame) -> DataFrame:
 
 
 def _in_parts(df: DataFrame, on: Sequence[str], by: str, max_items: int) -> DataFrame:
-    """Add `part_no`: 0, or a share of an oversized group chosen by `by`."""
-    return spread(df, hot_keys(df, on, max_items), on, [by]).withColumnRenamed(SLICE, "part_no")
+    """Add `part_no`, the position within the group in the order of the ids `by` by `max_items`, and `first_id`.
+
+    Rows are counted per bucket of ids and numbered within it, so that even the
+    largest group is never numbered by one task.
+    """
+    bucketed = df.withColumn("_bucket", F.floor(F.col(by) / BUCKET))
+    counts = bucketed.groupBy(*on, "_bucket").agg(F.count("*").alias("n"), F.min(by).alias("least"))
+    earlier = Window.partitionBy(*on).orderBy("_bucket")
+    before = counts.select(
+        *on,
+        "_bucket",
+        F.coalesce(F.sum("n").over(earlier.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"),
+        F.min("least").over(earlier.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("first_id"),
+    )
+    within = Window.partitionBy(*on, "_bucket").orderBy(by)
+    numbered = bucketed.withColumn("_no", F.row_number().over(within) - 1)
+    part = F.floor((F.col("before") + F.col("_no")) / max_items).cast("long")
+    return numbered.join(before, [*on, "_bucket"]).withColumn("part_no", part).drop("_bucket", "_no", "before")
 
 
 def rollup_unmatched(
-    unmatched: DataFrame, candidates: DataFrame, species: DataFrame, max_items: int = MAX_ITEMS
+    unmatched: DataFrame, lines: DataFrame, species: DataFrame, max_items: int = MAX_ITEMS
 ) -> DataFrame:
     """Distinct positions of unmatched observations, gathered like events.
 
-    A row is named by its lowest observation id; the distance is that to the
-    closest candidate line, NULL where none is in reach. Every observation of a
-    position has the same candidates.
+    A position is named by its lowest observation id. Its distance is that to the
+    closest of `lines` (as for `nearest_lines`), looked for once per position, and
+    NULL where none is in reach.
     """
     ids = species.select(F.col("code").alias("species_code"), "species_id")
-    reach = candidates.groupBy("observation_key").agg(F.min("distance").alias("distance"))
-    placed = unmatched.join(reach, "observation_key", "left").join(ids, "species_code", "left")
     item = F.struct(F.col("fish_observation_point_id").alias("obs_id"), "species_id")
-    parted = _in_parts(placed, ("x", "y"), "observation_key", max_items)
+    parted = _in_parts(unmatched.join(ids, "species_code", "left"), ("x", "y"), "fish_observation_point_id", max_items)
     spots = parted.groupBy("x", "y", "part_no").agg(
-        F.sort_array(F.collect_list(item)).alias("items"), F.min("distance").alias("distance_to_stream")
+        F.sort_array(F.collect_list(item)).alias("items"), F.min("first_id").alias("fish_obsrvtn_pnt_distinct_id")
     )
-    return spots.select(
-        F.element_at("items", 1)["obs_id"].alias("fish_obsrvtn_pnt_distinct_id"),
+    places = unmatched.select("x", "y").distinct()
+    reach = nearest_lines(places, lines, by=["x", "y"], k=1)
+    return spots.join(reach.select("x", "y", F.col("distance").alias("distance_to_stream")), ["x", "y"], "left").select(
+        "fish_obsrvtn_pnt_distinct_id",
         "part_no",
         F.transform("items", lambda i: i["obs_id"]).alias("obs_ids"),
         F.transform("items", lambda i: i["species_id"]).alias("species_ids"),
@@ -103,10 +122,11 @@ def rollup_unmatched(
 def unnest(df: DataFrame, arrays: dict[str, str]) -> DataFrame:
     """Explode several arrays side by side; shorter ones are padded with NULL.
 
-    `arrays` maps array columns to the names of their elements.
+    `arrays` maps array columns to the names of their elements. A NULL array counts
+    as an empty one.
     """
     rest = [c for c in df.columns if c not in arrays]
-    zipped = F.arrays_zip(*arrays)
+    zipped = F.arrays_zip(*[F.coalesce(a, F.array().cast(df.schema[a].dataType)).alias(a) for a in arrays])
     rows = df.select(*rest, F.explode(zipped).alias("_item"))
     return rows.select(*rest, *[F.col("_item")[a].alias(n) for a, n in arrays.items()])
 
@@ -187,10 +207,15 @@ def explode_events(
 
 
 def events_with_species(events: DataFrame, species_ids: Sequence[int]) -> DataFrame:
-    """Events at which any of the species was seen."""
+    """All parts of the events at which any of the species was seen."""
     wanted = F.array(*[F.lit(int(i)) for i in species_ids])
-    return events.where(F.arrays_overlap("species_ids", wanted))
+    return _whole(events, events.where(F.arrays_overlap("species_ids", wanted)))
 
 
 def events_with_observation(events: DataFrame, observation_id: int) -> DataFrame:
-    return events.where(F.array_contains("obs_ids", F.lit(observation_id).cast("long")))
+    """All parts of the event that holds the observation."""
+    return _whole(events, events.where(F.array_contains("obs_ids", F.lit(observation_id).cast("long"))))
+
+
+def _whole(events: DataFrame, found: DataFrame) -> DataFrame:
+    return events.join(found.select("fish_obsrvtn_event_id").distinct(), "fish_obsrvtn_event_id", "left_semi")

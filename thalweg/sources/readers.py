@@ -12,11 +12,15 @@ from pyspark.sql import types as T
 
 from thalweg import schemas
 from thalweg.functions.wkb import wkb_points
+from thalweg.sources.writers import check_lengths
 
 
 def read_observations(spark: SparkSession, path: str, geometry: str = "geom") -> DataFrame:
     """Source observations, with `x` and `y`, or `points` for multi-part positions.
 
+    Texts longer than their declared length stop the read: all rows are checked
+    here, matched or not.
+
     The file holds `x` and `y`, a `points` array, or well-known binary in
     `geometry`. A whole new file replaces the old one: nothing is kept between
     reads.
@@ -24,10 +28,15 @@ def read_observations(spark: SparkSession, path: str, geometry: str = "geom") ->
     df = spark.read.parquet(path)
     fields = schemas.OBSERVATION_FIELDS
     if {"x", "y"} <= set(df.columns):
-        return _typed(df, schemas.OBSERVATIONS.fields)
+        return _checked(_typed(df, schemas.OBSERVATIONS.fields), fields)
     if "points" in df.columns:
-        return _typed(df, schemas.MULTIPART_OBSERVATIONS.fields)
-    return df.select(*_casts(df, fields), wkb_points(geometry).alias("points"))
+        return _checked(_typed(df, schemas.MULTIPART_OBSERVATIONS.fields), fields)
+    return _checked(df.select(*_casts(df, fields), wkb_points(geometry).alias("points")), fields)
+
+
+def _checked(df: DataFrame, fields: list[T.StructField]) -> DataFrame:
+    check_lengths(df, schemas.length_limits(T.StructType(fields)))
+    return df
 
 
 def read_streams(spark: SparkSession, path: str) -> DataFrame:
@@ -82,9 +91,10 @@ def _casts(df: DataFrame, fields: list[T.StructField]):
     for f in fields:
         c = F.col(f.name)
         actual = df.schema[f.name].dataType
-        if isinstance(f.dataType, T.LongType) and isinstance(actual, T.DecimalType):
+        if isinstance(f.dataType, T.IntegralType) and isinstance(actual, T.FractionalType):
+            # NaN and infinite values fail this too; a whole number too large fails the cast
             whole = c.isNull() | (c == F.floor(c))
-            c = F.when(whole, c.cast("long")).otherwise(
+            c = F.when(whole, c.cast(f.dataType)).otherwise(
                 F.raise_error(F.concat(F.lit(f"{f.name} isn't whole: "), c.cast("string")))
             )
         out.append(c.cast(f.dataType).alias(f.name, metadata=f.metadata))
