@@ -101,6 +101,8 @@ def output(spark, *keys, **values):
 
 def test_publishing_is_all_or_nothing(spark, tmp_path):
     path = str(tmp_path / "out")
+    with pytest.raises(ValueError, match="nothing is published"):
+        sources.read_published(spark, path)
     sources.write_observations(output(spark, "a", "b"), path)
     assert sources.read_published(spark, path).count() == 2
     for bad in (output(spark, "a", "a"), output(spark, "a", species_code="TOOLONG"), output(spark, None)):
@@ -124,3 +126,15 @@ def test_duplicate_report_csv(spark, tmp_path):
     sources.write_duplicates(observations(spark, row, row, observation(source="t")), path)
     back = spark.read.option("header", True).csv(path).collect()
     assert [(r.source, r.n) for r in back] == [("s", "2")] and len(back[0]) == 9
+
+
+def test_staged_tables_are_removed_on_request(spark, tmp_path, monkeypatch):
+    import glob
+
+    from thalweg import staging
+
+    monkeypatch.setattr(staging, "_shared_dir", lambda spark: str(tmp_path))
+    assert staging.stage(spark.range(3), "x").count() == 3
+    assert len(glob.glob(f"{tmp_path}/staged-*/x-*")) == 1
+    staging.clear_staged(spark)
+    assert not glob.glob(f"{tmp_path}/staged-*")

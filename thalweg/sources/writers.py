@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,16 +34,29 @@ def write_observations(df: DataFrame, path: str) -> str:
     written = spark.read.schema(OUTPUT).parquet(f"{path}/runs/{run}")
     check_lengths(written)
     assert_unique(written, ["observation_key"])
-    entry = spark.range(1).select(F.lit(run).alias("run"), F.current_timestamp().alias("published_at"))
+    entry = spark.range(1).select(F.lit(run).alias("run"), F.lit(_last(spark, path)[1] + 1).cast("long").alias("number"))
     entry.write.mode("append").parquet(f"{path}/published")
     return run
 
 
 def read_published(spark: SparkSession, path: str) -> DataFrame:
     """The last published output table."""
-    published = spark.read.schema("run string, published_at timestamp").parquet(f"{path}/published")
-    last = published.orderBy(F.col("published_at").desc(), F.col("run").desc()).limit(1).collect()
-    return spark.read.schema(OUTPUT).parquet(f"{path}/runs/{last[0]['run']}")
+    run, number = _last(spark, path)
+    if not number:
+        raise ValueError(f"nothing is published at {path}")
+    return spark.read.schema(OUTPUT).parquet(f"{path}/runs/{run}")
+
+
+def _last(spark: SparkSession, path: str) -> tuple[str, int]:
+    """The run with the largest number, which no clock decides; (empty, 0) before the first."""
+    try:
+        published = spark.read.schema("run string, number long").parquet(f"{path}/published")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return "", 0
+    last = published.orderBy(F.col("number").desc(), F.col("run").desc()).first()
+    return (last.run, last.number) if last else ("", 0)
 
 
 def export_observations(df: DataFrame, path: str, columns: Sequence[str] = OUTPUT_COLUMNS) -> None:

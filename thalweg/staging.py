@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -16,18 +19,30 @@ def stage(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
     Later steps read just the columns they need, don't repeat the work, and
     survive the loss of executors without going back to the sources.
     """
-    path = f"{_shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    path = f"{_run_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").option("compression", codec).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def clear_staged(spark: SparkSession) -> None:
+    """Remove everything this application has staged; frames over it can't be read any more."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(_run_dir(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def _run_dir(spark: SparkSession) -> str:
+    return f"{_shared_dir(spark)}/staged-{spark.sparkContext.applicationId}"
+
+
 def _shared_dir(spark: SparkSession) -> str:
-    """The session's checkpoint folder; in local mode one is made if unset."""
+    """The session's checkpoint folder; in a single local JVM one is made if unset, and removed at exit."""
     shared = spark.conf.get(CHECKPOINT_DIR, None)
     if shared:
         return shared.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):  # local-cluster has executors of its own
         raise ValueError(f"{CHECKPOINT_DIR} must name a folder that all executors share")
     own = tempfile.mkdtemp(prefix="thalweg-")
+    atexit.register(shutil.rmtree, own, ignore_errors=True)
     spark.conf.set(CHECKPOINT_DIR, own)
     return own
