@@ -475,6 +475,37 @@ def oracle_sql() -> dict[str, str]:
             " string_split(localcode_ltree, '.')[1:2] = ['100', '1000002'] AS below_route"
             " FROM streams",
         ),
+        "path_order_rank": q(
+            ("streams",),
+            "SELECT linear_feature_id, row_number() OVER (PARTITION BY blue_line_key ORDER BY"
+            " string_split(concat(stream_order, '.', localcode_ltree), '.'), linear_feature_id) AS place"
+            " FROM streams WHERE localcode_ltree IS NOT NULL",
+        ),
+        "read_observations_binary": q(
+            ("source",),
+            "SELECT fish_observation_point_id, wbody_id, species_code, CAST(observation_date AS VARCHAR)"
+            " AS observation_date, utm_zone, x + part AS x, y FROM source CROSS JOIN (VALUES (0), (1)) v(part)"
+            " WHERE part = 0 OR fish_observation_point_id % 5 = 0",
+        ),
+        "read_streams": q(
+            ("streams", "edges"),
+            "SELECT s.* EXCLUDE (l, i), 3 AS n_vertices, e.z2 AS second_z FROM streams s"
+            " JOIN edges e ON e.linear_feature_id = s.linear_feature_id AND e.edge_no = 0",
+        ),
+        "read_waterbody_dictionary": q(
+            ("wb_numbers",),
+            "SELECT CAST(id AS INTEGER) AS id, concat(lpad(CAST(id + 1 AS VARCHAR), 5, '0'), 'ABCD') AS waterbody_identifier,"
+            " CASE id % 3 WHEN 0 THEN '' WHEN 1 THEN concat('Big \"B\" Lake, North', chr(10), 'Arm') END AS gazetted_name,"
+            " id % 3 = 2 AS no_name FROM wb_numbers",
+        ),
+        "read_species": q(("species",), "SELECT species_id, code, name FROM species"),
+        "read_waterbody_xref": q(
+            ("wb_numbers",),
+            "SELECT id + 1 AS waterbody_key_50k, 'ABCD' AS watershed_group_code_50k, waterbody_key AS waterbody_key_20k"
+            " FROM wb_numbers",
+        ),
+        "read_waterbodies": q(("wb_numbers",), "SELECT waterbody_key FROM wb_numbers"),
+        "read_stream_xref": q(("stream_xref",), "SELECT * FROM stream_xref"),
         "path_order_extremes": q(
             ("streams",),
             "SELECT watershed_group_code, array_to_string(min(p), '.') AS first_path,"
@@ -635,6 +666,9 @@ def oracle_sql() -> dict[str, str]:
             " WHERE list_contains(obs_ids, 391)",
         ),
     }
+    # a round trip through a sink changes nothing
+    out |= {"duplicates_csv": out["obs_duplicates"]}
+    out |= dict.fromkeys(("published_observations", "exported_observations"), out["observations"])
     for t in "abcde":
         out[f"tier_{t}"] = q((f"tier_{t}",), f"SELECT {tier_columns} FROM tier_{t}")
     return out

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from checks import standins
@@ -22,8 +22,10 @@ from thalweg.operators.grouping import duplicate_report, key_collisions, repeate
 from thalweg.operators.nearest import nearest_lines
 from thalweg.operators.routes import anchor_codes, elevation_at, locate_along
 from thalweg.operators.skew import spread_join
+from thalweg import schemas
+from thalweg import sources as io
 from thalweg.plans import Sources, build, lookups, snapping
-from thalweg.staging import stage
+from thalweg.staging import stage, staged_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -112,6 +114,80 @@ def multipart_points(spark, sf_dir):
     return snapping.explode_points(source)
 
 
+# --- sources and sinks: stand-ins written in source form and read back ------
+
+
+def _written(df: DataFrame, name: str, form: str = "parquet") -> str:
+    path = staged_path(df.sparkSession, name)
+    (df.write.parquet if form == "parquet" else df.write.option("header", True).option("escape", '"').csv)(path)
+    return path
+
+
+@_query
+def read_observations_binary(spark, sf_dir):
+    read = io.read_observations(spark, _written(standins.binary_observations(spark, sf_dir), "observations"))
+    columns = ("fish_observation_point_id", "wbody_id", "species_code", "observation_date", "utm_zone", "x", "y")
+    return _date_text(snapping.explode_points(read).select(*columns))
+
+
+@_query
+def read_streams(spark, sf_dir):
+    read = io.read_streams(spark, _written(standins.streams(spark, sf_dir), "streams"))
+    flat_columns = [c for c in read.columns if c != "vertices"]
+    return read.select(*flat_columns, F.size("vertices").alias("n_vertices"), F.col("vertices")[1]["z"].alias("second_z"))
+
+
+@_query
+def read_waterbody_dictionary(spark, sf_dir):
+    name = F.when(F.col("id") % 3 == 0, "").when(F.col("id") % 3 == 1, 'Big "B" Lake, North\nArm')
+    rows = standins.padded(standins.waterbody_dictionary(spark, sf_dir).withColumn("gazetted_name", name), schemas.WATERBODY_DICTIONARY)
+    read = io.read_waterbody_dictionary(spark, _written(rows, "dictionary", "csv"))
+    return read.select("id", "waterbody_identifier", "gazetted_name", F.col("gazetted_name").isNull().alias("no_name"))
+
+
+@_query
+def read_species(spark, sf_dir):
+    rows = standins.padded(standins.species(spark, sf_dir), schemas.SPECIES)
+    return io.read_species(spark, _written(rows, "species", "csv")).select("species_id", "code", "name")
+
+
+@_query
+def read_waterbody_xref(spark, sf_dir):
+    return io.read_waterbody_xref(spark, _written(standins.waterbody_xref(spark, sf_dir), "waterbody-xref"))
+
+
+@_query
+def read_waterbodies(spark, sf_dir):
+    return io.read_waterbodies(spark, _written(standins.waterbodies(spark, sf_dir), "waterbodies"))
+
+
+@_query
+def read_stream_xref(spark, sf_dir):
+    return io.read_stream_xref(spark, _written(standins.stream_xref(spark, sf_dir), "stream-xref"))
+
+
+@_query
+def duplicates_csv(spark, sf_dir):
+    path = staged_path(spark, "duplicates")
+    io.write_duplicates(standins.observations(spark, sf_dir), path)
+    schema = duplicate_report(standins.observations(spark, sf_dir)).schema
+    return _date_text(spark.read.schema(schema).option("header", True).csv(path))
+
+
+@_query
+def published_observations(spark, sf_dir):
+    path = staged_path(spark, "published")
+    io.write_observations(build(standins.sources(spark, sf_dir)), path)
+    return flat(io.read_published(spark, path))
+
+
+@_query
+def exported_observations(spark, sf_dir):
+    path = staged_path(spark, "export")
+    io.export_observations(build(standins.sources(spark, sf_dir)), path)
+    return flat(spark.read.parquet(path))
+
+
 # --- streams, codes, geometry ----------------------------------------------
 
 
@@ -147,6 +223,14 @@ def path_order_extremes(spark, sf_dir):
     )
 
 
+@_query
+def path_order_rank(spark, sf_dir):
+    code = F.concat(F.col("stream_order").cast("string"), F.lit("."), F.col("localcode_ltree"))
+    coded = standins.streams(spark, sf_dir).where("localcode_ltree is not null")
+    place = Window.partitionBy("blue_line_key").orderBy(path_order(code), "linear_feature_id")
+    return coded.select("linear_feature_id", F.row_number().over(place).cast("long").alias("place"))
+
+
 @_query
 def point_edge_distance(spark, sf_dir):
     lines = standins.streams(spark, sf_dir)

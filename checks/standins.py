@@ -7,7 +7,12 @@ both engines hold identical rows.
 
 from __future__ import annotations
 
+import struct
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from thalweg.plans import Sources
 
@@ -127,3 +132,26 @@ def sources(spark: SparkSession, sf_dir: str) -> Sources:
         stream_xref=stream_xref(spark, sf_dir),
         species=species(spark, sf_dir),
     )
+
+
+@F.arrow_udf(T.BinaryType())
+def binary_position(x: pa.Array, y: pa.Array, parts: pa.Array) -> pa.Array:
+    """Well-known binary: a point, or with two parts a multi-point whose second part lies one to the east."""
+    out = []
+    for a, b, n in zip(x.to_pylist(), y.to_pylist(), parts.to_pylist()):
+        points = [struct.pack("<BIdd", 1, 1, a + i, b) for i in range(n)]
+        out.append(points[0] if n == 1 else struct.pack("<BII", 1, 4, n) + b"".join(points))
+    return pa.array(out, pa.binary())
+
+
+def binary_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The observations as a source may hold them: binary positions, decimal ids, every fifth in two parts."""
+    parts = F.when(F.col("fish_observation_point_id") % 5 == 0, 2).otherwise(1)
+    rows = observations(spark, sf_dir).withColumn("geom", binary_position("x", "y", parts)).drop("x", "y")
+    decimals = {c: F.col(c).cast("decimal(20,2)") for c in ("fish_observation_point_id", "wbody_id", "utm_zone")}
+    return rows.withColumns(decimals)
+
+
+def padded(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """All columns of a schema, those that `df` lacks NULL."""
+    return df.select(*[(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema])

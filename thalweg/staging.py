@@ -19,11 +19,16 @@ def stage(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
     Later steps read just the columns they need, don't repeat the work, and
     survive the loss of executors without going back to the sources.
     """
-    path = f"{_run_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    path = staged_path(df.sparkSession, name)
     df.write.mode("errorifexists").option("compression", codec).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def staged_path(spark: SparkSession, name: str) -> str:
+    """A new place in the shared folder, for files of one's own."""
+    return f"{_run_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def clear_staged(spark: SparkSession) -> None:
     """Remove everything this application has staged; frames over it can't be read any more."""
     jvm = spark.sparkContext._jvm
