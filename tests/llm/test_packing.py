@@ -30,7 +30,7 @@ def test_encoder(tokenizer, monkeypatch):
     monkeypatch.setattr(packing, "REMEMBERED", 10)
     monkeypatch.setattr(packing, "STEP", 50)
     own = packing.Encoder(tokenizer_path())
-    texts = TEXTS + [" ".join(R.choice(["Ab", "cde,", "Über", "naïve.", "x1y2"]) for _ in range(60)) for _ in range(30)]
+    texts = TEXTS + [" ".join(R.choice(["Ab", "cde,", "Über", "naïve.", "x1y2", "é***", "...", "it's!", "s'", "a|b||", "<|endoftext|>.", "½#", "e\u0301,", "日本&"]) for _ in range(60)) for _ in range(30)]
     for text in texts + texts[::-1]:
         assert np.frombuffer(own.encode(text or ""), own.kind).tolist() == ids_of(tokenizer, text)[:-1], text
 

@@ -26,11 +26,13 @@ LENGTH = 2048
 END_ID = 1
 #: Dimensions and bits of each on the curve, and the spread of means that its cells resolve best.
 DIMENSIONS, BITS, SPREAD = 4, 8, 0.15
-#: Leading bits of the place that name a cell, and the tokens a part should hold.
-CELL_BITS, PART_TOKENS = 14, 4_000_000
+#: Leading bits of the place that name a cell, the tokens a part should hold at least, and about the most parts.
+CELL_BITS, PART_TOKENS, PARTS = 14, 1_000_000, 20_000
 STEP = 1 << 20
 #: Chunks of text remembered by a worker (twice so many at most), and the longest one.
-REMEMBERED, LONGEST = 250_000, 48
+REMEMBERED, LONGEST = 400_000, 48
+#: Characters that, at a chunk's end, are tokens apart from the letter or digit before them.
+_ENDS = ".,;:!?*$%&#|"
 #: White space to Python that isn't to the tokenizer.
 _ODD_SPACE = dict.fromkeys("\x1c\x1d\x1e\x1f")
 
@@ -81,10 +83,12 @@ class Encoder:
             unknown = {c for c in chunks if c not in self.new}
             if unknown:
                 long = {c: self._whole(c) for c in unknown if len(c) > LONGEST}
-                for c in unknown:
-                    if c in self.old:
-                        self.new[c] = self.old[c]
-                self._learn([c for c in unknown if c not in self.new and c not in long])
+                ended = {c: core for c in unknown if c not in long and (core := c.rstrip(_ENDS)) and core != c and core[-1].isalnum()}
+                wanted = {*unknown.difference(long, ended), *ended.values(), *(c[len(core) :] for c, core in ended.items())}
+                wanted = {c for c in wanted if c not in self.new}
+                self.new.update((c, self.old[c]) for c in wanted if c in self.old)
+                self._learn([c for c in wanted if c not in self.new])
+                self.new.update((c, self.new[core] + self.new[c[len(core) :]]) for c, core in ended.items())
                 self.new.update(long)
             yield b"".join([self.new[c] for c in chunks])
             if unknown:
@@ -182,16 +186,17 @@ def pack(docs: DataFrame, path: str) -> DataFrame:
     rows = stage(tokenized(docs, path), "packing-tokens")
     cell = F.shiftright("place", DIMENSIONS * BITS - CELL_BITS)
     spark = docs.sparkSession
-    # cells are bounded by CELL_BITS; parts are as many as PART_TOKENS goes into all tokens, and a cell's last one
+    # both cells and parts are bounded, by CELL_BITS and PARTS
     cells = sorted((r.cell, r.n) for r in rows.groupBy(cell.alias("cell")).agg(F.sum("n").alias("n")).collect())
+    full = max(PART_TOKENS, sum(n for _, n in cells) // PARTS)
     first, table, filled = 0, [], 0
     for c, n in cells:
-        splits = -(-n // PART_TOKENS)
+        splits = -(-n // full)
         if splits > 1 and filled:
             first, filled = first + 1, 0
         table.append((c, first, splits))
         filled += n
-        if splits > 1 or filled >= PART_TOKENS:
+        if splits > 1 or filled >= full:
             first, filled = first + splits, 0
     dealt = spark.createDataFrame(table, "cell long, first int, splits int")
     parts = rows.withColumn("cell", cell).join(F.broadcast(dealt), "cell")
