@@ -53,9 +53,10 @@ def test_anchors_in_steps(monkeypatch):
     assert all((a == b).all() for a, b in zip(whole, substrings.anchors(data)))
 
 
-@pytest.mark.parametrize("rows_at_a_time", [1 << 14, 1])
-def test_equals_brute_force(spark, rows_at_a_time, monkeypatch):
+@pytest.mark.parametrize("rows_at_a_time, large", [(1 << 14, 1 << 17), (1, 1 << 17), (8, 3)])
+def test_equals_brute_force(spark, rows_at_a_time, large, monkeypatch):
     monkeypatch.setattr(substrings, "ROWS", rows_at_a_time)
+    monkeypatch.setattr(substrings, "LARGE", large)
     passages = [prose(n) for n in (99, 100, 101, 250, 700)] + [prose(300, "äöü€🙂ab")]
     rows = []
     for i in range(60):

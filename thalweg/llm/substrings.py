@@ -6,8 +6,8 @@ anchors, the 32-byte strings with the smallest hash among any 69 in a row. Every
 100-byte string holds an anchor, and equal strings hold it at the same place, so
 strings can only be equal where anchors are.
 
-First, Spark's external sort (which spills to disk) brings equal anchors together, and
-drops those that occur once. Where an anchor's whole surroundings repeat, all of it is
+First, each task settles what repeats within it. Then Spark's external sort (which
+spills to disk) brings equal anchors together, and drops those that occur once. Where an anchor's whole surroundings repeat, all of it is
 a repeat. Second, where they differ, the suffixes at the anchors are sorted, with the
 common prefix of neighbours; going left from there byte by byte, tuples of the byte
 and the name of what follows give the next names. A string is told by its left name and
@@ -33,9 +33,11 @@ LENGTH, ANCHOR = 100, 32
 SIDE = LENGTH - ANCHOR
 #: Bits of the filter for documents that take part in a join; its size doesn't grow, only its sharpness falls.
 FILTER_BITS = 1 << 23
-#: Rows that are named at a time, at least one anchor's.
-ROWS = 1 << 14
+#: Rows that are named at a time, at least one anchor's; anchors with more than LARGE different surroundings go string by string.
+ROWS, LARGE = 1 << 14, 1 << 17
 STEP = 1 << 20
+#: Anchors that a task looks at together.
+TASK_ROWS = 1 << 19
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -90,11 +92,28 @@ def _documents(docs: DataFrame) -> DataFrame:
 
 
 def occurrences(documents: DataFrame) -> DataFrame:
-    """Every anchor: akey, chash (of all bytes a string with it can reach), the document, pos, and the bytes after it (at most SIDE)."""
+    """Anchors: akey, chash (of all bytes a string with it can reach), the document, pos, and the bytes after it (at most SIDE).
+
+    Of equal surroundings in one task only the first place is listed as such. The others
+    are repeats for sure: they get an `after` below 0 and a key of their own, so that very
+    frequent ones don't gather anywhere.
+    """
     names = ["akey", "chash", "none", "id", "h", "pos", "after"]
+    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32())
+
+    def settled(kept: list[np.ndarray]) -> pa.RecordBatch:
+        rows = np.concatenate(kept, axis=1)
+        rows = rows[:, np.lexsort(rows[5::-1])]
+        new = np.concatenate([[True], (rows[:2, 1:] != rows[:2, :-1]).any(axis=0)])
+        first = np.maximum.accumulate(np.where(new, np.arange(rows.shape[1]), 0))
+        again = ~new & (rows[2:6] != rows[2:6, first]).any(axis=0)
+        rows[0, again] = (rows[3, again] * 0x1E3779B97F4A7C15 + rows[5, again]) * 0x2545F4914F6CDD1D
+        rows[6, again] = -1 - rows[6, again]
+        rows = rows[:, new | again]
+        return pa.RecordBatch.from_arrays([pa.array(c.astype(t.to_pandas_dtype())) for c, t in zip(rows, kinds)], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        digest = xxhash.xxh3_64_intdigest
+        digest, kept, size = xxhash.xxh3_64_intdigest, [], 0
         for b in batches:
             for i in range(b.num_rows):
                 text = b.column(3)[i].as_buffer()
@@ -108,12 +127,16 @@ def occurrences(documents: DataFrame) -> DataFrame:
                 chash = np.fromiter(
                     (digest(raw[s:e], (e - s) * 256 + p - s) for s, e, p in zip(low.tolist(), high.tolist(), pos.tolist())), np.uint64, len(pos)
                 )
-                fixed = [pa.array(np.full(len(pos), b.column(c)[i].as_py(), t)) for c, t in ((0, np.int32), (1, np.int64), (2, np.int32))]
-                cols = [pa.array(akey.view(np.int64)), pa.array(chash.view(np.int64)), *fixed]
-                cols += [pa.array(pos.astype(np.int32)), pa.array((high - pos - ANCHOR).astype(np.int32))]
-                yield pa.RecordBatch.from_arrays(cols, names)
+                fixed = [np.full(len(pos), b.column(c)[i].as_py(), np.int64) for c in range(3)]
+                kept.append(np.stack([akey.view(np.int64), chash.view(np.int64), *fixed, pos, high - pos - ANCHOR]))
+                size += len(pos)
+                if size >= TASK_ROWS:
+                    yield settled(kept)
+                    kept, size = [], 0
+        if kept:
+            yield settled(kept)
 
-    return documents.mapInArrow(_joined(run), "akey long, chash long, none int, id long, h int, pos int, after int")
+    return documents.mapInArrow(run, "akey long, chash long, none int, id long, h int, pos int, after int")
 
 
 def _joined(run, rows: int = 1 << 15):
@@ -152,6 +175,9 @@ def compared(occurring: DataFrame) -> DataFrame:
         carry, asked = None, False  # the first place of the surroundings that may go on, and if their anchor has others
         for batch in batches:
             rows = np.stack([c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns])
+            done = rows[:, rows[6] < 0]
+            yield _found(done[2:5], np.maximum(done[5] - SIDE, 0), done[5] + ANCHOR - 1 - done[6])
+            rows = rows[:, rows[6] >= 0]
             if rows.shape[1] == 0:
                 continue
             old = carry is not None
@@ -214,6 +240,41 @@ def surroundings(documents: DataFrame, asked: DataFrame) -> DataFrame:
     return near.mapInArrow(_joined(run, 1 << 13), "akey long, none int, id long, h int, pos int, nl int, nr int, left binary, right binary")
 
 
+def string_by_string(around: DataFrame) -> DataFrame:
+    """Repeats among the strings around these anchors, each string by its hash: more rows, but no group is gathered."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            none, doc_id, h, pos, nl, nr = (b.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in range(1, 7))
+            out = []
+            for i, text in enumerate(x + y for x, y in zip(b.column(7).to_pylist(), b.column(8).to_pylist())):
+                for p in range(SIDE - int(nl[i]), min(SIDE, int(nr[i]) - ANCHOR) + 1):
+                    digest = xxhash.xxh3_128_intdigest(text[p : p + LENGTH])
+                    out.append((digest >> 64, digest & 0xFFFFFFFFFFFFFFFF, none[i], doc_id[i], h[i], pos[i] - SIDE + p))
+            if out:
+                first, second, *rest = zip(*out)
+                cols = [pa.array(np.array(c, np.uint64).view(np.int64)) for c in (first, second)]
+                kinds = (pa.int32(), pa.int64(), pa.int32(), pa.int32())
+                yield pa.RecordBatch.from_arrays([*cols, *(pa.array(c, t) for c, t in zip(rest, kinds))], ["a", "b", "none", "id", "h", "start"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        carry = None
+        for batch in batches:
+            rows = np.stack([c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns])
+            if rows.shape[1] == 0:
+                continue
+            if carry is not None:
+                rows = np.concatenate([carry[:, None], rows], axis=1)
+            new = np.concatenate([[True], (rows[:2, 1:] != rows[:2, :-1]).any(axis=0)])
+            first = np.maximum.accumulate(np.where(new, np.arange(rows.shape[1]), 0))
+            again = ~new & (rows[2:] != rows[2:, first]).any(axis=0)
+            yield _found(rows[2:5, again], rows[5, again], rows[5, again] + LENGTH)
+            carry = rows[:, first[-1]].copy()
+
+    listed = around.mapInArrow(_joined(cut), "a long, b long, none int, id long, h int, start int").repartition("a", "b")
+    return listed.sortWithinPartitions("a", "b", "none", "id", "h", "start").mapInArrow(_joined(run), from_arrow_schema(_FOUND))
+
+
 def induced(around: DataFrame) -> DataFrame:
     """Repeats among anchors whose surroundings differ."""
 
@@ -295,7 +356,11 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     documents = _documents(docs)
     once = stage(compared(occurrences(documents)), "substrings-compared")
     asked = once.where("akey IS NOT NULL")
-    more = stage(induced(surroundings(documents, asked)), "substrings-induced")
+    large = asked.groupBy("akey").agg(F.count("*").alias("rows")).where(F.col("rows") > LARGE).select("akey")
+    large = stage(large, "substrings-large")
+    around = stage(surroundings(documents, asked), "substrings-around", "zstd")
+    usual, rest = around.join(large, "akey", "left_anti"), around.join(large, "akey", "left_semi")
+    more = stage(induced(usual).union(string_by_string(rest)), "substrings-induced")
     spans = once.where("akey IS NULL").union(more)
     each = stage(
         spans.groupBy("none", "id", "h").agg(F.collect_set(F.struct("start", "stop")).alias("spans")), "substrings-spans"
