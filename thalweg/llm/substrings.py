@@ -37,7 +37,7 @@ FILTER_BITS = 1 << 23
 ROWS, LARGE = 1 << 14, 1 << 17
 STEP = 1 << 20
 #: Anchors that a task looks at together.
-TASK_ROWS = 1 << 19
+TASK_ROWS = 1 << 17
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
