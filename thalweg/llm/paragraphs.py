@@ -7,8 +7,9 @@ those that collide in a band are compared by the exact Jaccard of their shingles
 and what reaches the threshold is clustered by connected components.
 
 A passage may also stand inside a longer line. So a line of several sentences is
-cut after about every other one, by a hash of the sentence itself, and these pieces
-take part with their ids alone: too short for an edit to leave 0.8 of their shingles.
+cut after about every other one, by a hash of the sentence itself, in `CUTS` ways, and
+these pieces take part with their ids alone: too short for an edit to leave 0.8 of
+their shingles.
 """
 
 from __future__ import annotations
@@ -32,6 +33,8 @@ RECALL = 0.999
 #: Words of a line, and of a piece of one, that take part; shorter ones are headings and boilerplate.
 LINE_WORDS = 20
 PIECE_WORDS = 12
+#: Ways to cut a line into pieces, each by another bit of the sentences' hashes.
+CUTS = 2
 #: In a bucket of up to so many different paragraphs all meet; in larger ones all meet this many of them.
 SMALL, HUBS = 32, 8
 
@@ -69,16 +72,19 @@ def units(text: str) -> Iterator[tuple[int, int, int, list[str]]]:
         if len(words) < LINE_WORDS:
             continue
         yield 0, s, e, words
-        cuts, at = [], s
+        sentences, at = [], s
         for m in _SENTENCE.finditer(text, s, e):
-            if xxhash.xxh3_64_intdigest(" ".join(_WORD.findall(text[at : m.start()].lower()))) & 1:
-                cuts.append((m.start(), m.end()))
+            bits = xxhash.xxh3_64_intdigest(" ".join(_WORD.findall(text[at : m.start()].lower())))
+            sentences.append((m.start(), m.end(), bits))
             at = m.end()
-        if cuts:
-            for a, b in zip([s, *(x[1] for x in cuts)], [*(x[0] for x in cuts), e]):
-                piece = _WORD.findall(text[a:b].lower())
-                if len(piece) >= PIECE_WORDS:
-                    yield 1, a, b, piece
+        pieces = set()
+        for way in range(CUTS):
+            cuts = [(a, b) for a, b, bits in sentences if bits >> way & 1]
+            pieces.update(zip([s, *(b for _, b in cuts)], [*(a for a, _ in cuts), e]))
+        for a, b in sorted(pieces - {(s, e)}):
+            piece = _WORD.findall(text[a:b].lower())
+            if len(piece) >= PIECE_WORDS:
+                yield 1, a, b, piece
 
 
 def _hash(level: int, words: list[str]) -> int:
