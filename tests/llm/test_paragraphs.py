@@ -84,3 +84,45 @@ def test_pairs_of_buckets():
     assert {(1, 2), (1, 3), (2, 3)} <= pairs
     hubs = [{a if b == x else b for a, b in pairs if x in (a, b)} for x in range(50)]
     assert min(map(len, hubs)) >= 7 and len(pairs) <= 50 * paragraphs.HUBS + 3
+
+
+def clustered(clusters, variants):
+    """Word lists from one template: below the threshold across clusters, near it within."""
+    base = line(60).replace(".", "").split()
+    out = []
+    for c in range(clusters):
+        own = list(base)
+        for k in (7, 41):
+            own[k] = f"cluster{c}x{k}"
+        for v in range(variants):
+            w = list(own)
+            w[(5 * v) % 60] = f"variant{c}y{v}"
+            out.append(w)
+    R.shuffle(out)
+    return out
+
+
+def brute_components(many):
+    label = list(range(len(many)))
+    for i in range(len(many)):
+        for j in range(i):
+            if label[i] != label[j] and paragraphs.jaccard(many[i], many[j]) >= paragraphs.SIMILARITY:
+                old, new = max(label[i], label[j]), min(label[i], label[j])
+                label = [new if x == old else x for x in label]
+    return label
+
+
+def test_large_bucket_equals_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(paragraphs, "BLOCK", 90)  # several blocks
+    many = clustered(100, 3)
+    want = brute_components(many)
+    assert 20 < len(set(want)) < len(many)
+    # one bucket that holds all of them, so each link can come from nowhere else
+    scanned = spark.createDataFrame([(paragraphs._hash(0, w) % 2**63, 0, " ".join(w), [1]) for w in many], "uid long, level int, line string, bands array<long>")
+    pairs, members = paragraphs.candidates(scanned)
+    label = {u: u for u in (r.uid for r in scanned.collect())}
+    for a, b in paragraphs.verified(pairs, scanned).union(paragraphs.linked(members, scanned)).collect():
+        old, new = label[a], label[b]
+        label = {u: new if x == old else x for u, x in label.items()}
+    got = [label[u] for u in (r.uid for r in scanned.collect())]
+    assert len(set(zip(got, want))) == len(set(got)) == len(set(want))

@@ -4,7 +4,10 @@ A paragraph is a line. Its words are lower-cased runs of letters and digits, its
 set is that of its 5-word shingles. Equal paragraphs share an id (a hash of their
 words), and only different ones go on: their MinHash signature is cut into bands,
 those that collide in a band are compared by the exact Jaccard of their shingles,
-and what reaches the threshold is clustered by connected components.
+and what reaches the threshold is clustered by connected components. Small buckets
+of a band list their pairs. The members of a large one meet in blocks, every two
+blocks once, where overlaps with one line are counted over all others together,
+and only links that span the groups leave: none is lost, and pairs aren't written.
 
 A passage may also stand inside a longer line. So a line of several sentences is
 cut after about every other one, by a hash of the sentence itself, in `CUTS` ways, and
@@ -35,8 +38,10 @@ LINE_WORDS = 20
 PIECE_WORDS = 12
 #: Ways to cut a line into pieces, each by another bit of the sentences' hashes.
 CUTS = 2
-#: In a bucket of up to so many different paragraphs all meet; in larger ones all meet this many of them.
+#: A bucket of up to so many different paragraphs lists its pairs; `_pairs` alone gives members of a larger one so many partners.
 SMALL, HUBS = 32, 8
+#: Paragraphs of a large bucket's block; two blocks are in memory at a time.
+BLOCK = 2048
 
 _WORD = re.compile(r"[^\W_]+")
 _SENTENCE = re.compile(r"(?<=[.?!])\s+")
@@ -91,8 +96,8 @@ def _hash(level: int, words: list[str]) -> int:
     return xxhash.xxh64_intdigest(" ".join(words), level)
 
 
-def bands(many: list[list[str]]) -> np.ndarray:
-    """The band hashes (signed) of each list of at least `SHINGLE` words."""
+def _shingles(many: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+    """The shingles' hashes of lists of at least `SHINGLE` words, one list after the other, and how many each has."""
     h = np.fromiter((xxhash.xxh3_64_intdigest(w) for words in many for w in words), np.uint64, sum(map(len, many)))
     s = h[: len(h) - SHINGLE + 1].copy()
     for k in range(1, SHINGLE):
@@ -104,8 +109,12 @@ def bands(many: list[list[str]]) -> np.ndarray:
     ok = np.ones(len(h), bool)
     for k in range(1, SHINGLE):
         ok[ends - k] = False
-    s = s[ok[: len(s)]]
-    n = sizes - SHINGLE + 1
+    return s[ok[: len(s)]], sizes - SHINGLE + 1
+
+
+def bands(many: list[list[str]]) -> np.ndarray:
+    """The band hashes (signed) of each list of at least `SHINGLE` words."""
+    s, n = _shingles(many)
     starts = np.cumsum(n) - n
     out = np.zeros((len(many), BANDS), np.uint64)
     for b in range(BANDS):
@@ -155,27 +164,61 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(cols, ["doc_id", "h", "level", "start", "stop", "uid", "line", "bands"])
 
 
-def candidates(scanned: DataFrame) -> DataFrame:
-    """Pairs (a < b) of ids of different lines that share a band."""
+def candidates(scanned: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Pairs (a < b) of ids of different lines that share a small bucket, and the members (band, uid, block) of large ones."""
     listed = scanned.where("level = 0").select("uid", "bands").dropDuplicates(["uid"])
     listed = listed.select(F.explode("bands").alias("band"), "uid")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest = np.empty((2, 0), np.int64)
+        rest, large, n = np.empty((2, 0), np.int64), None, 0
         for batch in batches:
-            rows = np.concatenate([rest, np.stack([c.to_numpy(zero_copy_only=False) for c in batch.columns])], axis=1)
+            rows = np.stack([c.to_numpy(zero_copy_only=False) for c in batch.columns])
+            if large is not None:  # the bucket before it goes on
+                k = int((rows[0] == large).sum())
+                yield _members(rows[:, :k], n)
+                n += k
+                if k == rows.shape[1]:
+                    continue
+                rows, large = rows[:, k:], None
+            rows = np.concatenate([rest, rows], axis=1)
             new = np.flatnonzero(rows[0, 1:] != rows[0, :-1]) + 1
             last = int(new[-1]) if len(new) else 0
-            yield from _pairs(rows[:, :last])
+            yield from _met(rows[:, :last])
             rest = rows[:, last:]
-        yield from _pairs(rest)
+            if rest.shape[1] > SMALL:
+                large, n = int(rest[0, 0]), rest.shape[1]
+                yield _members(rest, 0)
+                rest = rest[:, :0]
+        yield from _met(rest)
+
+    met = listed.repartition("band").sortWithinPartitions("band", "uid").mapInArrow(run, "a long, b long, block long")
+    met = stage(met, "paragraph-met", "zstd")
+    return met.where("block IS NULL").select("a", "b").distinct(), met.where("block IS NOT NULL").select(F.col("a").alias("band"), F.col("b").alias("uid"), "block")
+
 
-    pairs = listed.repartition("band").sortWithinPartitions("band", "uid").mapInArrow(run, "a long, b long")
-    return pairs.distinct()
+def _members(rows: np.ndarray, at: int) -> pa.RecordBatch:
+    """Members (band, uid) of a large bucket, from its member number `at` on, with their blocks."""
+    block = (at + np.arange(rows.shape[1])) // BLOCK
+    return pa.RecordBatch.from_arrays([pa.array(rows[0]), pa.array(rows[1]), pa.array(block)], ["a", "b", "block"])
+
+
+def _met(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """For whole buckets (band, uid): pairs of small ones, members of large ones."""
+    if rows.shape[1] < 2:
+        return
+    starts = np.flatnonzero(np.concatenate([[True], rows[0, 1:] != rows[0, :-1]]))
+    sizes = np.diff(np.append(starts, rows.shape[1]))
+    for batch in _pairs(rows[:, np.repeat(sizes <= SMALL, sizes)]):
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.nulls(batch.num_rows, pa.int64())], ["a", "b", "block"])
+    for s, n in zip(starts[sizes > SMALL].tolist(), sizes[sizes > SMALL].tolist()):
+        yield _members(rows[:, s : s + n], 0)
 
 
 def _pairs(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """The pairs to compare of whole buckets (band, uid), at most `SMALL` or `HUBS` for each member."""
+    """The pairs to compare of whole buckets (band, uid), at most `SMALL` or `HUBS` for each member.
+
+    All pairs of buckets up to `SMALL`; larger ones, which `_met` keeps from it, are `linked` instead.
+    """
     if rows.shape[1] < 2:
         return
     new = np.concatenate([[True], rows[0, 1:] != rows[0, :-1]])
@@ -220,6 +263,78 @@ def verified(pairs: DataFrame, scanned: DataFrame) -> DataFrame:
     return pairs.join(first, "a").join(second, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
+def linked(members: DataFrame, scanned: DataFrame) -> DataFrame:
+    """Links (a, b) that span the groups of lines whose exact Jaccard reaches the threshold, of large buckets (band, uid, block)."""
+    needed = members.select("uid").distinct()
+    own = scanned.where("level = 0").select("uid", "line").join(needed, "uid", "left_semi").dropDuplicates(["uid"])
+    blocks = members.groupBy("band").agg((F.max("block") + 1).alias("blocks"))
+    # every two blocks of a bucket meet; the pair also settles what is within each
+    others = F.expr("filter(sequence(0L, blocks - 1), j -> j != block)")
+    meets = F.when(F.col("blocks") == 1, F.array(F.lit(0).cast("long"))).otherwise(
+        F.transform(others, lambda j: F.least(j, "block") * F.col("blocks") + F.greatest(j, "block"))
+    )
+    each = members.join(blocks, "band").select("band", "uid", F.explode(meets).alias("meet")).join(own, "uid")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, uids, texts = None, [], []
+        for b in batches:
+            for band, meet, uid, text in zip(*(c.to_pylist() for c in b.columns)):
+                if (band, meet) != now:
+                    yield _links(uids, texts)
+                    now, uids, texts = (band, meet), [], []
+                uids.append(uid)
+                texts.append(text)
+        yield _links(uids, texts)
+
+    by = ["band", "meet"]
+    return each.select(*by, "uid", "line").repartition(*by).sortWithinPartitions(*by).mapInArrow(run, "a long, b long").distinct()
+
+
+def _links(uids: list[int], texts: list[str]) -> pa.RecordBatch:
+    found = spanned([_WORD.findall(t.lower()) for t in texts])
+    ids = np.array(uids, np.int64)
+    return pa.RecordBatch.from_arrays([pa.array(np.minimum(*ids[found])), pa.array(np.maximum(*ids[found]))], ["a", "b"])
+
+
+def spanned(many: list[list[str]]) -> np.ndarray:
+    """Positions (2, links) of links from the first of each group of lists to the others.
+
+    Lists whose exact Jaccard reaches the threshold are linked, and a group is what
+    is connected. Each list taken into a group meets all those in none yet, by
+    counting over the lists of its shingles: as many steps as pairs share shingles, at worst.
+    """
+    if len(many) < 2:
+        return np.empty((2, 0), np.int64)
+    s, n = _shingles(many)
+    names, s = np.unique(s, return_inverse=True)
+    once = np.unique(np.repeat(np.arange(len(many)), n) * len(names) + s)
+    owner, s = once // len(names), once % len(names)
+    size = np.bincount(owner, minlength=len(many))
+    first = np.cumsum(size) - size
+    holders = owner[np.argsort(s, kind="stable")]
+    held = np.bincount(s, minlength=len(names))
+    starts = np.cumsum(held) - held
+    free = np.ones(len(many), bool)
+    heads, others = [], []
+    for head in range(len(many)):
+        if not free[head]:
+            continue
+        free[head], todo = False, [head]
+        while todo and free.any():
+            x = todo.pop()
+            own = s[first[x] : first[x] + size[x]]
+            own = own[held[own] > 1].tolist()
+            if not own:
+                continue
+            shared = np.bincount(np.concatenate([holders[starts[k] : starts[k] + held[k]] for k in own]), minlength=len(many))
+            near = np.flatnonzero(free & (shared / (size + size[x] - shared) >= SIMILARITY))
+            free[near] = False
+            todo += near.tolist()
+            heads += [head] * len(near)
+            others += near.tolist()
+    return np.array([heads, others], np.int64)
+
+
 def _with_roots(labels: DataFrame) -> DataFrame:
     """uid and cls of every labelled node and of the smallest nodes they are labelled with."""
     roots = labels.select(F.col("label").alias("uid"), F.col("label").alias("cls")).distinct()
@@ -240,8 +355,9 @@ def repeats(docs: DataFrame) -> DataFrame:
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     scanned = stage(scan(docs), "paragraphs", "zstd")
-    pairs = stage(candidates(scanned), "paragraph-pairs")
-    labels = components(stage(verified(pairs, scanned), "paragraph-edges"))
+    pairs, members = candidates(scanned)
+    near = verified(stage(pairs, "paragraph-pairs"), scanned).union(linked(members, scanned))
+    labels = components(stage(near, "paragraph-edges"))
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h", "start")
     places = scanned.select("doc_id", "h", "start", "stop", "uid", place.alias("place"))
     # most ids have one place and no class, and go no further than this count
