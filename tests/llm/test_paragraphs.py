@@ -126,3 +126,38 @@ def test_large_bucket_equals_brute_force(spark, monkeypatch):
         label = {u: new if x == old else x for u, x in label.items()}
     got = [label[u] for u in (r.uid for r in scanned.collect())]
     assert len(set(zip(got, want))) == len(set(got)) == len(set(want))
+
+
+def plain(n):
+    return line(n).replace(".", "").split()
+
+
+def wrapped(words, n):
+    return "\n".join(" ".join(words[i : i + n]) for i in range(0, len(words), n))
+
+
+def test_runs_do_not_depend_on_surroundings():
+    for _ in range(50):
+        shared = plain(paragraphs.ANCHOR + paragraphs.RUN - 1)
+        a, b = (wrapped(plain(R.randrange(40)) + shared + plain(R.randrange(40)), n) for n in (9, 1000))
+        x, y = ({tuple(u[3]) for u in paragraphs.runs(t)} for t in (a, b))
+        assert x & y
+    assert len(list(paragraphs.runs("again " * 5000))) <= 5000 // paragraphs.RUN + 1
+
+
+def test_wrapped_text_and_long_sentences(spark):
+    rows, want = [], set()
+    for i in range(20):
+        passage = plain(60)
+        if i % 2:  # one sentence amid others
+            rows += [(2 * i + k, " ".join(plain(37 + k) + passage + plain(50))) for k in (0, 1)]
+        else:  # over line ends, which fall elsewhere, next to own short lines
+            rows += [(2 * i + k, wrapped(plain(31) + passage + plain(25), 12 + k)) for k in (0, 1)]
+        want |= {2 * i, 2 * i + 1}
+    near = plain(100)
+    rows += [(100, f"{wrapped(plain(30), 10)}\n\n{wrapped(near, 12)}\n\n{wrapped(plain(30), 10)}"), (101, f"{wrapped(plain(30), 10)}\n\n{wrapped([w if i % 40 != 25 else 'edited' for i, w in enumerate(near)], 15)}")]
+    rows += [(200 + i, wrapped(plain(90), 13)) for i in range(10)]
+    got = {r.doc_id: r for r in paragraphs.repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert set(got) == want | {100, 101}
+    assert all(got[2 * i + 1].class_id == 2 * i and got[2 * i + 1].removed_chars > 100 for i in range(20))
+    assert got[101].class_id == 100 and got[101].removed_chars > 400

@@ -1,6 +1,6 @@
 """Near-equal paragraphs across documents: MinHash bands, exact Jaccard, components.
 
-A paragraph is a line. Its words are lower-cased runs of letters and digits, its
+A paragraph is a line, or short ones in a row. Its words are lower-cased runs of letters and digits, its
 set is that of its 5-word shingles. Equal paragraphs share an id (a hash of their
 words), and only different ones go on: their MinHash signature is cut into bands,
 those that collide in a band are compared by the exact Jaccard of their shingles,
@@ -9,8 +9,12 @@ of a band list their pairs. The members of a large one meet in blocks, every two
 blocks once, where overlaps with one line are counted over all others together,
 and only links that span the groups leave: none is lost, and pairs aren't written.
 
-A passage may also stand inside a longer line. So a line of several sentences is
-cut after about every other one, by a hash of the sentence itself, in `CUTS` ways, and
+Neighbouring lines too short for a paragraph, as in hard-wrapped text, are one together.
+
+A passage may also stand inside a longer line, or run over line ends. So runs of
+`RUN` words take part with their ids, wherever the least hash of some `ANCHOR` shingles
+in a row stands: any `ANCHOR + RUN - 1` equal words hold the same run, whatever is around them.
+And a line of several sentences is cut after about every other one, by a hash of the sentence itself, in `CUTS` ways, and
 these pieces take part with their ids alone: too short for an edit to leave 0.8 of
 their shingles.
 """
@@ -38,6 +42,8 @@ LINE_WORDS = 20
 PIECE_WORDS = 12
 #: Ways to cut a line into pieces, each by another bit of the sentences' hashes.
 CUTS = 2
+#: Shingles of which the least starts a run, and words of a run.
+ANCHOR, RUN = 25, 26
 #: A bucket of up to so many different paragraphs lists its pairs; `_pairs` alone gives members of a larger one so many partners.
 SMALL, HUBS = 32, 8
 #: Paragraphs of a large bucket's block; two blocks are in memory at a time.
@@ -70,12 +76,44 @@ def lines(text: str) -> Iterator[tuple[int, int]]:
         at = to + 1
 
 
-def units(text: str) -> Iterator[tuple[int, int, int, list[str]]]:
-    """(level, start, end, words): lines (0) and their pieces (1) of enough words."""
-    for s, e in lines(text):
+def paragraphs(text: str) -> Iterator[tuple[int, int, list[str]]]:
+    """(start, end, words): lines of enough words, and shorter ones joined until a long or a wordless one."""
+    short: list[tuple[int, int, list[str]]] = []
+    for s, e in [*lines(text), (len(text), len(text))]:
         words = _WORD.findall(text[s:e].lower())
-        if len(words) < LINE_WORDS:
+        if 0 < len(words) < LINE_WORDS:
+            short.append((s, e, words))
             continue
+        together = [w for _, _, each in short for w in each]
+        if len(together) >= LINE_WORDS:
+            yield short[0][0], short[-1][1], together
+        short = []
+        if words:
+            yield s, e, words
+
+
+def runs(text: str) -> Iterator[tuple[int, int, int, list[str]]]:
+    """(2, start, end, words) of the runs, over line ends; of equal ones that overlap the first."""
+    spans = [m.span() for m in _WORD.finditer(text)]
+    if len(spans) < ANCHOR + RUN - 1:
+        return
+    words = [text[s:e].lower() for s, e in spans]
+    hashes, _ = _shingles([words])
+    starts = np.lib.stride_tricks.sliding_window_view(hashes, ANCHOR).argmin(axis=1) + np.arange(len(hashes) - ANCHOR + 1)
+    last: dict[str, int] = {}
+    for i in np.unique(starts).tolist():
+        if i + RUN <= len(words):
+            run = words[i : i + RUN]
+            name = " ".join(run)
+            if i - last.get(name, -RUN) >= RUN:
+                last[name] = i
+                yield 2, spans[i][0], spans[i + RUN - 1][1], run
+
+
+def units(text: str) -> Iterator[tuple[int, int, int, list[str]]]:
+    """(level, start, end, words): paragraphs (0), their pieces (1) of enough words and runs (2) of the text."""
+    yield from runs(text)
+    for s, e, words in paragraphs(text):
         yield 0, s, e, words
         sentences, at = [], s
         for m in _SENTENCE.finditer(text, s, e):
@@ -344,14 +382,14 @@ def _with_roots(labels: DataFrame) -> DataFrame:
 def repeats(docs: DataFrame) -> DataFrame:
     """One row for each document that holds a paragraph of a class of two or more.
 
-    doc_id; n_repeated, its paragraphs and pieces in such classes; n_removed, the
+    doc_id; n_repeated, its paragraphs, pieces and runs in such classes; n_removed, the
     separate stretches of text that another document or place keeps; removed_chars;
     removed, these stretches as start:end, joined; kept_in, the ids of the documents
     that keep them, in order; class_id, the smallest of those and its own.
 
     A class keeps its first place by (doc_id, start), NULL ids last. Repeated rows
     (same id and text) count as one document. NULL and empty texts, and lines of
-    fewer than 20 words, hold no paragraph. Other columns aren't read.
+    fewer than 20 words with their short neighbours, hold no paragraph. Other columns aren't read.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     scanned = stage(scan(docs), "paragraphs", "zstd")
