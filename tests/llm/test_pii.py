@@ -80,3 +80,17 @@ def test_redact_keeps_rows(spark):
 
 def test_masked_overlap():
     assert pii.masked("abcdefgh", [("ip", 1, 4), ("card", 3, 6), ("phone", 7, 8)]) == "a[IP]g[PHONE]"
+
+
+def test_context_finds_unseen_formats(spark):
+    rows = [(i, f"Please call +1 (499) 555-65{i:02d} now. Write mail to person.{chr(97 + i % 26)}{i}@site.example for more.") for i in range(40)]
+    unseen = ["(499) 555 0123", "499-555-0124", "0499 5550125"]
+    rows += [(100 + i, f"Please call {x} now.") for i, x in enumerate(unseen)]
+    forms = ["jo (at) site (dot) org", "jo.b at site dot example", "jo@localhost"]
+    rows += [(200 + i, f"Write mail to {x} for more.") for i, x in enumerate(forms)]
+    rows += [(300 + i, f"serial 55{i:02d} 1234 {i:03d} of look at figure.{i} here, part 49{i:02d}-555-0124 a") for i in range(30)]
+    found = pii.find(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    text = dict(rows)
+    got = {r.doc_id: {(s.kind, text[r.doc_id][s.start : s.stop]) for s in r.spans} for r in found if r.doc_id >= 100}
+    want = {100 + i: {("phone", x)} for i, x in enumerate(unseen)} | {200 + i: {("email", x)} for i, x in enumerate(forms)}
+    assert got == want | {i: set() for i in range(300, 330)}

@@ -2,7 +2,8 @@
 
 A scan of every whole text gives the base matches (seeds) and the other tokens
 that look like identifiers (candidates), each with its words to the left and right.
-These induce lexical patterns: a shape, or a shape next to a context word. Spark
+These induce lexical patterns: a shape, a context word on either side, or both; the
+context words alone, or with a coarse class, meet values of shapes that no base match has. Spark
 scores the graph of patterns and instances in rounds: a pattern's confidence in a
 kind is the mean over its different instances, an instance's is that of its best
 trusted pattern. Candidates trusted in the end are found wherever they occur.
@@ -12,6 +13,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -39,6 +41,12 @@ _CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _DIGIT = re.compile("[0-9]")
 _TOKEN = re.compile(r"[A-Za-z0-9@._%+/-]{7,}")
+# Numbers with up to three separators between digits, and addresses whose signs are spelled out or spaced.
+_NUMBER = re.compile(r"(?<![\w@/.+-])(?:\+ ?)?\(?[0-9](?:[ ().-]{0,3}[0-9]){6,24}(?![\w@/])")
+_AT = r"(?: ?[\[({<] ?(?:at|AT|@) ?[\])}>] ?| (?:at|AT) | ?@ ?)"
+_DOT = r"(?: ?[\[({<] ?(?:dot|DOT|\.) ?[\])}>] ?| (?:dot|DOT) |\.)"
+_SPELLED = re.compile(rf"(?<!{_LOCAL}){_LOCAL}{{1,64}}+{_AT}[A-Za-z0-9-]{{1,63}}+(?:{_DOT}[A-Za-z0-9-]{{1,63}}+){{1,8}}")
+_SIGN = re.compile(r"@|\b(?:at|AT)\b")
 _WORD = re.compile(r"[^\W\d_]+")
 #: Characters on either side that are looked at for context, and the longest value that takes part in the graph.
 NEAR = 40
@@ -84,28 +92,47 @@ def shape(value: str) -> str:
     return re.sub(r"[^\W\d_]+", "a", re.sub(r"\d", "9", value))
 
 
+def coarse(value: str) -> str:
+    """A class that values of different shapes share: an address, or the number of digits in steps."""
+    digits = len(_DIGIT.findall(value))
+    return "@" if _SIGN.search(value) else "9" * sum(digits >= x for x in (1, 9, 13, 16, 20))
+
+
+def _candidates(text: str) -> Iterator[tuple[int, int]]:
+    """(start, end) of what looks like an identifier; they may overlap."""
+    digits = _DIGIT.search(text)
+    if "@" in text or digits:
+        for m in _TOKEN.finditer(text):
+            value = m[0].rstrip("._%+/-")
+            if "@" in value or len(_DIGIT.findall(value)) >= 7:
+                yield m.start(), m.start() + len(value)
+    if digits:
+        yield from (m.span() for m in _NUMBER.finditer(text))
+    if _SIGN.search(text):
+        yield from (m.span() for m in _SPELLED.finditer(text))
+
+
 def occurrences(text: str, seeds: list[tuple[str, int, int]]) -> list[dict]:
     """Seeds and candidates with their shape and the words on either side; candidates have no kind."""
     spans = [(k, s, e) for k, s, e in seeds if e - s <= LONGEST]
-    if "@" in text or _DIGIT.search(text):
-        taken, at = sorted((s, e) for _, s, e in seeds), 0
-        for m in _TOKEN.finditer(text):
-            value = m[0].rstrip("._%+/-")
-            s, e = m.start(), m.start() + len(value)
-            while at < len(taken) and taken[at][1] <= s:
-                at += 1
-            if len(value) <= LONGEST and ("@" in value or len(_DIGIT.findall(value)) >= 7) and not any(a < e and s < b for a, b in taken[at : at + 4]):
-                spans.append((None, s, e))
+    taken = sorted((s, e) for _, s, e in seeds)
+    free = set()
+    for s, e in _candidates(text):
+        i = bisect_left(taken, (s, s))
+        # base matches of four kinds that begin before `s` may reach over it
+        if e - s <= LONGEST and not any(a < e and s < b for a, b in taken[max(0, i - 4) : i + 4]):
+            free.add((s, e))
+    spans += [(None, s, e) for s, e in sorted(free)]
     out = []
     for kind, s, e in spans:
         left, right = _WORD.findall(text[max(0, s - NEAR) : s])[-1:], _WORD.findall(text[e : e + NEAR])[:1]
         near = {"left": left[0].lower() if left else "", "right": right[0].lower() if right else ""}
-        out.append({"kind": kind, "start": s, "stop": e, "value": text[s:e], "shape": shape(text[s:e])} | near)
+        out.append({"kind": kind, "start": s, "stop": e, "value": text[s:e], "shape": shape(text[s:e]), "coarse": coarse(text[s:e])} | near)
     return out
 
 
 _SPAN = [("kind", pa.string()), ("start", pa.int32()), ("stop", pa.int32())]
-_SEEN = _SPAN + [(c, pa.string()) for c in ("value", "shape", "left", "right")]
+_SEEN = _SPAN + [(c, pa.string()) for c in ("value", "shape", "coarse", "left", "right")]
 _SCAN = pa.schema(
     [("doc_id", pa.int64()), ("h", pa.int64())]
     + [(f"n_{k}", pa.int64()) for k in KINDS]
@@ -143,9 +170,14 @@ def extras(scanned: DataFrame) -> DataFrame:
         F.col("shape"),
         F.concat(F.lit("<"), "left", F.lit(" "), "shape"),
         F.concat(F.lit(">"), "right", F.lit(" "), "shape"),
+        *(
+            F.when(F.col(side) != "", F.concat(F.lit(mark), side, *rest))
+            for mark, side in (("<<", "left"), (">>", "right"))
+            for rest in ((), (F.lit(" "), F.col("coarse")))
+        ),
     )
     graph = stage(
-        seen.select("value", "kind", F.explode(patterns).alias("pattern")).groupBy("pattern", "value").agg(F.max("kind").alias("seed")),
+        seen.select("value", "kind", F.explode(F.array_compact(patterns)).alias("pattern")).groupBy("pattern", "value").agg(F.max("kind").alias("seed")),
         "pii-graph",
     )
     return _spread(graph, seen)
@@ -168,7 +200,10 @@ def _spread(graph: DataFrame, seen: DataFrame) -> DataFrame:
         found = stage(found.join(seeds, "value", "left_anti"), "pii-found")
         known = seeds.union(found)
     places = seen.where("kind IS NULL").drop("kind").join(found.select("value", "kind"), "value")
-    return places.groupBy("doc_id", "h").agg(F.array_sort(F.collect_set(F.struct("kind", "start", "stop"))).alias("extra"))
+    each = places.groupBy("doc_id", "h").agg(F.array_sort(F.collect_set(F.struct("kind", "start", "stop"))).alias("extra"))
+    # candidates may nest: the longest one of a kind stays
+    longest = "filter(extra, x -> not exists(extra, y -> y.kind = x.kind and y.start <= x.start and y.stop >= x.stop and y != x))"
+    return each.withColumn("extra", F.expr(longest))
 
 
 def find(docs: DataFrame) -> DataFrame:
