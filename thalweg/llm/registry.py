@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from thalweg.llm import ann, decontam, langid, packing, paragraphs, pii, simhash, substrings, toxicity, urlfilter
+from thalweg.llm import ann, decontam, langid, maintext, merkle, packing, paragraphs, pii, runs, simhash, substrings, toxicity, urlfilter
 
 #: The rules that the url contract states.
 STATED_RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
@@ -98,6 +98,59 @@ FROM ruled
 """
 
 
+def op11_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maintext.extract(_table(spark, sf_dir, "pages"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(_table(spark, sf_dir, "documents"))
+
+
+OP12_SQL = """
+WITH RECURSIVE leaf AS (
+  SELECT d.doc_id, coalesce('=' || lang, '') AS tree,
+    row_number() OVER (PARTITION BY lang ORDER BY d.doc_id NULLS FIRST, own) - 1 AS pos,
+    count(*) OVER (PARTITION BY lang) AS n, own,
+    CASE WHEN xor(list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(d.doc_id AS VARCHAR), ''), lambda x: ascii(x)::BIGINT)),
+        lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295) % 3 = 0
+      THEN sha256(front || coalesce(strlen(text) || ':' || translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '-')) ELSE own END AS altered
+  FROM (
+    SELECT *, sha256(front || coalesce(strlen(text) || ':' || text, '-')) AS own
+    FROM (SELECT *, concat(coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-'), coalesce(strlen(source) || ':' || source, '-'),
+            coalesce(strlen(lang) || ':' || lang, '-'), coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-')) AS front FROM documents)) d),
+node AS (
+  SELECT tree, 0 AS level, pos, n, own AS digest FROM leaf
+  UNION ALL
+  SELECT tree, level + 1, pos // 8, (n + 7) // 8, sha256(string_agg(digest, '' ORDER BY pos)) FROM node WHERE n > 1 GROUP BY tree, level, pos // 8, n),
+subroot AS (SELECT tree, level, digest, row_number() OVER (ORDER BY tree) - 1 AS pos, count(*) OVER () AS n FROM node WHERE n = 1),
+upper AS (
+  SELECT 0 AS level, pos, n, digest FROM subroot
+  UNION ALL
+  SELECT level + 1, pos // 8, (n + 7) // 8, sha256(string_agg(digest, '' ORDER BY pos)) FROM upper WHERE n > 1 GROUP BY level, pos // 8, n),
+beside AS (
+  SELECT a.tree, a.level, a.pos, coalesce(string_agg(b.digest, '' ORDER BY b.pos) FILTER (b.pos < a.pos), '') AS ahead,
+    coalesce(string_agg(b.digest, '' ORDER BY b.pos) FILTER (b.pos > a.pos), '') AS behind
+  FROM node a JOIN node b ON a.tree = b.tree AND a.level = b.level AND a.pos // 8 = b.pos // 8 WHERE a.n > 1 GROUP BY ALL
+  UNION ALL
+  SELECT s.tree, s.level + a.level, NULL, coalesce(string_agg(b.digest, '' ORDER BY b.pos) FILTER (b.pos < a.pos), ''),
+    coalesce(string_agg(b.digest, '' ORDER BY b.pos) FILTER (b.pos > a.pos), '')
+  FROM subroot s JOIN upper a ON a.pos = s.pos // CAST(pow(8, a.level) AS BIGINT) JOIN upper b ON a.level = b.level AND a.pos // 8 = b.pos // 8 WHERE a.n > 1
+  GROUP BY s.tree, s.level, a.level, a.pos),
+folded AS (
+  SELECT tree, pos AS leaf_pos, pos, 0 AS level, altered AS digest, '' AS proof FROM leaf
+  UNION ALL
+  SELECT f.tree, f.leaf_pos, f.pos // 8, f.level + 1, sha256(b.ahead || f.digest || b.behind), f.proof || b.ahead || b.behind
+  FROM folded f JOIN beside b ON f.tree = b.tree AND f.level = b.level AND (b.pos IS NULL OR b.pos = f.pos))
+SELECT l.doc_id, l.own AS leaf, s.digest AS subroot, u.digest AS root, sha256(f.proof) AS proof_sha256, f.digest AS folded_root, f.digest = u.digest AS verified
+FROM leaf l JOIN subroot s USING (tree) JOIN (SELECT digest FROM upper WHERE n = 1) u ON true
+JOIN (SELECT * FROM folded QUALIFY row_number() OVER (PARTITION BY tree, leaf_pos ORDER BY level DESC) = 1) f ON f.tree = l.tree AND f.leaf_pos = l.pos
+"""
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.periodic(_table(spark, sf_dir, "documents"), change=True).drop("runs")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_pii": op1_pii,
@@ -110,8 +163,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_decontamination": op8_decontamination,
         "op9_paragraph_dedup": op9_paragraph_dedup,
         "op10_url_filters": op10_url_filters,
+        "op11_main_text": op11_main_text,
+        "op12_merkle_manifest": op12_merkle_manifest,
+        "op13_periodic_runs": op13_periodic_runs,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_url_filters": OP10_SQL}
+    return {"op10_url_filters": OP10_SQL, "op12_merkle_manifest": OP12_SQL}
