@@ -417,6 +417,33 @@ GROUP BY first_id, part_no, x, y
 """
 
 
+def _branch(route: str) -> str:
+    return f"'1' || regexp_replace(to_base({route}, 4), '(.)', '.\\1', 'g')"
+
+
+_part("branches", (), f"SELECT route, {_branch('route')} AS code FROM (SELECT DISTINCT o_orderkey // 10 AS route FROM orders)")
+_part(
+    "branching",
+    ("snapped",),
+    f"""
+SELECT DISTINCT species_code, blue_line_key, downstream_route_measure, wscode, spot, wscode || '.' || spot AS localcode
+FROM (SELECT species_code, blue_line_key, downstream_route_measure, {_branch("blue_line_key - 354087611")} AS wscode,
+    CAST(linear_feature_id % 10 // 3 AS VARCHAR) AS spot FROM snapped)
+""",
+)
+_part(
+    "uppermost",
+    ("branching",),
+    """
+SELECT * FROM branching a WHERE NOT EXISTS (
+  SELECT 1 FROM branching b WHERE b.species_code = a.species_code AND (
+    (b.blue_line_key = a.blue_line_key AND b.downstream_route_measure > a.downstream_route_measure)
+    OR (b.wscode = a.wscode AND b.spot > a.spot)
+    OR (starts_with(b.wscode, a.wscode || '.') AND split_part(substr(b.wscode, length(a.wscode) + 2), '.', 1) > a.spot)))
+""",
+)
+
+
 def oracle_sql() -> dict[str, str]:
     q = query
     tier_columns = (
@@ -433,6 +460,20 @@ def oracle_sql() -> dict[str, str]:
     )
     measure_of = "CAST((e * 37) % 1400 AS DOUBLE) + 0.25::DOUBLE * (e % 4)"
     out = {
+        "path_containment": q(
+            ("branches",),
+            "SELECT u.route, count(*) AS n_below, CAST(sum(l.route) AS BIGINT) AS sum_below"
+            " FROM branches u JOIN branches l ON starts_with(l.code, u.code || '.') GROUP BY u.route",
+        ),
+        "species_farthest_upstream": q(
+            ("uppermost",), "SELECT blue_line_key, downstream_route_measure, wscode, localcode, species_code FROM uppermost"
+        ),
+        "maximal_species": q(
+            ("uppermost", "species"),
+            "SELECT blue_line_key, downstream_route_measure,"
+            " array_to_string(list_sort(list(DISTINCT species_id)), ',') AS maximal_species"
+            " FROM uppermost u JOIN species s ON s.code = u.species_code GROUP BY ALL",
+        ),
         "obs_key": q(("keyed_all",), "SELECT fish_observation_point_id, observation_key FROM keyed_all"),
         "obs_dedup": q(
             ("obs",),

@@ -17,9 +17,10 @@ from thalweg.functions import (
     path_order,
     squared_distance_to_edge,
 )
-from thalweg.operators import events, matching
+from thalweg.operators import events, matching, paths
 from thalweg.operators.grouping import duplicate_report, key_collisions, repeated_keys, with_observation_key
 from thalweg.operators.nearest import nearest_lines
+from thalweg.operators.paths import farthest_upstream, join_below
 from thalweg.operators.routes import anchor_codes, elevation_at, locate_along
 from thalweg.operators.skew import spread_join
 from thalweg import schemas
@@ -204,15 +205,22 @@ def path_descendants(spark, sf_dir):
         "linear_feature_id",
         is_descendant_or_self("wscode_ltree", "999").alias("below_999"),
         # every local code lies below its route's code
-        F.col("localcode_ltree")
-        .startswith(
-            F.concat(F.lit("100."), (F.col("blue_line_key") - 354087611 + 1000000).cast("string"), F.lit("."))
-        )
-        .alias("below_own"),
+        is_descendant_or_self(
+            "localcode_ltree", F.concat(F.lit("100."), (F.col("blue_line_key") - 354087611 + 1000000).cast("string"))
+        ).alias("below_own"),
         is_descendant_or_self("localcode_ltree", "100.1000002").alias("below_route"),
     )
 
 
+@_query
+def path_containment(spark, sf_dir):
+    """How many routes of a branching network lie below each route, and the sum of their numbers."""
+    routes = standins.branches(spark, sf_dir)
+    lower = routes.select(F.col("route").alias("lower_route"), F.col("code").alias("lower_code"))
+    met = join_below(routes, lower, upper_code="code", lower_code="lower_code", by=["lower_route"], or_self=False)
+    return met.groupBy("route").agg(F.count("*").alias("n_below"), F.sum("lower_route").alias("sum_below"))
+
+
 @_query
 def path_order_extremes(spark, sf_dir):
     code = F.concat(F.col("stream_order").cast("string"), F.lit("."), F.col("localcode_ltree"))
@@ -510,6 +518,26 @@ def elevation_at_species(spark, sf_dir):
     return lookups.elevation_at_species(snapped, sources.streams, "CL", "GRP2")
 
 
+def _branching(snapped: DataFrame) -> DataFrame:
+    """The observations with codes of a branching network, which the stand-in streams lack."""
+    route = F.col("blue_line_key") - 354087611
+    local = F.concat_ws(".", standins.branch_code(route), (F.col("linear_feature_id") % 10 / 3).cast("int").cast("string"))
+    return snapped.withColumn("wscode", standins.branch_code(route)).withColumn("localcode", local)
+
+
+@_query
+def species_farthest_upstream(spark, sf_dir):
+    sources, snapped = _output(spark, sf_dir)
+    return farthest_upstream(_branching(snapped))
+
+
+@_query
+def maximal_species(spark, sf_dir):
+    sources, snapped = _output(spark, sf_dir)
+    found = paths.maximal_species(_branching(snapped), sources.species)
+    return found.select("blue_line_key", "downstream_route_measure", _text("maximal_species").alias("maximal_species"))
+
+
 # --- the event model -----------------------------------------------------------------
 
 

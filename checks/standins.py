@@ -10,7 +10,7 @@ from __future__ import annotations
 import struct
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -84,6 +84,18 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def branch_code(route: Column) -> Column:
+    """The code of a route in a branching network: the digits of its number in base four; route r runs into r div 4."""
+    digits = F.conv(route.cast("string"), 10, 4)
+    return F.concat(F.lit("1"), F.regexp_replace(digits, "(.)", ".$1"))
+
+
+def branches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    routes = orders.selectExpr("o_orderkey div 10 as route").distinct()
+    return routes.withColumn("code", branch_code(F.col("route")))
+
+
 def waterbodies(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
     routes = orders.selectExpr("o_orderkey div 10 as l").where("l % 4 < 2")

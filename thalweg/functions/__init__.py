@@ -1,7 +1,9 @@
 from thalweg.functions.codes import (
     is_descendant_or_self,
     joined_code,
+    path_label_after,
     path_order,
+    path_prefixes,
     strip_dashes,
     strip_leading_zeros,
 )
@@ -27,7 +29,9 @@ __all__ = [
     "is_descendant_or_self",
     "joined_code",
     "measure_on_edge",
+    "path_label_after",
     "path_order",
+    "path_prefixes",
     "positions_at_measure",
     "squared_distance_to_edge",
     "strip_dashes",
