@@ -101,10 +101,48 @@ def test_hot_cells_change_nothing(spark):
     points, lines = scatter(6, 80, 60, 500.0)
     points = [(p, x / 10, y / 10) if p % 3 else (p, x, y) for p, x, y in points]
     plain = found(spark, points, lines, k=4, radius=120.0)
-    assert found(spark, points, lines, k=4, radius=120.0, points_per_slice=5) == plain
+    assert found(spark, points, lines, k=4, radius=120.0, pairs_per_slice=5 * 400) == plain
     assert plain == brute(points, lines, 4, 120.0)
 
 
+def test_a_cell_of_many_edges_is_sliced(spark):
+    """Few points beside very many edges: the slices go by pairs, not by points."""
+    points, lines = scatter(9, 12, 700, 90.0, step=5.0)
+    listed = []
+    kept = nearest.heaviest_keys
+
+    def listing(*a, **b):
+        listed.append(kept(*a, **b))
+        return listed[-1]
+
+    nearest.heaviest_keys = listing
+    try:
+        got = found(spark, points, lines, k=None, radius=100.0, pairs_per_slice=3_000)
+    finally:
+        nearest.heaviest_keys = kept
+    assert got == brute(points, lines, None, 100.0)
+    assert [(r.cx, r.cy, 2 <= r.slices <= 12) for r in listed[0].collect()] == [(0, 0, True)]
+
+
+def test_edges_are_listed_in_cells_with_points_only(spark):
+    points, lines = scatter(10, 60, 300, 2000.0)
+    corner = [(p, x / 20, y / 20) for p, x, y in points]
+    line_table = spark.createDataFrame(lines, LINES)
+    edges = nearest.explode_edges(line_table, "linear_feature_id")
+
+    def listed(some):
+        located = nearest._in_cells(spark.createDataFrame(some, "p long, px double, py double"), ["p"], 50.0)
+        return nearest._edge_cells(edges, 50.0, 50.0, nearest._masks(nearest._occupied(located)))
+
+    every = listed([(i * 41 + j, i * 50.0 + 25, j * 50.0 + 25) for i in range(-8, 50) for j in range(-8, 50)])
+    cells = {(int(x // 50), int(y // 50)) for _, x, y in corner}
+    few = listed(corner)
+    want = every.where(F.array(F.col("cx"), F.col("cy")).isin([F.array(F.lit(a).cast("long"), F.lit(b).cast("long")) for a, b in cells]))
+    assert sorted(map(tuple, few.collect())) == sorted(map(tuple, want.collect()))
+    assert 0 < few.count() * 50 < every.count()
+    assert found(spark, corner, lines, k=3, radius=50.0) == brute(corner, lines, 3, 50.0)
+
+
 def test_radius_is_open_and_null_positions_drop(spark):
     line = [(1, 1, [(0.0, 0.0, 0.0, 0.0), (10.0, 0.0, 0.0, 10.0)])]
     points = [(1, 5.0, 100.0), (2, 5.0, 99.999), (3, None, 1.0)]

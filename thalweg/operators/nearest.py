@@ -1,18 +1,21 @@
 """Bounded nearest-lines join on a grid.
 
 Every point falls in exactly one cell; every edge is listed in all cells that
-its surroundings (within the search radius) touch. An equi-join on the cell
+its surroundings (within the search radius) touch and that hold a point. An equi-join on the cell
 then meets every pair that can be within the radius, and the exact distance
 decides. All later steps group by the cell as well, so the whole search moves
 each side through one shuffle.
 
-Two things keep that equi-join even and small; both are looked up beforehand by
-a counting job and leave the plan alone where there is nothing to do:
+Three things keep that equi-join even and small; all are looked up beforehand in
+small tables, and leave the plan alone where there is nothing to do:
 
-* *Hot cells.* The points of a cell that holds very many are spread over
-  numbered slices, its edges are copied to each slice.
-* *Dense cells.* Where a cell of a finer grid holds at least `k` line starts,
-  the points in it have their k-th nearest line within the cell's diagonal. They
+* *Empty cells.* The cells with points are kept as bit masks, one number for a block of
+  8 by 8 cells. Edges meet the masks of their blocks first, and are listed only in the
+  cells whose bit is set. A network that points cover in part costs that part.
+* *Hot cells.* The points of a cell where points times edges nearby are very many are
+  spread over numbered slices, its edges are copied to each slice.
+* *Dense cells.* Where a cell of a finer grid holds at least `k` line starts, the
+  points in it have their k-th nearest line within the cell's diagonal. They
   are searched on that finer grid with the diagonal as radius, so their number
   of pairs stays in proportion to `k` and not to all lines within the radius.
 """
@@ -26,12 +29,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from thalweg.functions import explode_edges, measure_on_edge, squared_distance_to_edge
-from thalweg.operators.skew import SLICE, copy_to_slices, hot_keys, spread
+from thalweg.operators.skew import SLICE, copy_to_slices, heaviest_keys, spread
 from thalweg.staging import stage
 
 DEFAULT_K = 100
 DEFAULT_RADIUS = 1500.0
-POINTS_PER_SLICE = 50_000
+PAIRS_PER_SLICE = 20_000_000
 
 CELL = "cell"
 
@@ -41,6 +44,9 @@ _LEVELS = 3
 _FINER = 4
 # squared distances are cut a little wide; the exact cut is on the distance
 _LEEWAY = 1 + 1e-12
+# cells of a block's side, and the edges near a cell that are reckoned with at least
+_BLOCK = 8
+_FEW_EDGES = 400
 
 
 def nearest_lines(
@@ -54,7 +60,7 @@ def nearest_lines(
     carry: Sequence[str] = (),
     line_id: str = "linear_feature_id",
     keep_cell: bool = False,
-    points_per_slice: int = POINTS_PER_SLICE,
+    pairs_per_slice: int = PAIRS_PER_SLICE,
 ) -> DataFrame:
     """The `k` nearest lines of every point, nearer than `radius`; all if `k` is None.
 
@@ -69,19 +75,22 @@ def nearest_lines(
     """
     size = float(cell_size or radius)
     edges = explode_edges(lines, line_id, *carry).drop("edge_no", "z1", "z2")
-    dense = None if k is None else _dense_cells(lines, k, size)
+    starts = _line_starts(lines, size)
+    dense = None if k is None else _dense_cells(starts, k)
     if dense is not None:
         edges = _without_spare_copies(edges, line_id, k)
 
-    def search(located: DataFrame, edge_cells: DataFrame, reach: float) -> DataFrame:
-        return _search(located, edge_cells, by, k, min(reach, radius), line_id, carry, points_per_slice)
+    def search(located: DataFrame, cells: DataFrame, edge_cells: DataFrame, level: int, reach: float) -> DataFrame:
+        hot = _busy_cells(cells, starts, level, pairs_per_slice)
+        return _search(located, edge_cells, by, k, min(reach, radius), line_id, carry, hot)
 
     x, y = F.col("x"), F.col("y")
     placed = points.where(x.isNotNull() & y.isNotNull()).select(*by, x.alias("px"), y.alias("py"))
     located = _in_cells(placed, by, size)
-    edge_cells = _edge_cells(edges, size, radius)
+    cells = stage(_occupied(located), "occupied-cells")
+    edge_cells = _edge_cells(edges, size, radius, _masks(cells))
     if dense is None:
-        found = search(located, edge_cells, radius)
+        found = search(located, cells, edge_cells, 0, radius)
     else:
         found = _search_by_level(located, edge_cells, dense, by, size, radius, search)
     kept = ([CELL] if keep_cell else []) + [*by, line_id, *carry, "distance", "measure"]
@@ -96,14 +105,13 @@ def _search(
     reach: float,
     line_id: str,
     carry: Sequence[str],
-    points_per_slice: int,
+    hot: DataFrame | None,
 ) -> DataFrame:
     """The `k` nearest lines no farther than `reach`, on one grid.
 
     The distance to a line found only beyond `reach` isn't settled, so rows
     there are left out.
     """
-    hot = hot_keys(located, _AT, points_per_slice)
     left = spread(located, hot, _AT, by).select(_cell_id().alias(CELL), *by, "px", "py")
     right = copy_to_slices(edge_cells, hot, _AT).withColumn(CELL, _cell_id()).drop(*_AT, SLICE)
     found = left.hint("merge").join(right, CELL)
@@ -131,7 +139,7 @@ def _search_by_level(
     by: Sequence[str],
     size: float,
     radius: float,
-    search: Callable[[DataFrame, DataFrame, float], DataFrame],
+    search: Callable[[DataFrame, DataFrame, DataFrame, int, float], DataFrame],
 ) -> DataFrame:
     """Search every point on the finest grid whose cell around it is dense.
 
@@ -143,16 +151,20 @@ def _search_by_level(
     parents = dense.where("level = 1").select(*above)
     edges = edge_cells.join(parents, _AT, "left_semi")
     rest, found, reach = located, [], radius
+
+    def add(points: DataFrame, level: int) -> None:
+        found.append(search(points, _occupied(points), edge_cells, level, reach))
+
     for level in range(1, _LEVELS + 1):
         coarse, finer = size / _FINER ** (level - 1), size / _FINER**level
         cells = dense.where(F.col("level") == level).select(*_AT)
         points = _in_cells(rest, by, finer)
-        found.append(search(_in_cells(points.join(cells, _AT, "left_anti"), by, coarse), edge_cells, reach))
+        add(_in_cells(points.join(cells, _AT, "left_anti"), by, coarse), level - 1)
         rest = points.join(cells, _AT, "left_semi")
         reach = finer * 2**0.5 * (1 + 1e-9)
         edges = _to_finer_cells(edges, finer, reach).join(cells, _AT, "left_semi")
         edge_cells = edges
-    found.append(search(rest, edge_cells, reach))
+    add(rest, _LEVELS)
     return reduce(DataFrame.unionByName, found)
 
 
@@ -167,25 +179,28 @@ def _to_finer_cells(edges: DataFrame, size: float, reach: float) -> DataFrame:
     return out
 
 
-def _dense_cells(lines: DataFrame, k: int, size: float) -> DataFrame | None:
-    """Cells of the finer grids (`level`, `cx`, `cy`) that hold `k` line starts or more.
-
-    None, without a table, where no cell does.
-    """
+def _line_starts(lines: DataFrame, size: float) -> DataFrame:
+    """How many lines start in each cell of the finest grid (`fx`, `fy`), and how many edges they have."""
     start = F.try_element_at(F.col("vertices"), F.lit(1))
     finest = size / _FINER**_LEVELS
-    fine = (
+    counts = (
         lines.where(F.size("vertices") > 1)
-        .select(_index(start["x"], finest).alias("fx"), _index(start["y"], finest).alias("fy"))
+        .select(_index(start["x"], finest).alias("fx"), _index(start["y"], finest).alias("fy"), (F.size("vertices") - 1).alias("e"))
         .groupBy("fx", "fy")
-        .agg(F.count("*").alias("n"))
+        .agg(F.count("*").alias("n"), F.sum("e").alias("edges"))
     )
+    return stage(counts, "line-starts")
+
+
+def _dense_cells(starts: DataFrame, k: int) -> DataFrame | None:
+    """Cells of the finer grids (`level`, `cx`, `cy`) that hold `k` line starts or more.
+
+    None, without a table, where no cell does.
+    """
     levels = F.explode(F.array(*[F.lit(j) for j in range(1, _LEVELS + 1)]))
-    above = F.pow(F.lit(float(_FINER)), F.lit(_LEVELS) - F.col("level"))
-    cx, cy = (F.floor(F.col(c) / above).cast("long").alias(a) for c, a in zip(("fx", "fy"), _AT))
     counts = (
-        fine.withColumn("level", levels)
-        .groupBy("level", cx, cy)
+        starts.withColumn("level", levels)
+        .groupBy("level", *_above(F.lit(_LEVELS) - F.col("level")))
         .agg(F.sum("n").alias("n"))
         .where(F.col("n") >= k)
         .select("level", *_AT)
@@ -193,6 +208,30 @@ def _dense_cells(lines: DataFrame, k: int, size: float) -> DataFrame | None:
     return None if counts.isEmpty() else stage(counts, "dense-cells")
 
 
+def _above(levels: Column) -> list[Column]:
+    """The cells so many levels above the finest ones."""
+    width = F.pow(F.lit(float(_FINER)), levels)
+    return [F.floor(F.col(c) / width).cast("long").alias(a) for c, a in zip(("fx", "fy"), _AT)]
+
+
+def _occupied(located: DataFrame) -> DataFrame:
+    return located.groupBy(*_AT).agg(F.count("*").alias("n"))
+
+
+def _busy_cells(cells: DataFrame, starts: DataFrame, level: int, pairs_per_slice: int) -> DataFrame | None:
+    """Cells with very many pairs, and into how many slices their points are to be cut.
+
+    Edges are reckoned by the lines that start in a cell or beside it. That needn't be
+    exact: it decides on the layout only.
+    """
+    own = starts.groupBy(*_above(F.lit(_LEVELS - level))).agg(F.sum("edges").alias("e"))
+    around = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)]))
+    beside = own.withColumn("_by", around).select((F.col("cx") + F.col("_by.i")).alias("cx"), (F.col("cy") + F.col("_by.j")).alias("cy"), "e")
+    near = beside.groupBy(*_AT).agg(F.sum("e").alias("e"))
+    pairs = F.col("n") * F.greatest(F.coalesce("e", F.lit(0)), F.lit(_FEW_EDGES))
+    return heaviest_keys(cells.join(near, _AT, "left").withColumn("weight", pairs), _AT, pairs_per_slice, F.col("n"))
+
+
 def _index(v: Column, size: float) -> Column:
     return F.floor(v / F.lit(size)).cast("long")
 
@@ -219,25 +258,50 @@ def _without_spare_copies(edges: DataFrame, line_id: str, k: int) -> DataFrame:
     return edges.withColumn("_place", F.dense_rank().over(same)).where(F.col("_place") <= k).drop("_place")
 
 
-def _edge_cells(edges: DataFrame, size: float, radius: float) -> DataFrame:
-    """Edges once per grid cell that holds positions within `radius` of them.
+def _masks(cells: DataFrame) -> DataFrame:
+    """Per block (`bx`, `by`) of cells a number whose bits tell which of them are listed."""
+    return cells.groupBy(*[_block(F.col(c)).alias(b) for c, b in zip(_AT, ("bx", "by"))]).agg(
+        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), _bit())).alias("mask")
+    )
+
+
+def _block(cell: Column) -> Column:
+    return F.floor(cell / _BLOCK).cast("long")
+
+
+def _bit() -> Column:
+    """The place of a cell in its block's mask."""
+    return (F.pmod("cy", F.lit(_BLOCK)) * _BLOCK + F.pmod("cx", F.lit(_BLOCK))).cast("int")
 
-    The cells are walked column by column; in each column only the part of the
+
+def _edge_cells(edges: DataFrame, size: float, radius: float, masks: DataFrame) -> DataFrame:
+    """Edges once per grid cell of `masks` that holds positions within `radius` of them.
+
+    Blocks, and then cells, are walked column by column; in each column only the part of the
     edge that can reach it is looked at, so a long diagonal edge lists the cells
     along it and not its whole bounding box.
     """
     reach = radius * (1 + 1e-9) + 1e-6
     x1, y1, x2, y2 = (F.col(c) for c in ("x1", "y1", "x2", "y2"))
-    column = F.sequence(
-        _index(F.least(x1, x2) - reach, size), _index(F.greatest(x1, x2) + reach, size)
-    )
-    by_column = edges.withColumn("cx", F.explode(column))
-    # the stretch of the edge whose x is within reach of this column
-    run = F.nullif(x2 - x1, F.lit(0.0))
-    left = (F.col("cx") * F.lit(size) - reach - x1) / run
-    right = ((F.col("cx") + 1) * F.lit(size) + reach - x1) / run
-    enter = F.greatest(F.lit(0.0), F.coalesce(F.least(left, right), F.lit(0.0)))
-    leave = F.least(F.lit(1.0), F.coalesce(F.greatest(left, right), F.lit(1.0)))
-    ya, yb = (y1 + t * (y2 - y1) for t in (enter, leave))
-    row = F.sequence(_index(F.least(ya, yb) - reach, size), _index(F.greatest(ya, yb) + reach, size))
-    return by_column.withColumn("cy", F.explode(row))
+    west, east = _index(F.least(x1, x2) - reach, size), _index(F.greatest(x1, x2) + reach, size)
+
+    def rows(column: Column, width: float) -> tuple[Column, Column]:
+        """The first and last row of cells near the stretch of the edge whose x is within reach of a column."""
+        run = F.nullif(x2 - x1, F.lit(0.0))
+        left = (column * F.lit(width) - reach - x1) / run
+        right = ((column + 1) * F.lit(width) + reach - x1) / run
+        enter = F.greatest(F.lit(0.0), F.coalesce(F.least(left, right), F.lit(0.0)))
+        leave = F.least(F.lit(1.0), F.coalesce(F.greatest(left, right), F.lit(1.0)))
+        ya, yb = (y1 + t * (y2 - y1) for t in (enter, leave))
+        return _index(F.least(ya, yb) - reach, size), _index(F.greatest(ya, yb) + reach, size)
+
+    blocks = edges.withColumn("bx", F.explode(F.sequence(_block(west), _block(east))))
+    south, north = rows(F.col("bx"), size * _BLOCK)
+    blocks = blocks.withColumn("by", F.explode(F.sequence(_block(south), _block(north)))).join(masks, ["bx", "by"])
+    first, last = F.col("bx") * _BLOCK, F.col("by") * _BLOCK
+    columns = blocks.withColumn("cx", F.explode(F.sequence(F.greatest(first, west), F.least(first + _BLOCK - 1, east))))
+    south, north = rows(F.col("cx"), size)
+    within = columns.withColumns({"_south": F.greatest(last, south), "_north": F.least(last + _BLOCK - 1, north)})
+    listed = within.where("_south <= _north").withColumn("cy", F.explode(F.sequence("_south", "_north")))
+    held = listed.where(F.call_function("shiftright", F.col("mask"), _bit()).bitwiseAND(F.lit(1)) == 1)
+    return held.drop("bx", "by", "mask", "_south", "_north")

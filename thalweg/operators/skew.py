@@ -22,15 +22,23 @@ def hot_keys(df: DataFrame, on: Sequence[str], rows_per_slice: int) -> DataFrame
     """The keys with more than `rows_per_slice` rows and their number of `slices`.
 
     Runs one counting job at once, so that plans stay plain in the usual case
-    that there are none (None). At most the `MAX_HOT_KEYS` largest keys are
-    listed, which bounds what the driver holds and broadcasts; any key left out
-    has under 1/MAX_HOT_KEYS of the table.
+    that there are none (None).
     """
-    counts = df.groupBy(*on).agg(F.count("*").alias("n")).where(F.col("n") > rows_per_slice)
-    slices = F.ceil(F.col("n") / rows_per_slice).cast("long").alias("slices")
-    listed = counts.orderBy(F.col("n").desc(), *on).limit(MAX_HOT_KEYS).select(*on, slices)
+    counts = df.groupBy(*on).agg(F.count("*").alias("weight"))
+    return heaviest_keys(counts, on, rows_per_slice)
+
+
+def heaviest_keys(weights: DataFrame, on: Sequence[str], per_slice: int, most: Column | None = None) -> DataFrame | None:
+    """The keys of `weights` (one row each, with `weight`) heavier than `per_slice`, and their number of `slices`, `most` at most.
+
+    At most the `MAX_HOT_KEYS` heaviest are listed, which bounds what the driver holds and
+    broadcasts; any key left out has under 1/MAX_HOT_KEYS of the whole weight. None if there are none.
+    """
+    slices = F.ceil(F.col("weight") / per_slice).cast("long")
+    counted = weights.withColumn("slices", slices if most is None else F.least(slices, most)).where("slices > 1")
+    listed = counted.orderBy(F.col("weight").desc(), *on).limit(MAX_HOT_KEYS).select(*on, "slices")
     rows = listed.collect()
-    return df.sparkSession.createDataFrame(rows, listed.schema) if rows else None
+    return weights.sparkSession.createDataFrame(rows, listed.schema) if rows else None
 
 
 def spread(df: DataFrame, hot: DataFrame | None, on: Sequence[str], by: Sequence[str]) -> DataFrame:
