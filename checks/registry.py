@@ -355,10 +355,11 @@ def stream_xref_candidates(spark, sf_dir):
     sources = standins.sources(spark, sf_dir)
     keyed = snapping.with_profile(_keyed(spark, sf_dir))
     flowing = keyed.where(~F.col("waterbody_type").isin(*matching.STILL_WATER))
-    found = snapping.observation_candidates(flowing, sources.streams)
-    refs = flowing.select("observation_key", "match_ref")
-    flagged = matching.flag_listed(found.join(refs, "observation_key"), snapping.all_targets(sources))
-    return flagged.where("listed").select("observation_key", "linear_feature_id", _round("distance"))
+    profiles = stage(flowing.select(*matching.PROFILE).distinct(), "profiles")
+    found = snapping.candidates(profiles, sources.streams, by=matching.PROFILE, targets=snapping.all_targets(sources))
+    slim = flowing.select("observation_key", *matching.PROFILE)
+    flagged = spread_join(slim, found.where("listed"), matching.PROFILE, by=["observation_key"])
+    return flagged.select("observation_key", "linear_feature_id", _round("distance"))
 
 
 @_query

@@ -1,11 +1,11 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tests.tables import line, observation, sources
+from tests.tables import line, observation, sources, streams
 from thalweg.operators import matching as mt
 from thalweg.operators.skew import spread_join
 from thalweg.plans import build
-from thalweg.plans.snapping import eligible_streams, keyed_observations
+from thalweg.plans.snapping import candidates, eligible_streams, keyed_observations
 from thalweg.schemas import OUTPUT_COLUMNS
 
 
@@ -111,6 +111,38 @@ def test_eligible_streams(spark):
     assert [r.linear_feature_id for r in eligible_streams(s.streams).collect()] == [1]
 
 
+@pytest.mark.parametrize("most, sliced", [(32, False), (2, False), (2, True)])
+def test_flags_beside_the_search(spark, monkeypatch, most, sliced):
+    """One lake holds most lines and many observations name it; some lines are named by many codes."""
+    monkeypatch.setattr(mt, "MAX_REFS", most)
+    if sliced:
+        kept = mt.spread_join
+        monkeypatch.setattr(mt, "spread_join", lambda *a, **b: kept(*a, **{**b, "rows_per_slice": 3}))
+    lines = [line(i, (i * 20, 0, 0), (i * 20 + 15, 5, 15), route=i, waterbody_key=[500, 500, 500, 501, None][i % 5]) for i in range(40)]
+    refs = [("W1", 500), ("W2", 500), ("W3", 500), ("W1", 501), ("W9", 777), ("S7", 3), ("S8", 3), ("S9", 3), ("S7", 500), ("S7", 11)]
+    targets = spark.createDataFrame(refs, "match_ref string, target long")
+    points = [(float(i * 40), 10.0, r) for i in range(20) for r in ("W1", "W2", "W9", "S7", "S9", "U")]
+    spots = spark.createDataFrame(points, "x double, y double, match_ref string")
+    got = candidates(spots, streams(spark, *lines), by=mt.PROFILE, k=8, radius=90.0, targets=targets).collect()
+    assert len(got) > 300 and {r.listed for r in got} == {True, False}
+    for r in got:
+        target = r.waterbody_key if r.match_ref[0] == "W" else r.linear_feature_id
+        assert r.listed == ((r.match_ref, target) in refs), r
+    plain = candidates(spots, streams(spark, *lines), by=mt.PROFILE, k=8, radius=90.0)
+    assert sorted((tuple(r[c] for c in plain.columns) for r in got), key=str) == sorted(map(tuple, plain.collect()), key=str)
+
+
+def test_candidates_stay_in_their_cells(spark):
+    lines = [line(i, (i * 20, 0, 0), (i * 20 + 15, 5, 15), route=i, waterbody_key=500) for i in range(9)]
+    targets = spark.createDataFrame([("W1", 500)], "match_ref string, target long")
+    spots = spark.createDataFrame([(5.0, 5.0, "W1")], "x double, y double, match_ref string")
+    found = candidates(spots, streams(spark, *lines), by=mt.PROFILE, keep_cell=True, targets=targets)
+    judged = mt.match_tiers(found, by=["cell", *mt.PROFILE])
+    plan = judged._jdf.queryExecution().executedPlan().toString()
+    # points and edges go to their cells; nothing after that is dealt out again
+    assert plan.count("hashpartitioning(cell") == 2 and "hashpartitioning(match_ref" not in plan
+
+
 def test_whole_job(spark):
     lines = [
         line(1, (0, 0, 0), (100, 0, 100), route=10, waterbody_key=500),

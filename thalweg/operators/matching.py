@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 from thalweg.functions import joined_code, strip_dashes, strip_leading_zeros
 from thalweg.operators.grouping import first_per_group
+from thalweg.operators.skew import spread_join
+from thalweg.staging import stage
 
 # Waterbody types, distance limits in metres and result tags.
 STILL_WATER = ("Lake", "Wetland")
@@ -31,6 +33,9 @@ TIER_RULES = (TIER_D, TIER_E, TIER_A, TIER_B, TIER_C)
 
 PROFILE = ("x", "y", "match_ref")
 
+#: How many refs a line carries through the search at most.
+MAX_REFS = 32
+
 _STILL, _FLOWING, _FLOWING_UNCODED = "W", "S", "U"
 
 
@@ -88,15 +93,82 @@ def listed_targets(waterbody_pairs: DataFrame, stream_xref: DataFrame) -> DataFr
     return still.unionByName(flowing.distinct())
 
 
-def flag_listed(candidates: DataFrame, targets: DataFrame) -> DataFrame:
-    """Add `listed`: the lookups connect this candidate with the observation."""
+#: Columns of lines after `with_refs`, and of candidates after the search.
+REFS = ("line_refs", "water_refs", "line_crowded", "water_crowded")
+LINE_FLAGS, WATER_FLAGS = ("line_listed", "line_crowded"), ("water_listed", "water_crowded")
+
+
+def with_refs(lines: DataFrame, targets: DataFrame) -> DataFrame:
+    """Lines with the `match_ref`s that the lookups connect with the line and with its waterbody.
+
+    Refs are arrays of `MAX_REFS` at most. A line or waterbody with more than that has none
+    and is marked crowded; its candidates are left to `join_listed`.
+    """
+    counts = _targeted(targets)
+    few = targets.withColumn("kind", _kind()).join(counts.where(F.col("n") <= MAX_REFS), ["kind", "target"], "left_semi")
+    refs = few.groupBy("kind", "target").agg(F.collect_set("match_ref").alias("refs"), F.lit(False).alias("crowded"))
+    many = counts.where(F.col("n") > MAX_REFS)
+    listed = stage(refs.unionByName(many.select("kind", "target", F.lit(None).cast("array<string>").alias("refs"), F.lit(True).alias("crowded"))), "target-refs")
+
+    def of(kind: str, name: str, key: str) -> DataFrame:
+        return listed.where(F.col("kind") == kind).select(
+            F.col("target").alias(key), F.col("refs").alias(f"{name}_refs"), F.col("crowded").alias(f"{name}_crowded")
+        )
+
+    # waterbodies meet the narrow table of lines, since one may hold most of them
+    slim = lines.where(F.col("waterbody_key").isNotNull()).select("linear_feature_id", F.col("waterbody_key").cast("long").alias("waterbody_key"))
+    by_water = spread_join(slim, of(_STILL, "water", "waterbody_key"), ["waterbody_key"], by=["linear_feature_id"]).drop("waterbody_key")
+    by_line = of(_FLOWING, "line", "linear_feature_id").join(by_water, "linear_feature_id", "full")
+    return lines.join(by_line, "linear_feature_id", "left")
+
+
+def search_flags() -> dict[str, Column]:
+    """For `nearest_lines`: whether the lookups connect a point's `match_ref` with a line and with its waterbody."""
+
+    def listed(name: str) -> Column:
+        return F.coalesce(F.array_contains(f"{name}_refs", F.col("match_ref")), F.lit(False))
+
+    def crowded(name: str) -> Column:
+        return F.coalesce(f"{name}_crowded", F.lit(False))
+
+    return {f"{name}_{what}": f(name) for name in ("line", "water") for what, f in (("listed", listed), ("crowded", crowded))}
+
+
+def flag_listed(candidates: DataFrame, targets: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Add `listed`: the lookups connect this candidate with the observation.
+
+    The search has settled that beside each candidate (`search_flags`), so candidates stay where
+    they are. Only those of crowded lines and waterbodies, if any, meet the table of
+    targets, spread where one of them holds very many.
+    """
+    still = F.col("match_ref").startswith(_STILL)
+    listed = candidates.withColumn("listed", F.when(still, F.col("water_listed")).otherwise(F.col("line_listed")))
+    crowded = F.when(still, F.col("water_crowded")).otherwise(F.col("line_crowded"))
+    plain = listed.where(~crowded).drop(*LINE_FLAGS, *WATER_FLAGS)
+    if _targeted(targets).where(F.col("n") > MAX_REFS).isEmpty():
+        return listed.drop(*LINE_FLAGS, *WATER_FLAGS)
+    rest = stage(listed.where(crowded).drop("listed", *LINE_FLAGS, *WATER_FLAGS), "crowded")
+    return plain.unionByName(join_listed(rest, targets, by))
+
+
+def join_listed(candidates: DataFrame, targets: DataFrame, by: Sequence[str]) -> DataFrame:
+    """`listed` by a join on (`match_ref`, target), for candidates that `by` and the line tell apart."""
     still = F.col("match_ref").startswith(_STILL)
     target = F.when(still, F.col("waterbody_key")).otherwise(F.col("linear_feature_id"))
     flags = targets.withColumn("listed", F.lit(True))
-    joined = candidates.withColumn("target", target).join(flags, ["match_ref", "target"], "left")
+    joined = spread_join(candidates.withColumn("target", target), flags, ["match_ref", "target"], [*by, "linear_feature_id"], how="left")
     return joined.withColumn("listed", F.coalesce("listed", F.lit(False))).drop("target")
 
 
+def _targeted(targets: DataFrame) -> DataFrame:
+    """How many refs name each line (`kind` flowing) and each waterbody (still)."""
+    return targets.groupBy(_kind().alias("kind"), "target").agg(F.count("*").alias("n"))
+
+
+def _kind() -> Column:
+    return F.substring("match_ref", 1, 1)
+
+
 def match_tiers(candidates: DataFrame, *, by: Sequence[str]) -> DataFrame:
     """At most one candidate per `by` group, with its `match_type`.
 

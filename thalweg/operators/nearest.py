@@ -22,7 +22,7 @@ small tables, and leave the plan alone where there is nothing to do:
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -58,6 +58,8 @@ def nearest_lines(
     radius: float = DEFAULT_RADIUS,
     cell_size: float | None = None,
     carry: Sequence[str] = (),
+    flags: Mapping[str, Column] | None = None,
+    needs: Sequence[str] = (),
     line_id: str = "linear_feature_id",
     keep_cell: bool = False,
     pairs_per_slice: int = PAIRS_PER_SLICE,
@@ -70,11 +72,15 @@ def nearest_lines(
     closest position. Ties at the k-th place go to the lowest id, ties within a
     line to the lowest measure. Points without a line in reach give no row.
 
+    `flags` are further columns, worked out where point and line meet: from the `by` columns, the
+    `carry` columns and the lines' columns `needs`, which go no further.
+
     `keep_cell` adds the grid cell; grouping by it together with `by` reuses the
     partitioning of the result.
     """
     size = float(cell_size or radius)
-    edges = explode_edges(lines, line_id, *carry).drop("edge_no", "z1", "z2")
+    flags = dict(flags or {})
+    edges = explode_edges(lines, line_id, *carry, *needs).drop("edge_no", "z1", "z2")
     starts = _line_starts(lines, size)
     dense = None if k is None else _dense_cells(starts, k)
     if dense is not None:
@@ -82,7 +88,7 @@ def nearest_lines(
 
     def search(located: DataFrame, cells: DataFrame, edge_cells: DataFrame, level: int, reach: float) -> DataFrame:
         hot = _busy_cells(cells, starts, level, pairs_per_slice)
-        return _search(located, edge_cells, by, k, min(reach, radius), line_id, carry, hot)
+        return _search(located, edge_cells, by, k, min(reach, radius), line_id, carry, flags, hot)
 
     x, y = F.col("x"), F.col("y")
     placed = points.where(x.isNotNull() & y.isNotNull()).select(*by, x.alias("px"), y.alias("py"))
@@ -93,7 +99,7 @@ def nearest_lines(
         found = search(located, cells, edge_cells, 0, radius)
     else:
         found = _search_by_level(located, edge_cells, dense, by, size, radius, search)
-    kept = ([CELL] if keep_cell else []) + [*by, line_id, *carry, "distance", "measure"]
+    kept = ([CELL] if keep_cell else []) + [*by, line_id, *carry, *flags, "distance", "measure"]
     return found.where(F.col("distance") < radius).select(*kept)
 
 
@@ -105,6 +111,7 @@ def _search(
     reach: float,
     line_id: str,
     carry: Sequence[str],
+    flags: Mapping[str, Column],
     hot: DataFrame | None,
 ) -> DataFrame:
     """The `k` nearest lines no farther than `reach`, on one grid.
@@ -118,7 +125,7 @@ def _search(
 
     edge = {c: F.col(c) for c in ("x1", "y1", "x2", "y2", "m1", "m2")}
     px, py = F.col("px"), F.col("py")
-    group = [CELL, *by, line_id, *carry]
+    group = [CELL, *by, line_id, *carry, *[c.alias(name) for name, c in flags.items()]]
     squared = squared_distance_to_edge(px, py, edge)
     pairs = found.where(squared <= F.lit(reach * reach * _LEEWAY)).select(
         *group, F.sqrt(squared).alias("distance"), measure_on_edge(px, py, edge).alias("measure")

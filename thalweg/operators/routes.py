@@ -21,11 +21,12 @@ def closest_per_route(
     route: str = "blue_line_key",
     line_id: str = "linear_feature_id",
     anchored: Sequence[str] = (),
+    own: Sequence[str] = (),
 ) -> DataFrame:
     """Per point and route, all candidate lines at the smallest distance.
 
     Consecutive lines of a route share a vertex, so ties are common. Every tied
-    line keeps its own id, but the measure and the `anchored` columns come from
+    line keeps its own id and its `own` columns, but the measure and the `anchored` columns come from
     one of them, the anchor: the tied line with the lowest id, reported as
     `anchor_id`. Lines without a route drop out.
     """
@@ -39,7 +40,7 @@ def closest_per_route(
     anchor = group.orderBy(line_id)
     from_anchor = [F.first(c).over(anchor).alias(c) for c in ("measure", *anchored)]
     return tied.select(
-        *by, line_id, route, "distance", F.first(line_id).over(anchor).alias("anchor_id"), *from_anchor
+        *by, line_id, route, *own, "distance", F.first(line_id).over(anchor).alias("anchor_id"), *from_anchor
     )
 
 

@@ -65,17 +65,18 @@ def spread_join(
     by: Sequence[str],
     rows_per_slice: int = ROWS_PER_SLICE,
     counted: DataFrame | None = None,
+    how: str = "inner",
 ) -> DataFrame:
-    """Inner join whose `large` side may hold most of its rows under one key.
+    """Inner (or left) join whose `large` side may hold most of its rows under one key.
 
     `by` are columns of `large` that tell its rows apart within a key. Keys are
     counted in `counted`, if given: a stored table with the keys of `large`.
     """
     hot = hot_keys(large if counted is None else counted, on, rows_per_slice)
     if hot is None:
-        return large.join(other, list(on))
+        return large.join(other, list(on), how)
     left, right = spread(large, hot, on, by), copy_to_slices(other, hot, on)
-    return left.join(right, [*on, SLICE]).drop(SLICE)
+    return left.join(right, [*on, SLICE], how).drop(SLICE)
 
 
 def _zero() -> Column:

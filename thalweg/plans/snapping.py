@@ -10,12 +10,17 @@ from pyspark.sql import functions as F
 from thalweg.functions import clamp_measure, is_descendant_or_self
 from thalweg.operators.grouping import dedupe_by_key, with_observation_key
 from thalweg.operators.matching import (
+    LINE_FLAGS,
     PROFILE,
+    REFS,
+    WATER_FLAGS,
     flag_listed,
     listed_targets,
     match_profile,
     match_tiers,
+    search_flags,
     waterbody_targets,
+    with_refs,
 )
 from thalweg.operators.nearest import CELL, DEFAULT_K, DEFAULT_RADIUS, nearest_lines
 from thalweg.operators.routes import anchor_codes, closest_per_route, locate_along
@@ -80,19 +85,29 @@ def candidates(
     radius: float = DEFAULT_RADIUS,
     keep_cell: bool = False,
     cell_size: float | None = None,
+    targets: DataFrame | None = None,
 ) -> DataFrame:
-    """Nearest streams of every point, reduced to the closest ones per route."""
+    """Nearest streams of every point, reduced to the closest ones per route.
+
+    With `targets` (and `match_ref` in `by`) each has `listed`: whether the lookups name it.
+    """
+    lines = eligible_streams(streams)
+    extra = {} if targets is None else {"flags": search_flags(), "needs": REFS}
     found = nearest_lines(
         points,
-        eligible_streams(streams),
+        lines if targets is None else with_refs(lines, targets),
         by=by,
         k=k,
         radius=radius,
         carry=("blue_line_key", "waterbody_key"),
         keep_cell=True,
         cell_size=cell_size,
+        **extra,
     )
-    reduced = closest_per_route(found, by=[CELL, *by], anchored=["waterbody_key"])
+    own, anchored = ((), ()) if targets is None else (LINE_FLAGS, WATER_FLAGS)
+    reduced = closest_per_route(found, by=[CELL, *by], own=own, anchored=["waterbody_key", *anchored])
+    if targets is not None:
+        reduced = flag_listed(reduced, targets, [CELL, *by])
     return reduced if keep_cell else reduced.drop(CELL)
 
 
@@ -108,15 +123,14 @@ def observation_candidates(keyed: DataFrame, streams: DataFrame) -> DataFrame:
 def winners(keyed: DataFrame, sources: Sources, cell_size: float | None = None) -> DataFrame:
     """The matched line per distinct (x, y, profile), stored: it is the costly step."""
     profiles = stage(with_profile(keyed).where("match_ref is not null").select(*PROFILE).distinct(), "profiles")
-    found = candidates(profiles, sources.streams, by=PROFILE, keep_cell=True, cell_size=cell_size)
-    flagged = flag_listed(found, all_targets(sources))
+    flagged = candidates(profiles, sources.streams, by=PROFILE, keep_cell=True, cell_size=cell_size, targets=all_targets(sources))
     return stage(match_tiers(flagged, by=[CELL, *PROFILE]).drop(CELL), "winners")
 
 
 def all_targets(sources: Sources) -> DataFrame:
-    """What the waterbody and stream lookups connect, as one table."""
+    """What the waterbody and stream lookups connect, as one stored table."""
     pairs = waterbody_targets(sources.waterbody_dictionary, sources.waterbody_xref, sources.waterbodies)
-    return listed_targets(pairs, sources.stream_xref)
+    return stage(listed_targets(pairs, sources.stream_xref), "targets")
 
 
 def with_profile(keyed: DataFrame) -> DataFrame:
