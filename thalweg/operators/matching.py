@@ -93,33 +93,36 @@ def listed_targets(waterbody_pairs: DataFrame, stream_xref: DataFrame) -> DataFr
     return still.unionByName(flowing.distinct())
 
 
-#: Columns of lines after `with_refs`, and of candidates after the search.
-REFS = ("line_refs", "water_refs", "line_crowded", "water_crowded")
+#: Columns of candidates after the search.
 LINE_FLAGS, WATER_FLAGS = ("line_listed", "line_crowded"), ("water_listed", "water_crowded")
 
 
-def with_refs(lines: DataFrame, targets: DataFrame) -> DataFrame:
-    """Lines with the `match_ref`s that the lookups connect with the line and with its waterbody.
+def target_refs(targets: DataFrame) -> DataFrame:
+    """Per line (`kind` flowing) and waterbody (still) the `match_ref`s that the lookups connect with it, stored.
 
-    Refs are arrays of `MAX_REFS` at most. A line or waterbody with more than that has none
-    and is marked crowded; its candidates are left to `join_listed`.
+    `refs` are arrays of `MAX_REFS` at most. A target with more than that has none and is
+    marked crowded; its candidates are left to `join_listed`.
     """
-    counts = _targeted(targets)
-    few = targets.withColumn("kind", _kind()).join(counts.where(F.col("n") <= MAX_REFS), ["kind", "target"], "left_semi")
+    kinds = targets.withColumn("kind", F.substring("match_ref", 1, 1))
+    counts = kinds.groupBy("kind", "target").agg(F.count("*").alias("n"))
+    few = kinds.join(counts.where(F.col("n") <= MAX_REFS), ["kind", "target"], "left_semi")
     refs = few.groupBy("kind", "target").agg(F.collect_set("match_ref").alias("refs"), F.lit(False).alias("crowded"))
-    many = counts.where(F.col("n") > MAX_REFS)
-    listed = stage(refs.unionByName(many.select("kind", "target", F.lit(None).cast("array<string>").alias("refs"), F.lit(True).alias("crowded"))), "target-refs")
+    many = counts.where(F.col("n") > MAX_REFS).select("kind", "target", F.lit(None).cast("array<string>").alias("refs"), F.lit(True).alias("crowded"))
+    return stage(refs.unionByName(many), "target-refs")
+
+
+def line_refs(lines: DataFrame, refs: DataFrame) -> DataFrame:
+    """The refs of each line's own and of its waterbody's, with whether it is crowded; only of lines that have some."""
 
     def of(kind: str, name: str, key: str) -> DataFrame:
-        return listed.where(F.col("kind") == kind).select(
+        return refs.where(F.col("kind") == kind).select(
             F.col("target").alias(key), F.col("refs").alias(f"{name}_refs"), F.col("crowded").alias(f"{name}_crowded")
         )
 
-    # waterbodies meet the narrow table of lines, since one may hold most of them
+    # one waterbody may hold most lines
     slim = lines.where(F.col("waterbody_key").isNotNull()).select("linear_feature_id", F.col("waterbody_key").cast("long").alias("waterbody_key"))
     by_water = spread_join(slim, of(_STILL, "water", "waterbody_key"), ["waterbody_key"], by=["linear_feature_id"]).drop("waterbody_key")
-    by_line = of(_FLOWING, "line", "linear_feature_id").join(by_water, "linear_feature_id", "full")
-    return lines.join(by_line, "linear_feature_id", "left")
+    return of(_FLOWING, "line", "linear_feature_id").join(by_water, "linear_feature_id", "full")
 
 
 def search_flags() -> dict[str, Column]:
@@ -134,19 +137,19 @@ def search_flags() -> dict[str, Column]:
     return {f"{name}_{what}": f(name) for name in ("line", "water") for what, f in (("listed", listed), ("crowded", crowded))}
 
 
-def flag_listed(candidates: DataFrame, targets: DataFrame, by: Sequence[str]) -> DataFrame:
+def flag_listed(candidates: DataFrame, targets: DataFrame | None, by: Sequence[str]) -> DataFrame:
     """Add `listed`: the lookups connect this candidate with the observation.
 
     The search has settled that beside each candidate (`search_flags`), so candidates stay where
-    they are. Only those of crowded lines and waterbodies, if any, meet the table of
-    targets, spread where one of them holds very many.
+    they are. Only those of crowded lines and waterbodies meet the table of `targets` (None if there are
+    no such), spread where one of them holds very many.
     """
     still = F.col("match_ref").startswith(_STILL)
     listed = candidates.withColumn("listed", F.when(still, F.col("water_listed")).otherwise(F.col("line_listed")))
+    if targets is None:
+        return listed.drop(*LINE_FLAGS, *WATER_FLAGS)
     crowded = F.when(still, F.col("water_crowded")).otherwise(F.col("line_crowded"))
     plain = listed.where(~crowded).drop(*LINE_FLAGS, *WATER_FLAGS)
-    if _targeted(targets).where(F.col("n") > MAX_REFS).isEmpty():
-        return listed.drop(*LINE_FLAGS, *WATER_FLAGS)
     rest = stage(listed.where(crowded).drop("listed", *LINE_FLAGS, *WATER_FLAGS), "crowded")
     return plain.unionByName(join_listed(rest, targets, by))
 
@@ -160,15 +163,6 @@ def join_listed(candidates: DataFrame, targets: DataFrame, by: Sequence[str]) ->
     return joined.withColumn("listed", F.coalesce("listed", F.lit(False))).drop("target")
 
 
-def _targeted(targets: DataFrame) -> DataFrame:
-    """How many refs name each line (`kind` flowing) and each waterbody (still)."""
-    return targets.groupBy(_kind().alias("kind"), "target").agg(F.count("*").alias("n"))
-
-
-def _kind() -> Column:
-    return F.substring("match_ref", 1, 1)
-
-
 def match_tiers(candidates: DataFrame, *, by: Sequence[str]) -> DataFrame:
     """At most one candidate per `by` group, with its `match_type`.
 

@@ -59,7 +59,7 @@ def nearest_lines(
     cell_size: float | None = None,
     carry: Sequence[str] = (),
     flags: Mapping[str, Column] | None = None,
-    needs: Sequence[str] = (),
+    needs: DataFrame | None = None,
     line_id: str = "linear_feature_id",
     keep_cell: bool = False,
     pairs_per_slice: int = PAIRS_PER_SLICE,
@@ -73,14 +73,16 @@ def nearest_lines(
     line to the lowest measure. Points without a line in reach give no row.
 
     `flags` are further columns, worked out where point and line meet: from the `by` columns, the
-    `carry` columns and the lines' columns `needs`, which go no further.
+    `carry` columns and those of `needs` (a table with one row per `line_id`, or none), which go no further.
 
     `keep_cell` adds the grid cell; grouping by it together with `by` reuses the
     partitioning of the result.
     """
     size = float(cell_size or radius)
     flags = dict(flags or {})
-    edges = explode_edges(lines, line_id, *carry, *needs).drop("edge_no", "z1", "z2")
+    more = [] if needs is None else [c for c in needs.columns if c != line_id]
+    whole = lines if needs is None else lines.join(needs, line_id, "left")
+    edges = explode_edges(whole, line_id, *carry, *more).drop("edge_no", "z1", "z2")
     starts = _line_starts(lines, size)
     dense = None if k is None else _dense_cells(starts, k)
     if dense is not None:

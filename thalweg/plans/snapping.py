@@ -12,15 +12,15 @@ from thalweg.operators.grouping import dedupe_by_key, with_observation_key
 from thalweg.operators.matching import (
     LINE_FLAGS,
     PROFILE,
-    REFS,
     WATER_FLAGS,
     flag_listed,
+    line_refs,
     listed_targets,
     match_profile,
     match_tiers,
     search_flags,
+    target_refs,
     waterbody_targets,
-    with_refs,
 )
 from thalweg.operators.nearest import CELL, DEFAULT_K, DEFAULT_RADIUS, nearest_lines
 from thalweg.operators.routes import anchor_codes, closest_per_route, locate_along
@@ -91,11 +91,11 @@ def candidates(
 
     With `targets` (and `match_ref` in `by`) each has `listed`: whether the lookups name it.
     """
-    lines = eligible_streams(streams)
-    extra = {} if targets is None else {"flags": search_flags(), "needs": REFS}
+    lines, refs = eligible_streams(streams), None if targets is None else target_refs(targets)
+    extra = {} if refs is None else {"flags": search_flags(), "needs": line_refs(lines, refs)}
     found = nearest_lines(
         points,
-        lines if targets is None else with_refs(lines, targets),
+        lines,
         by=by,
         k=k,
         radius=radius,
@@ -104,10 +104,11 @@ def candidates(
         cell_size=cell_size,
         **extra,
     )
-    own, anchored = ((), ()) if targets is None else (LINE_FLAGS, WATER_FLAGS)
+    own, anchored = ((), ()) if refs is None else (LINE_FLAGS, WATER_FLAGS)
     reduced = closest_per_route(found, by=[CELL, *by], own=own, anchored=["waterbody_key", *anchored])
-    if targets is not None:
-        reduced = flag_listed(reduced, targets, [CELL, *by])
+    if refs is not None:
+        crowded = not refs.where("crowded").isEmpty()
+        reduced = flag_listed(reduced, targets if crowded else None, [CELL, *by])
     return reduced if keep_cell else reduced.drop(CELL)
 
 
