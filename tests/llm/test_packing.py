@@ -1,5 +1,6 @@
 import itertools
 import random
+import unicodedata
 import zlib
 
 import numpy as np
@@ -35,6 +36,19 @@ def test_encoder(tokenizer, monkeypatch):
         assert np.frombuffer(own.encode(text or ""), own.kind).tolist() == ids_of(tokenizer, text)[:-1], text
 
 
+def test_letters_before_punctuation(tokenizer):
+    """Letters that the tokenizer takes apart may join what follows them; all of those, and a part of the others."""
+    letters = [chr(i) for i in range(0x80, 0x30000) if chr(i).isalnum()]
+    odd = [c for c in letters if unicodedata.normalize("NFC", c) != c or len(c.lower()) > 1]
+    marks = packing._ENDS
+    texts = [f"{c}{m} a{c}{m}{m}" for c in odd if not 0xF900 <= ord(c) <= 0xFAFF for m in marks]
+    texts += [f"{c}{marks[i % len(marks)]} {c}" for i, c in enumerate(letters) if i % 11 == 0 or 0xF900 <= ord(c) <= 0xFAFF]
+    own = packing.Encoder(tokenizer_path())
+    assert own.encode("\u0130.") == np.array(tokenizer.encode("\u0130.", add_special_tokens=False).ids, own.kind).tobytes()
+    for text, coded in zip(texts, tokenizer.encode_batch(texts, add_special_tokens=False)):
+        assert np.frombuffer(own.encode(text), own.kind).tolist() == coded.ids, text
+
+
 def test_hilbert(monkeypatch):
     monkeypatch.setattr(packing, "BITS", 2)
     cells = np.array(list(itertools.product(range(4), repeat=4)), np.int64)

@@ -10,6 +10,7 @@ stream, so sequences run on across parts and only the very last one is padded.
 
 from __future__ import annotations
 
+import unicodedata
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -31,12 +32,21 @@ CELL_BITS, PART_TOKENS, PARTS = 14, 1_000_000, 20_000
 STEP = 1 << 20
 #: Chunks of text remembered by a worker (twice so many at most), and the longest one.
 REMEMBERED, LONGEST = 400_000, 48
-#: Characters that, at a chunk's end, are tokens apart from the letter or digit before them.
+#: Characters that, at a chunk's end, are tokens apart from a letter or digit before them.
 _ENDS = ".,;:!?*$%&#|"
 #: White space to Python that isn't to the tokenizer.
 _ODD_SPACE = dict.fromkeys("\x1c\x1d\x1e\x1f")
 
 
+def _ends_apart(core: str) -> bool:
+    """Whether punctuation after `core` is a token of its own: what the tokenizer makes of its end is a letter or digit.
+
+    The tokenizer composes characters and lower-cases them first. Some letters end in a combining
+    mark then, which it joins with what follows.
+    """
+    return core[-1].isascii() and core[-1].isalnum() or unicodedata.normalize("NFC", core[-2:]).lower()[-1].isalnum()
+
+
 class Encoder:
     """Token ids (unsigned, 16 or 32 bits) of texts, by a `tokenizers` file.
 
@@ -67,6 +77,18 @@ class Encoder:
             for c, a, b in zip(some, cuts, cuts[1:]):
                 self.new[c] = ids[a:b].tobytes()
 
+    def _add(self, unknown: set[str]) -> list[str]:
+        """Learn these chunks; returns those too long to be remembered."""
+        long = {c: self._whole(c) for c in unknown if len(c) > LONGEST}
+        ended = {c: core for c in unknown if c not in long and (core := c.rstrip(_ENDS)) and core != c and _ends_apart(core)}
+        wanted = {*unknown.difference(long, ended), *ended.values(), *(c[len(core) :] for c, core in ended.items())}
+        wanted = {c for c in wanted if c not in self.new}
+        self.new.update((c, self.old[c]) for c in wanted if c in self.old)
+        self._learn([c for c in wanted if c not in self.new])
+        self.new.update((c, self.new[core] + self.new[c[len(core) :]]) for c, core in ended.items())
+        self.new.update(long)
+        return list(long)
+
     def encode(self, text: str) -> bytes:
         if any(c in text for c in _ODD_SPACE):
             return self._whole(text)
@@ -80,20 +102,14 @@ class Encoder:
                 to += 1
             part = text[at:to]
             chunks = (part.lower() if part.isascii() else part).split()
-            unknown = {c for c in chunks if c not in self.new}
-            if unknown:
-                long = {c: self._whole(c) for c in unknown if len(c) > LONGEST}
-                ended = {c: core for c in unknown if c not in long and (core := c.rstrip(_ENDS)) and core != c and core[-1].isalnum()}
-                wanted = {*unknown.difference(long, ended), *ended.values(), *(c[len(core) :] for c, core in ended.items())}
-                wanted = {c for c in wanted if c not in self.new}
-                self.new.update((c, self.old[c]) for c in wanted if c in self.old)
-                self._learn([c for c in wanted if c not in self.new])
-                self.new.update((c, self.new[core] + self.new[c[len(core) :]]) for c, core in ended.items())
-                self.new.update(long)
-            yield b"".join([self.new[c] for c in chunks])
-            if unknown:
+            known = self.new
+            try:  # mostly all chunks are known, and looked up without a step of Python for each
+                yield b"".join(map(known.__getitem__, chunks))
+            except KeyError:
+                long = self._add({c for c in chunks if c not in known})
+                yield b"".join(map(known.__getitem__, chunks))
                 for c in long:
-                    del self.new[c]
+                    del known[c]
             if len(self.new) > REMEMBERED:
                 self.old, self.new = self.new, {}
             at = to
