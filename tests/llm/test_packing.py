@@ -34,6 +34,8 @@ def test_encoder(tokenizer, monkeypatch):
     texts = TEXTS + [" ".join(R.choice(["Ab", "cde,", "Über", "naïve.", "x1y2", "é***", "...", "it's!", "s'", "a|b||", "<|endoftext|>.", "½#", "e\u0301,", "日本&"]) for _ in range(60)) for _ in range(30)]
     for text in texts + texts[::-1]:
         assert np.frombuffer(own.encode(text or ""), own.kind).tolist() == ids_of(tokenizer, text)[:-1], text
+    together = own.encode_all([t or "" for t in texts])
+    assert [np.frombuffer(c, own.kind).tolist() for c in together] == [ids_of(tokenizer, t)[:-1] for t in texts]
 
 
 def test_letters_before_punctuation(tokenizer):

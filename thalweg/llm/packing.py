@@ -47,11 +47,17 @@ def _ends_apart(core: str) -> bool:
     return core[-1].isascii() and core[-1].isalnum() or unicodedata.normalize("NFC", core[-2:]).lower()[-1].isalnum()
 
 
+def _one_word(chunk: str) -> bool:
+    """Whether the chunk is letters only, to the tokenizer as well, and so one word of it."""
+    return chunk.isalpha() and (chunk.isascii() or unicodedata.is_normalized("NFC", chunk) and chunk.lower().isalpha())
+
+
 class Encoder:
     """Token ids (unsigned, 16 or 32 bits) of texts, by a `tokenizers` file.
 
     White space always parts tokens, so a text's ids are those of its chunks, and
-    the ids of recent chunks are remembered. Texts with rare control characters, where
+    the ids of recent chunks are remembered. Chunks of letters alone are learned without
+    offsets, by the tokens that end a word. Texts with rare control characters, where
     the tokenizer and `str.split` part differently, go to it whole.
     """
 
@@ -60,6 +66,11 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.kind = np.uint16 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else np.uint32
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        self.ends = None  # which ids end a word, where the vocabulary marks that
+        if suffix:
+            self.ends = np.zeros(self.tokenizer.get_vocab_size(with_added_tokens=True), bool)
+            self.ends[[i for t, i in self.tokenizer.get_vocab(with_added_tokens=False).items() if t.endswith(suffix)]] = True
         self.new: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
@@ -67,6 +78,17 @@ class Encoder:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
 
     def _learn(self, chunks: list[str]) -> None:
+        words = [c for c in chunks if _one_word(c)]
+        if self.ends is not None and words:
+            joined = [" ".join(words[s : s + 512]) for s in range(0, len(words), 512)]
+            coded = self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)
+            ids = np.concatenate([np.array(c.ids, self.kind) for c in coded])
+            cuts = np.flatnonzero(self.ends[ids]) + 1
+            if len(cuts) == len(words):
+                data, size = ids.tobytes(), ids.itemsize
+                cuts = [0, *(cuts * size).tolist()]
+                self.new.update((c, data[a:b]) for c, a, b in zip(words, cuts, cuts[1:]))
+                chunks = [c for c in chunks if c not in self.new]
         for s in range(0, len(chunks), 2048):
             some = chunks[s : s + 2048]
             coded = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
@@ -79,6 +101,8 @@ class Encoder:
 
     def _add(self, unknown: set[str]) -> list[str]:
         """Learn these chunks; returns those too long to be remembered."""
+        if not unknown:
+            return []
         long = {c: self._whole(c) for c in unknown if len(c) > LONGEST}
         ended = {c: core for c in unknown if c not in long and (core := c.rstrip(_ENDS)) and core != c and _ends_apart(core)}
         wanted = {*unknown.difference(long, ended), *ended.values(), *(c[len(core) :] for c, core in ended.items())}
@@ -90,28 +114,46 @@ class Encoder:
         return list(long)
 
     def encode(self, text: str) -> bytes:
-        if any(c in text for c in _ODD_SPACE):
-            return self._whole(text)
         return b"".join(self._sliced(text))
 
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text; texts are taken together, up to `STEP` characters, to learn their chunks at once."""
+        out: list[bytes] = []
+        some: list[str] = []
+        size = 0
+        for text in texts:
+            if size + len(text) > STEP:
+                out += self._together(some)
+                some, size = [], 0
+            if len(text) > STEP:
+                out.append(self.encode(text))
+            else:
+                some.append(text)
+                size += len(text)
+        return out + self._together(some)
+
+    def _together(self, texts: list[str]) -> list[bytes]:
+        odd = [any(c in t for c in _ODD_SPACE) for t in texts]
+        chunks = [[] if o else (t.lower() if t.isascii() else t).split() for t, o in zip(texts, odd)]
+        long = self._add(set().union(*chunks).difference(self.new))
+        known = self.new.__getitem__
+        out = [self._whole(t) if o else b"".join(map(known, c)) for t, o, c in zip(texts, odd, chunks)]
+        for c in long:
+            del self.new[c]
+        if len(self.new) > REMEMBERED:
+            self.old, self.new = self.new, {}
+        return out
+
     def _sliced(self, text: str) -> Iterator[bytes]:
+        if any(c in text for c in _ODD_SPACE):
+            yield self._whole(text)
+            return
         at = 0
         while at < len(text):
             to = at + STEP
             while to < len(text) and not text[to].isspace():
                 to += 1
-            part = text[at:to]
-            chunks = (part.lower() if part.isascii() else part).split()
-            known = self.new
-            try:  # mostly all chunks are known, and looked up without a step of Python for each
-                yield b"".join(map(known.__getitem__, chunks))
-            except KeyError:
-                long = self._add({c for c in chunks if c not in known})
-                yield b"".join(map(known.__getitem__, chunks))
-                for c in long:
-                    del known[c]
-            if len(self.new) > REMEMBERED:
-                self.old, self.new = self.new, {}
+            yield self._together([text[at:to]])[0]
             at = to
 
 
@@ -173,11 +215,12 @@ def tokenized(docs: DataFrame, path: str) -> DataFrame:
         for b in batches:
             at = 0
             while at < b.num_rows:
-                coded, total, first = [], 0, at
-                while at < b.num_rows and total < 4 * STEP:
-                    coded.append(own.encode(b.column(1)[at].as_py() or "") + end)
-                    total += len(coded[-1])
+                texts, total, first = [], 0, at
+                while at < b.num_rows and total < 2 * STEP:
+                    texts.append(b.column(1)[at].as_py() or "")
+                    total += len(texts[-1])
                     at += 1
+                coded = [c + end for c in own.encode_all(texts)]
                 n = np.array([len(c) // size for c in coded], np.int64)
                 place = hilbert(points(np.frombuffer(b"".join(coded), own.kind), np.cumsum(n) - n, vocabulary))
                 salt = np.array([zlib.crc32(c, (d or 0) & 0xFFFFFFFF) for c, d in zip(coded, b.column(0).slice(first, at - first).to_pylist())], np.int64)
