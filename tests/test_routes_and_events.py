@@ -145,3 +145,14 @@ def test_lookups_sort_by_path(spark):
     up = lookups.elevation_at_species(obs, lines, "ST", "G").collect()
     assert [(r.observation_key, r.elevation) for r in up] == [("c", 20.0), ("a", 50.0), ("b", 10.0), ("d", 20.0)]
     assert [r.species_code for r in lookups.species_on_route(obs, 1, 2.5).collect()] == ["ST"]
+
+
+def test_a_bin_with_most_events_is_split(spark):
+    lines = streams(spark, line(1, (0, 0, 0), (1000, 0, 1000)), line(2, (1000, 0, 1000), (1000, 500, 1500)))
+    rows = [(i, 1, 150.0 + i / 100) for i in range(300)] + [(900, 1, 1000.0), (901, 1, 1500.0), (902, 1, 1500.5), (903, 2, 3.0), (904, 1, None), (905, None, 1.0)]
+    events = spark.createDataFrame(rows, "event int, blue_line_key long, downstream_route_measure double")
+    plain = {r.event: r.geom for r in locate_along(events, lines, by=["event"]).collect()}
+    split = {r.event: r.geom for r in locate_along(events, lines, by=["event"], rows_per_slice=20).collect()}
+    assert split == plain and len(plain) == len(rows)
+    assert all(abs(plain[i].x - (150.0 + i / 100)) < 1e-9 for i in range(300))
+    assert (plain[900].x, plain[900].y, plain[901].y) == (1000.0, 0.0, 500.0) and plain[902] is plain[903] is plain[904] is plain[905] is None

@@ -1,12 +1,16 @@
 import decimal
 import gzip
+import shutil
 import struct
+import threading
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 
 from tests.tables import line, observation, observations, streams
 from thalweg import schemas, sources
 from thalweg.plans.snapping import explode_points, keyed_observations
+from thalweg.sources import writers
 
 HEADER = "id,type,extinct_indicator,watershed_id,sequence_number,waterbody_identifier,gazetted_name,waterbody_mouth_identifier,formatted_name\n"
 
@@ -113,6 +117,38 @@ def test_publishing_is_all_or_nothing(spark, tmp_path):
     assert [r.observation_key for r in sources.read_published(spark, path).collect()] == ["c"]
 
 
+def test_one_of_two_writers_wins(spark, tmp_path, monkeypatch):
+    """Both begin at the same state; the one that comes second learns of it, and may try again."""
+    path = str(tmp_path / "t")
+    sources.write_observations(output(spark, "a"), path)
+    both, kept = threading.Barrier(2, timeout=120), writers._last
+
+    def last(*a):
+        found = kept(*a)
+        both.wait()
+        return found
+
+    monkeypatch.setattr(writers, "_last", last)
+    with ThreadPoolExecutor(2) as pool:
+        tries = [pool.submit(sources.write_observations, output(spark, k), path) for k in ("b", "c")]
+        failed = [t.exception() for t in tries]
+    monkeypatch.setattr(writers, "_last", kept)
+    assert sorted(type(e).__name__ for e in failed) == ["NoneType", "PublishConflict"]
+    won = "bc"[failed.index(None)]
+    assert [r.observation_key for r in sources.read_published(spark, path).collect()] == [won]
+    assert kept(spark, path)[1] == 2
+    sources.write_observations(output(spark, "d"), path)
+    assert [r.observation_key for r in sources.read_published(spark, path).collect()] == ["d"]
+
+
+def test_the_source_is_read_once(spark, tmp_path):
+    path = str(tmp_path / "o")
+    observations(spark, observation(), observation(fish_observation_point_id=2)).write.parquet(path)
+    read = sources.read_observations(spark, path)
+    shutil.rmtree(path)
+    assert read.count() == 2
+
+
 def test_export(spark, tmp_path):
     path = str(tmp_path / "export")
     sources.export_observations(output(spark, "a"), path)

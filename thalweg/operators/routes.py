@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 from thalweg.functions import explode_edges, positions_at_measure
 from thalweg.functions.geometry import between_ends
 from thalweg.operators.grouping import first_per_group
+from thalweg.operators.skew import ROWS_PER_SLICE, SLICE, copy_to_slices, hot_keys, spread
 
 MEASURE_BIN = 100.0
+_BIN = ["_route", "_bin"]
 
 
 def closest_per_route(
@@ -61,6 +63,7 @@ def locate_along(
     route: str = "blue_line_key",
     measure: str = "downstream_route_measure",
     bin_size: float = MEASURE_BIN,
+    rows_per_slice: int = ROWS_PER_SLICE,
 ) -> DataFrame:
     """Add `geom`, the x, y, z position of each event on its route.
 
@@ -69,7 +72,8 @@ def locate_along(
     keeps its row with a NULL `geom`. Where lines of a route overlap, the
     lowest line id and edge wins.
 
-    Events meet only the edges in their own measure bin, not all of the route.
+    Events meet only the edges in their own measure bin, not all of the route. A bin with
+    more than `rows_per_slice` events is cut into slices by `by`, its edges go to each.
     """
 
     def to_bin(m):
@@ -86,10 +90,13 @@ def locate_along(
         *[f"{c}{n}" for c in "xyzm" for n in (1, 2)],
     )
     m = F.col(measure)
-    on_edge = (F.col("_low") <= m) & (m <= F.col("_high"))
-    met = events.withColumn("_event_bin", to_bin(m)).join(
-        binned, (F.col(route) == F.col("_route")) & (F.col("_event_bin") == F.col("_bin")) & on_edge, "left"
-    )
+    placed = events.withColumns({"_route": F.col(route), "_bin": to_bin(m)})
+    hot = hot_keys(placed.where("_bin is not null"), _BIN, rows_per_slice)
+    left, right = spread(placed, hot, _BIN, by).alias("e"), copy_to_slices(binned, hot, _BIN).alias("l")
+    same = F.lit(True)
+    for c in (*_BIN, SLICE):
+        same = same & (F.col(f"e.{c}") == F.col(f"l.{c}"))
+    met = left.join(right, same & (F.col("_low") <= m) & (m <= F.col("_high")), "left")
     at_end = (m == F.col("_high")) & (F.col("_low") < F.col("_high"))
     one = first_per_group(
         met.withColumn("_at_end", at_end),

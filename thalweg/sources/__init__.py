@@ -8,6 +8,7 @@ from thalweg.sources.readers import (
     read_waterbody_xref,
 )
 from thalweg.sources.writers import (
+    PublishConflict,
     check_lengths,
     export_observations,
     read_published,
@@ -16,6 +17,7 @@ from thalweg.sources.writers import (
 )
 
 __all__ = [
+    "PublishConflict",
     "check_lengths",
     "export_observations",
     "read_observations",

@@ -6,20 +6,21 @@ and cast them, so that whole-number decimals arrive as integers.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from thalweg import schemas
 from thalweg.functions.wkb import wkb_points
-from thalweg.sources.writers import check_lengths
+from thalweg.sources.writers import longest_texts, raise_if_longer
+from thalweg.staging import stage
 
 
 def read_observations(spark: SparkSession, path: str, geometry: str = "geom") -> DataFrame:
     """Source observations, with `x` and `y`, or `points` for multi-part positions.
 
-    Texts longer than their declared length stop the read: all rows are checked
-    here, matched or not.
+    The source is read once, here, into a stored table that all later steps use. Texts longer than
+    their declared length stop the read: all rows are checked, matched or not.
 
     The file holds `x` and `y`, a `points` array, or well-known binary in
     `geometry`. A whole new file replaces the old one: nothing is kept between
@@ -35,8 +36,11 @@ def read_observations(spark: SparkSession, path: str, geometry: str = "geom") ->
 
 
 def _checked(df: DataFrame, fields: list[T.StructField]) -> DataFrame:
-    check_lengths(df, schemas.length_limits(T.StructType(fields)))
-    return df
+    """`df` as a stored table, with its texts measured while it is written: the source is read once."""
+    limits, seen = schemas.length_limits(T.StructType(fields)), Observation()
+    stored = stage(df.observe(seen, *longest_texts(limits)), "read-observations")
+    raise_if_longer(seen.get, limits)
+    return stored
 
 
 def read_streams(spark: SparkSession, path: str) -> DataFrame:
