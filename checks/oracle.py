@@ -460,6 +460,15 @@ def oracle_sql() -> dict[str, str]:
     )
     measure_of = "CAST((e * 37) % 1400 AS DOUBLE) + 0.25::DOUBLE * (e % 4)"
     out = {
+        "event_heads": q(
+            ("gathered", "uppermost", "species"),
+            "SELECT g.fish_obsrvtn_event_id, g.linear_feature_id, g.blue_line_key, g.downstream_route_measure,"
+            " (len(g.obs_ids) + 1) // 2 AS n_parts, len(g.obs_ids) AS n_observations,"
+            " coalesce(array_to_string(list_sort(m.ids), ','), '') AS maximal_species"
+            " FROM gathered g LEFT JOIN (SELECT blue_line_key, downstream_route_measure, list(DISTINCT species_id) AS ids"
+            " FROM uppermost u JOIN species s ON s.code = u.species_code GROUP BY ALL) m"
+            " ON m.blue_line_key = g.blue_line_key AND m.downstream_route_measure = g.downstream_route_measure",
+        ),
         "path_containment": q(
             ("branches",),
             "SELECT u.route, count(*) AS n_below, CAST(sum(l.route) AS BIGINT) AS sum_below"
@@ -709,6 +718,8 @@ def oracle_sql() -> dict[str, str]:
     }
     # a round trip through a sink changes nothing
     out |= {"duplicates_csv": out["obs_duplicates"]}
+    out["stored_events_with_species"] = out["events_with_species_in_parts"]
+    out["stored_events_with_observation"] = out["events_with_observation"]
     out |= dict.fromkeys(("published_observations", "exported_observations"), out["observations"])
     for t in "abcde":
         out[f"tier_{t}"] = q((f"tier_{t}",), f"SELECT {tier_columns} FROM tier_{t}")

@@ -623,6 +623,38 @@ def events_with_species_in_parts(spark, sf_dir):
     return found.select("fish_obsrvtn_event_id", "part_no", _text("obs_ids").alias("obs_ids"))
 
 
+def _stored(spark, sf_dir, **limit) -> str:
+    path = staged_path(spark, "events")
+    io.write_events(_events(spark, sf_dir, **limit)[1], path)
+    return path
+
+
+@_query
+def stored_events_with_species(spark, sf_dir):
+    """By the posting tables, over events in parts."""
+    found = io.stored_events_with(spark, _stored(spark, sf_dir, max_items=2), "species_ids", [499, 518])
+    return found.select("fish_obsrvtn_event_id", "part_no", _text("obs_ids").alias("obs_ids"))
+
+
+@_query
+def stored_events_with_observation(spark, sf_dir):
+    found = io.stored_events_with(spark, _stored(spark, sf_dir), "obs_ids", [391])
+    return found.select("fish_obsrvtn_event_id", "part_no", _text("species_codes").alias("species_codes"))
+
+
+@_query
+def event_heads(spark, sf_dir):
+    """One row per event with the species it is the most upstream place of, whatever the size of its parts."""
+    sources, snapped = _output(spark, sf_dir)
+    stored = stage(snapped, "observations")
+    parts = events.rollup_events(stored, sources.species, max_items=2)
+    heads = events.event_heads(parts, paths.maximal_species(_branching(stored), sources.species))
+    return heads.select(
+        "fish_obsrvtn_event_id", "linear_feature_id", "blue_line_key", "downstream_route_measure", "n_parts", "n_observations",
+        _text("maximal_species").alias("maximal_species"),
+    )
+
+
 @_query
 def events_with_observation(spark, sf_dir):
     _, rolled = _events(spark, sf_dir)

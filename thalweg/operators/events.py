@@ -20,6 +20,7 @@ MAX_ITEMS = 100_000
 #: Ids that are numbered in one go; bounds the rows of one key in a window.
 BUCKET = 65_536
 
+_ARRAYS = ("match_types", "obs_ids", "species_codes", "species_ids", "distances_to_stream")
 EVENT = ("blue_line_key", "downstream_route_measure")
 
 
@@ -48,6 +49,25 @@ def rollup_events(observations: DataFrame, species: DataFrame, max_items: int =
     return _event_columns(gathered.join(places, list(EVENT)))
 
 
+def event_heads(parts: DataFrame, maximal: DataFrame | None = None) -> DataFrame:
+    """One row per event, whatever its size: the event's own columns, and how many parts and observations it has.
+
+    `parts` are rows of `rollup_events`, whose arrays are the chunks of the event; the event id is a
+    unique key here and leads to them. `maximal` (route, measure, `maximal_species`) adds the species
+    whose most upstream place the event is, an empty array where there are none.
+    """
+    own = [c for c in parts.columns if c not in ("part_no", *_ARRAYS)]
+    whole = parts.groupBy("fish_obsrvtn_event_id").agg(
+        *[F.min_by(c, "part_no").alias(c) for c in own if c != "fish_obsrvtn_event_id"],
+        F.count("*").alias("n_parts"),
+        F.sum(F.size("obs_ids")).alias("n_observations"),
+    )
+    if maximal is None:
+        return whole
+    none = F.array().cast("array<int>")
+    return whole.join(maximal, list(EVENT), "left").withColumn("maximal_species", F.coalesce("maximal_species", none))
+
+
 def _event_columns(events: DataFrame) -> DataFrame:
     def column(field: str):
         return F.transform("items", lambda i: i[field])

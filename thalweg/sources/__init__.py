@@ -1,3 +1,4 @@
+from thalweg.sources.eventstore import create_event_view, read_events, stored_events_with, write_events
 from thalweg.sources.readers import (
     read_observations,
     read_species,
@@ -19,7 +20,9 @@ from thalweg.sources.writers import (
 __all__ = [
     "PublishConflict",
     "check_lengths",
+    "create_event_view",
     "export_observations",
+    "read_events",
     "read_observations",
     "read_published",
     "read_species",
@@ -28,6 +31,8 @@ __all__ = [
     "read_waterbodies",
     "read_waterbody_dictionary",
     "read_waterbody_xref",
+    "stored_events_with",
     "write_duplicates",
+    "write_events",
     "write_observations",
 ]
