@@ -469,6 +469,9 @@ def oracle_sql() -> dict[str, str]:
             " FROM uppermost u JOIN species s ON s.code = u.species_code GROUP BY ALL) m"
             " ON m.blue_line_key = g.blue_line_key AND m.downstream_route_measure = g.downstream_route_measure",
         ),
+        "exported_positions": q(
+            ("snapped",), "SELECT observation_key, round(geom_x, 6) AS geom_x, round(geom_y, 6) AS geom_y FROM snapped"
+        ),
         "path_containment": q(
             ("branches",),
             "SELECT u.route, count(*) AS n_below, CAST(sum(l.route) AS BIGINT) AS sum_below"

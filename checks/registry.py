@@ -17,6 +17,7 @@ from thalweg.functions import (
     path_order,
     squared_distance_to_edge,
 )
+from thalweg.functions.wkb import wkb_points
 from thalweg.operators import events, matching, paths
 from thalweg.operators.grouping import duplicate_report, key_collisions, repeated_keys, with_observation_key
 from thalweg.operators.nearest import nearest_lines
@@ -189,6 +190,16 @@ def exported_observations(spark, sf_dir):
     return flat(spark.read.parquet(path))
 
 
+@_query
+def exported_positions(spark, sf_dir):
+    """Positions as well-known binary, read back by the reader of sources."""
+    path = staged_path(spark, "export")
+    io.export_observations(build(standins.sources(spark, sf_dir)), path, binary=True)
+    point = F.element_at(wkb_points("geom"), 1)
+    back = spark.read.parquet(path).select("observation_key", point.alias("p"))
+    return back.select("observation_key", F.round("p.x", 6).alias("geom_x"), F.round("p.y", 6).alias("geom_y"))
+
+
 # --- streams, codes, geometry ----------------------------------------------
 
 

@@ -156,3 +156,19 @@ def test_a_bin_with_most_events_is_split(spark):
     assert split == plain and len(plain) == len(rows)
     assert all(abs(plain[i].x - (150.0 + i / 100)) < 1e-9 for i in range(300))
     assert (plain[900].x, plain[900].y, plain[901].y) == (1000.0, 0.0, 500.0) and plain[902] is plain[903] is plain[904] is plain[905] is None
+
+
+def test_one_head_per_event(spark):
+    schema = (
+        "fish_obsrvtn_event_id long, part_no long, linear_feature_id long, blue_line_key long, downstream_route_measure double,"
+        " match_types array<string>, obs_ids array<long>, species_codes array<string>, species_ids array<int>, distances_to_stream array<double>"
+    )
+
+    def row(event, part, ids):
+        return (event, part, 5, event, 1.0, ["A"] * len(ids), ids, ["X"] * len(ids), [1] * len(ids), [0.5] * len(ids))
+
+    parts = spark.createDataFrame([row(1, 0, [1, 2]), row(1, 1, [3]), row(2, 0, [4])], schema)
+    maximal = spark.createDataFrame([(1, 1.0, [7, 9])], "blue_line_key long, downstream_route_measure double, maximal_species array<int>")
+    got = {r.fish_obsrvtn_event_id: (r.linear_feature_id, r.n_parts, r.n_observations, r.maximal_species) for r in events.event_heads(parts, maximal).collect()}
+    assert got == {1: (5, 2, 3, [7, 9]), 2: (5, 1, 1, [])}
+    assert "maximal_species" not in events.event_heads(parts).columns

@@ -10,7 +10,8 @@ import pytest
 from tests.tables import line, observation, observations, streams
 from thalweg import schemas, sources
 from thalweg.plans.snapping import explode_points, keyed_observations
-from thalweg.sources import writers
+from thalweg.functions import wkb
+from thalweg.sources import eventstore, writers
 
 HEADER = "id,type,extinct_indicator,watershed_id,sequence_number,waterbody_identifier,gazetted_name,waterbody_mouth_identifier,formatted_name\n"
 
@@ -156,6 +157,59 @@ def test_export(spark, tmp_path):
     assert back.columns == schemas.OUTPUT_COLUMNS and dict(back.dtypes)["wscode"] == "string"
 
 
+def test_positions_in_binary(spark, tmp_path):
+    point = "struct<x: double, y: double, z: double, m: double>"
+    rows = [(1, (1.5, -2.0, 3.0, 4.25)), (2, None), (3, (1.0, 2.0, None, None)), (4, (1.0, 2.0, None, 9.0)), (5, (None, 2.0, 3.0, 4.0)), (6, (7.0, 8.0, 9.0, None))]
+    df = spark.createDataFrame(rows, f"id long, geom {point}")
+    got = {r.id: r.geom for r in wkb.with_wkb(df).repartition(2).collect()}
+    assert got[2] is got[5] is None
+    assert struct.unpack("<BI4d", got[1]) == (1, 3001, 1.5, -2.0, 3.0, 4.25)
+    assert struct.unpack("<BI2d", got[3]) == (1, 1, 1.0, 2.0)
+    assert struct.unpack("<BI3d", got[4]) == (1, 2001, 1.0, 2.0, 9.0) and struct.unpack("<BI3d", got[6]) == (1, 1001, 7.0, 8.0, 9.0)
+    back = {r.id: [tuple(p) for p in r.p] for r in wkb.with_wkb(df).where("geom is not null").select("id", wkb.wkb_points("geom").alias("p")).collect()}
+    assert back == {1: [(1.5, -2.0)], 3: [(1.0, 2.0)], 4: [(1.0, 2.0)], 6: [(7.0, 8.0)]}
+    assert wkb.with_wkb(df.limit(0)).count() == 0
+    sources.export_observations(output(spark, "a"), str(tmp_path / "b"), binary=True)
+    assert struct.unpack("<BI3d", spark.read.parquet(str(tmp_path / "b")).first().geom) == (1, 1001, 1.0, 2.0, 3.0)
+
+
+def events(spark, n):
+    rows = [(i, p, 1, 7.0, [i * 10 + p, 5] if i % 3 else [i * 10 + p], [i % 4, None], (1.0, 2.0, 3.0)) for i in range(n) for p in range(1 + i % 2)]
+    schema = "fish_obsrvtn_event_id long, part_no long, blue_line_key long, downstream_route_measure double, obs_ids array<long>, species_ids array<int>, geom struct<x: double, y: double, z: double>"
+    return spark.createDataFrame(rows, schema)
+
+
+def _files_read(df):
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    plan = plan.executedPlan() if plan.nodeName().startswith("Adaptive") else plan
+    scans = plan.collectLeaves()
+    return sum(scans.apply(i).metrics().apply("numFiles").value() for i in range(scans.size()) if scans.apply(i).nodeName().startswith("Scan"))
+
+
+@pytest.mark.parametrize("few", [10_000, 1])
+def test_stored_events(spark, tmp_path, monkeypatch, few):
+    monkeypatch.setattr(eventstore, "FEW_EVENTS", few)
+    path, table = str(tmp_path / "e"), events(spark, 200)
+    sources.write_events(table, path, buckets=16)
+    key = ["fish_obsrvtn_event_id", "part_no"]
+    assert sorted(map(tuple, sources.read_events(spark, path).select(*key).collect())) == sorted(map(tuple, table.select(*key).collect()))
+    for column, ids in (("obs_ids", [30, 71]), ("obs_ids", [5]), ("obs_ids", [-1]), ("obs_ids", []), ("species_ids", [2]), ("species_ids", [2, 3, 9])):
+        found = sources.stored_events_with(spark, path, column, ids)
+        want = {r.fish_obsrvtn_event_id for r in table.collect() if set(ids) & set(r[column])}
+        assert sorted(map(tuple, found.select(*key).collect())) == sorted((r[0], r[1]) for r in table.collect() if r[0] in want)
+    if few > 1:
+        one = sources.stored_events_with(spark, path, "obs_ids", [30])
+        assert one.count() == 2 and _files_read(one) * 4 < _files_read(sources.read_events(spark, path))
+    with pytest.raises(ValueError, match="no postings"):
+        sources.stored_events_with(spark, path, "match_types", [1])
+
+
+def test_events_carry_the_measure(spark, tmp_path):
+    sources.export_events(events(spark, 3), str(tmp_path / "x"))
+    assert struct.unpack("<BI4d", spark.read.parquet(str(tmp_path / "x")).first().geom) == (1, 3001, 1.0, 2.0, 3.0, 7.0)
+
+
 def test_duplicate_report_csv(spark, tmp_path):
     path = str(tmp_path / "dup")
     row = observation(source="s")

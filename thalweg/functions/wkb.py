@@ -1,7 +1,7 @@
-"""Point geometries in well-known binary, for sources without x and y columns.
+"""Point geometries in well-known binary: read from sources without x and y columns, written for other tools.
 
-Built-in expressions can't take a double out of bytes, so this one step at
-ingest runs in Python, on Arrow batches.
+Built-in expressions can't take a double out of bytes or make bytes of one, so these steps
+run in Python, on Arrow batches.
 """
 
 from __future__ import annotations
@@ -10,6 +10,7 @@ import struct
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -63,6 +64,42 @@ def wkb_points(geometry: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends), points, mask=geometry.is_null())
 
 
+@F.arrow_udf(T.BinaryType())
+def point_wkb(x: pa.Array, y: pa.Array, z: pa.Array, m: pa.Array) -> pa.Array:
+    """Points in ISO well-known binary, little-endian, with the dimensions a row has: Z, M, both or none.
+
+    NULL where x or y is NULL.
+    """
+    columns = [a.cast(pa.float64()) for a in (x, y, z, m)]
+    there = [a.is_valid().to_numpy(zero_copy_only=False) for a in columns]
+    values = np.stack([a.fill_null(0.0).to_numpy(zero_copy_only=False).astype("<f8") for a in columns], axis=1)
+    placed = there[0] & there[1]
+    code = np.where(placed, POINT + 1000 * there[2] + 2000 * there[3], 0)
+    lengths = np.where(placed, 5 + 8 * (2 + there[2].astype(np.int64) + there[3]), 0)
+    ends = np.concatenate([[0], np.cumsum(lengths)])
+    data = np.zeros(int(ends[-1]), np.uint8)
+    for kind in np.unique(code[placed]).tolist():
+        rows = np.flatnonzero(code == kind)
+        kept = [0, 1] + [2] * bool(kind // 1000 & 1) + [3] * (kind // 1000 >= 2)
+        head = np.frombuffer(struct.pack("<BI", 1, kind), np.uint8)
+        body = np.ascontiguousarray(values[np.ix_(rows, kept)]).view(np.uint8).reshape(len(rows), -1)
+        whole = np.concatenate([np.broadcast_to(head, (len(rows), 5)), body], axis=1)
+        data[ends[rows][:, None] + np.arange(whole.shape[1])] = whole
+    buffers = [pa.array(placed).buffers()[1], pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(data)]
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(placed), buffers).cast(pa.binary())
+
+
+def with_wkb(df: DataFrame, geom: str = "geom", measure: str | None = None) -> DataFrame:
+    """`df` with its position struct `geom` (x, y and perhaps z, m) as well-known binary; `measure` names a column for M."""
+    fields = df.schema[geom].dataType.names
+
+    def part(name: str) -> Column:
+        return F.col(f"{geom}.{name}") if name in fields else F.lit(None).cast("double")
+
+    m = part("m") if measure is None else F.col(measure).cast("double")
+    return df.withColumn(geom, point_wkb(part("x"), part("y"), part("z"), m))
+
+
 def _parts(wkb: bytes, at: int, order: str) -> list[tuple[float, float]]:
     (n,) = struct.unpack_from(order + "I", wkb, at)
     size = (len(wkb) - at - 4) // max(n, 1)

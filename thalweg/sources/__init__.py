@@ -11,6 +11,7 @@ from thalweg.sources.readers import (
 from thalweg.sources.writers import (
     PublishConflict,
     check_lengths,
+    export_events,
     export_observations,
     read_published,
     write_duplicates,
@@ -21,6 +22,7 @@ __all__ = [
     "PublishConflict",
     "check_lengths",
     "create_event_view",
+    "export_events",
     "export_observations",
     "read_events",
     "read_observations",

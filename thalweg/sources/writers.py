@@ -9,6 +9,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from thalweg.functions.wkb import with_wkb
 from thalweg.operators.grouping import assert_unique, duplicate_report
 from thalweg.schemas import OUTPUT, OUTPUT_COLUMNS, length_limits
 
@@ -116,9 +117,18 @@ def _run_of(fs, entry) -> str:
         opened.close()
 
 
-def export_observations(df: DataFrame, path: str, columns: Sequence[str] = OUTPUT_COLUMNS) -> None:
-    """The output columns, path codes as text, snapped position only, as Parquet."""
-    df.select(*columns).write.mode("overwrite").parquet(path)
+def export_observations(df: DataFrame, path: str, columns: Sequence[str] = OUTPUT_COLUMNS, binary: bool = False) -> None:
+    """The output columns, path codes as text, snapped position only, as Parquet.
+
+    With `binary` the position is well-known binary with Z, which other tools read, instead of a struct.
+    """
+    chosen = df.select(*columns)
+    (with_wkb(chosen) if binary else chosen).write.mode("overwrite").parquet(path)
+
+
+def export_events(events: DataFrame, path: str) -> None:
+    """Event rows as Parquet, with the position in well-known binary with Z and M, the measure on the route."""
+    with_wkb(events, measure="downstream_route_measure").write.mode("overwrite").parquet(path)
 
 
 def check_lengths(df: DataFrame, limits: dict[str, int] | None = None) -> None:
