@@ -31,7 +31,9 @@ DIMENSIONS, BITS, SPREAD = 4, 8, 0.15
 CELL_BITS, PART_TOKENS, PARTS = 14, 1_000_000, 20_000
 STEP = 1 << 20
 #: Chunks of text remembered by a worker (twice so many at most), and the longest one.
-REMEMBERED, LONGEST = 400_000, 48
+REMEMBERED, LONGEST = 600_000, 48
+#: Characters of text whose chunks are learned together.
+TOGETHER = 1 << 21
 #: Characters that, at a chunk's end, are tokens apart from a letter or digit before them.
 _ENDS = ".,;:!?*$%&#|"
 #: White space to Python that isn't to the tokenizer.
@@ -117,12 +119,12 @@ class Encoder:
         return b"".join(self._sliced(text))
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text; texts are taken together, up to `STEP` characters, to learn their chunks at once."""
+        """The ids of each text; texts are taken together, up to `TOGETHER` characters, to learn their chunks at once."""
         out: list[bytes] = []
         some: list[str] = []
         size = 0
         for text in texts:
-            if size + len(text) > STEP:
+            if size + len(text) > TOGETHER:
                 out += self._together(some)
                 some, size = [], 0
             if len(text) > STEP:
@@ -216,7 +218,7 @@ def tokenized(docs: DataFrame, path: str) -> DataFrame:
             at = 0
             while at < b.num_rows:
                 texts, total, first = [], 0, at
-                while at < b.num_rows and total < 2 * STEP:
+                while at < b.num_rows and total < TOGETHER:
                     texts.append(b.column(1)[at].as_py() or "")
                     total += len(texts[-1])
                     at += 1
