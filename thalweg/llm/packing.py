@@ -31,7 +31,7 @@ DIMENSIONS, BITS, SPREAD = 4, 8, 0.15
 CELL_BITS, PART_TOKENS, PARTS = 14, 1_000_000, 20_000
 STEP = 1 << 20
 #: Chunks of text remembered by a worker (twice so many at most), and the longest one.
-REMEMBERED, LONGEST = 600_000, 48
+REMEMBERED, LONGEST = 400_000, 48
 #: Characters of text whose chunks are learned together.
 TOGETHER = 1 << 21
 #: Characters that, at a chunk's end, are tokens apart from a letter or digit before them.
@@ -124,7 +124,7 @@ class Encoder:
         some: list[str] = []
         size = 0
         for text in texts:
-            if size + len(text) > TOGETHER:
+            if size + len(text) > TOGETHER or len(text) > STEP:
                 out += self._together(some)
                 some, size = [], 0
             if len(text) > STEP:
