@@ -10,6 +10,10 @@ from thalweg.llm.registry import tokenizer_path
 from thalweg.staging import stage
 
 
+#: Chunks that packing remembers: its workers hold the earlier stages' models too.
+REMEMBERED = 250_000
+
+
 def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can be told: those without a letter, or without text, go."""
     known = docs.select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"), langid.held_out("doc_id", 3, 1).alias("out"))
@@ -35,7 +39,7 @@ def redacted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents in sequences."""
-    return packing.pack(docs, tokenizer_path())
+    return packing.pack(docs, tokenizer_path(), remembered=REMEMBERED)
 
 
 STAGES = [
