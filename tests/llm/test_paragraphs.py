@@ -1,4 +1,5 @@
 import random
+import re
 
 import numpy as np
 import pytest
@@ -24,16 +25,20 @@ def test_tuned():
     assert 1 - (1 - 0.3**rows) ** bands < 0.2
 
 
+def banded(many):
+    return paragraphs.bands(*paragraphs._shingles(many))
+
+
 def test_bands_tell_similarity():
     words = [[f"w{R.randrange(10**9)}" for _ in range(n)] for n in (5, 6, 20, 300)]
-    again = paragraphs.bands(words)
-    assert (again == paragraphs.bands(words)).all() and (again[1] == paragraphs.bands([words[1]])[0]).all()
+    again = banded(words)
+    assert (again == banded(words)).all() and (again[1] == banded([words[1]])[0]).all()
     hit = 0
     for _ in range(200):
         a = [f"w{R.randrange(10**9)}" for _ in range(100)]
         b = a[:-12] + [f"w{R.randrange(10**9)}" for _ in range(12)]
         assert paragraphs.jaccard(a, b) > 0.75
-        x, y = paragraphs.bands([a, b])
+        x, y = banded([a, b])
         hit += bool((x == y).any())
     assert hit >= 196
 
@@ -79,11 +84,10 @@ def test_repeated_row_alone_is_no_repeat(spark):
 
 
 def test_pairs_of_buckets():
-    rows = np.array([[0] * 50 + [1] * 3, [*range(50), 1, 2, 3]], np.int64)
-    pairs = {(a, b) for batch in paragraphs._pairs(rows) for a, b in zip(*(c.to_pylist() for c in batch.columns))}
-    assert {(1, 2), (1, 3), (2, 3)} <= pairs
-    hubs = [{a if b == x else b for a, b in pairs if x in (a, b)} for x in range(50)]
-    assert min(map(len, hubs)) >= 7 and len(pairs) <= 50 * paragraphs.HUBS + 3
+    rows = np.array([[0] * 32 + [1] * 3 + [2], [*range(32), 1, 2, 40, 7]], np.int64)
+    pairs = [(a, b) for batch in paragraphs._pairs(rows) for a, b in zip(*(c.to_pylist() for c in batch.columns))]
+    assert len(pairs) == 32 * 31 // 2 + 3
+    assert set(pairs) == {(a, b) for b in range(32) for a in range(b)} | {(1, 2), (1, 40), (2, 40)}
 
 
 def clustered(clusters, variants):
@@ -118,7 +122,7 @@ def test_large_bucket_equals_brute_force(spark, monkeypatch):
     want = brute_components(many)
     assert 20 < len(set(want)) < len(many)
     # one bucket that holds all of them, so each link can come from nowhere else
-    scanned = spark.createDataFrame([(paragraphs._hash(0, w) % 2**63, 0, " ".join(w), [1]) for w in many], "uid long, level int, line string, bands array<long>")
+    scanned = spark.createDataFrame([(k, 0, " ".join(w), [1]) for k, w in enumerate(many)], "uid long, level int, line string, bands array<long>")
     pairs, members = paragraphs.candidates(scanned)
     label = {u: u for u in (r.uid for r in scanned.collect())}
     for a, b in paragraphs.verified(pairs, scanned).union(paragraphs.linked(members, scanned)).collect():
@@ -136,13 +140,144 @@ def wrapped(words, n):
     return "\n".join(" ".join(words[i : i + n]) for i in range(0, len(words), n))
 
 
+def runs(text):
+    """(start, end, id) of a text's runs."""
+    _, _, s, e, ids, _ = paragraphs.units([text])[2]
+    return list(zip(s.tolist(), e.tolist(), ids.tolist()))
+
+
 def test_runs_do_not_depend_on_surroundings():
     for _ in range(50):
         shared = plain(paragraphs.ANCHOR + paragraphs.RUN - 1)
         a, b = (wrapped(plain(R.randrange(40)) + shared + plain(R.randrange(40)), n) for n in (9, 1000))
-        x, y = ({tuple(u[3]) for u in paragraphs.runs(t)} for t in (a, b))
+        x, y = ({i for _, _, i in runs(t)} for t in (a, b))
         assert x & y
-    assert len(list(paragraphs.runs("again " * 5000))) <= 5000 // paragraphs.RUN + 1
+    again = runs("again " * 5000)
+    assert 1 < len(again) <= 5000 // paragraphs.RUN + 1 and all(a[1] < b[0] for a, b in zip(again, again[1:]))
+
+
+WORD = re.compile(r"[^\W_]+")
+
+
+def brute_paragraphs(text):
+    out, short, at = [], [], 0
+    for part in [*text.split("\n"), ""]:
+        n = len(WORD.findall(part))
+        if 0 < n < paragraphs.LINE_WORDS:
+            short.append((at, at + len(part), n))
+        else:
+            if sum(x[2] for x in short) >= paragraphs.LINE_WORDS:
+                out.append((short[0][0], short[-1][1]))
+            short = []
+            if n:
+                out.append((at, at + len(part)))
+        at += len(part) + 1
+    return out
+
+
+def brute_sentences(text, s, e):
+    return [(m.start(), m.end()) for m in re.compile(r"(?<=[.?!])\s+").finditer(text, s, e)]
+
+
+def odd_texts():
+    parts = ["word", "Ünï", "İx", "a_b", "дом", "१२", "x.y", "end.", "so?", "!", "—", "\U00010400", "ß", "\u3000"]
+    gaps = [" ", " ", " ", "  ", "\n", "\n\n", " \n ", "\t", "\r\n", "\x85", "\u2028"]
+    out = ["", " ", "\n", "\n\n", "one", "no stop", "a. " * 60, "." * 50]
+    for n in (3, 30, 90, 300, 1500):
+        for _ in range(6):
+            wide = R.random() < 0.5
+            out.append("".join(R.choice(parts) + (" " if wide and R.random() < 0.95 else R.choice(gaps)) for _ in range(n)))
+    return out
+
+
+def test_units_equal_brute_force():
+    texts = odd_texts()
+    got = paragraphs.units(texts)
+    by = [[[] for _ in texts] for _ in range(3)]
+    for level, text, s, e, ids, _ in got:
+        for t, a, b, i in zip(text.tolist(), s.tolist(), e.tolist(), ids.tolist()):
+            by[level][t].append((a, b, i))
+    names = {}
+    for level in range(3):
+        for t, found in enumerate(by[level]):
+            for a, b, i in found:  # equal ids mean equal words, and the other way round
+                words = tuple(WORD.findall("".join(c.lower() if len(c.lower()) == 1 else c for c in texts[t][a:b])))
+                assert names.setdefault((level, words), i) == i
+    assert len(set(names.values())) == len(names) > 500
+    several = 0
+    for t, text in enumerate(texts):
+        whole = brute_paragraphs(text)
+        assert [x[:2] for x in by[0][t]] == whole
+        pieces = {x[:2] for x in by[1][t]}
+        assert len(pieces) == len(by[1][t])
+        ends = {p: brute_sentences(text, *p) for p in whole}
+        for a, b in pieces:
+            (s, e), = [p for p in whole if p[0] <= a and b <= p[1]]
+            assert (a, b) != (s, e) and len(WORD.findall(text[a:b])) >= paragraphs.PIECE_WORDS
+            assert a in [s, *(y for _, y in ends[s, e])] and b in [e, *(x for x, _ in ends[s, e])]
+            several += 1
+        words = [m.span() for m in WORD.finditer(text)]
+        starts = [k for k, (a, _) in enumerate(words) if a in {x[0] for x in by[2][t]}]
+        assert [(words[k][0], words[k + paragraphs.RUN - 1][1]) for k in starts] == [x[:2] for x in by[2][t]]
+        if len({text[a:b] for a, b in words}) == len(words) >= 50:
+            assert all(any(k <= x < k + paragraphs.ANCHOR for x in starts) for k in range(len(words) - 49))
+    assert several > 30
+    # a text's units don't depend on the texts read with it
+    for t, text in enumerate(texts):
+        assert [list(zip(s.tolist(), e.tolist(), i.tolist())) for _, _, s, e, i, _ in paragraphs.units([text])] == [by[level][t] for level in range(3)]
+
+
+@pytest.mark.parametrize("step", [1 << 20, 300])
+def test_whole_query_equals_brute_force(spark, step, monkeypatch):
+    monkeypatch.setattr(paragraphs, "STEP", step)
+    pool = [line(n) for n in (25, 40, 60, 90, 90, 150)]
+    docs = []
+    for d in range(40):
+        parts = [line(R.choice([5, 15, 30, 70])) for _ in range(R.randrange(4))]
+        for p in R.sample(pool, 2):
+            kind = R.randrange(4)
+            parts.append([p, edited(p, R.randrange(len(p.split()))) if len(p.split()) > 80 else p, f"{line(12)} {p} {line(12)}", wrapped(p.split(), 11)][kind])
+        R.shuffle(parts)
+        docs.append((d if d % 13 else None, "\n".join(parts)))
+    docs += [docs[3], docs[3], (None, None), (7, ""), (50, line(200))]
+    places = []
+    for key, text in set(docs):
+        for level, _, s, e, _, _ in paragraphs.units([text or ""]):
+            for a, b in zip(s.tolist(), e.tolist()):
+                words = WORD.findall(text[a:b].lower())
+                places.append(((key is None, key or 0, text), a, b, level, tuple(words)))
+    groups = {(p[3], p[4]): k for k, p in enumerate(places)}
+    label = {k: k for k in groups.values()}
+    whole = [(w, k) for (level, w), k in groups.items() if level == 0]
+    for i, (x, k) in enumerate(whole):
+        for y, m in whole[:i]:
+            if label[k] != label[m] and paragraphs.jaccard(list(x), list(y)) >= paragraphs.SIMILARITY:
+                old, new = label[k], label[m]
+                label = {a: new if b == old else b for a, b in label.items()}
+    classes = {}
+    for key, a, b, level, words in places:
+        classes.setdefault(label[groups[level, words]], set()).add((key, a, b))
+    want = {}
+    hashed = {(r.doc_id, r.text): r.h for r in spark.createDataFrame(docs, "doc_id long, text string").selectExpr("doc_id", "text", "hash(coalesce(text, '')) AS h").collect()}
+    for members in classes.values():
+        order = sorted(members, key=lambda m: (m[0][0], m[0][1], hashed[None if m[0][0] else m[0][1], m[0][2]], m[1]))
+        if len({(m[0], m[1]) for m in members}) > 1:
+            for key, a, b in order:
+                held, gone = want.setdefault(key, (set(), set()))
+                held.add((a, b))
+                if (key, a) != (order[0][0], order[0][1]):
+                    gone.add((a, b))
+    got = paragraphs.repeats(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert len(got) == len(want)
+    for (none, key, _), (held, gone) in want.items():
+        merged = []
+        for a, b in sorted(gone):
+            if merged and merged[-1][1] >= a:
+                merged[-1][1] = max(merged[-1][1], b)
+            else:
+                merged.append([a, b])
+        row = (None if none else key, len(held), ",".join(f"{a}:{b}" for a, b in merged))
+        assert row in [(r.doc_id, r.n_repeated, r.removed) for r in got]
 
 
 def test_wrapped_text_and_long_sentences(spark):

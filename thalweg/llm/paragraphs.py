@@ -24,6 +24,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -44,13 +45,16 @@ PIECE_WORDS = 12
 CUTS = 2
 #: Shingles of which the least starts a run, and words of a run.
 ANCHOR, RUN = 25, 26
-#: A bucket of up to so many different paragraphs lists its pairs; `_pairs` alone gives members of a larger one so many partners.
-SMALL, HUBS = 32, 8
+#: A bucket of up to so many different paragraphs lists its pairs.
+SMALL = 32
 #: Paragraphs of a large bucket's block; two blocks are in memory at a time.
 BLOCK = 2048
+#: Characters of texts read together, unless one text is longer, and words hashed together.
+STEP, WORDS = 1 << 20, 1 << 17
 
 _WORD = re.compile(r"[^\W_]+")
-_SENTENCE = re.compile(r"(?<=[.?!])\s+")
+#: After these characters, before white space, a sentence ends.
+_STOPS = np.array([ord(c) for c in ".?!"], np.uint32)
 
 
 def tuned(similarity: float, recall: float, most: int = 64) -> tuple[int, int]:
@@ -65,73 +69,160 @@ def tuned(similarity: float, recall: float, most: int = 64) -> tuple[int, int]:
 BANDS, ROWS = tuned(SIMILARITY, RECALL)
 _ODD = np.random.default_rng(9).integers(1 << 62, size=BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
-
-
-def lines(text: str) -> Iterator[tuple[int, int]]:
-    at = 0
-    while at <= len(text):
-        to = text.find("\n", at)
-        to = len(text) if to < 0 else to
-        yield at, to
-        at = to + 1
-
-
-def paragraphs(text: str) -> Iterator[tuple[int, int, list[str]]]:
-    """(start, end, words): lines of enough words, and shorter ones joined until a long or a wordless one."""
-    short: list[tuple[int, int, list[str]]] = []
-    for s, e in [*lines(text), (len(text), len(text))]:
-        words = _WORD.findall(text[s:e].lower())
-        if 0 < len(words) < LINE_WORDS:
-            short.append((s, e, words))
-            continue
-        together = [w for _, _, each in short for w in each]
-        if len(together) >= LINE_WORDS:
-            yield short[0][0], short[-1][1], together
-        short = []
-        if words:
-            yield s, e, words
-
-
-def runs(text: str) -> Iterator[tuple[int, int, int, list[str]]]:
-    """(2, start, end, words) of the runs, over line ends; of equal ones that overlap the first."""
-    spans = [m.span() for m in _WORD.finditer(text)]
-    if len(spans) < ANCHOR + RUN - 1:
-        return
-    words = [text[s:e].lower() for s, e in spans]
-    hashes, _ = _shingles([words])
-    starts = np.lib.stride_tricks.sliding_window_view(hashes, ANCHOR).argmin(axis=1) + np.arange(len(hashes) - ANCHOR + 1)
-    last: dict[str, int] = {}
-    for i in np.unique(starts).tolist():
-        if i + RUN <= len(words):
-            run = words[i : i + RUN]
-            name = " ".join(run)
-            if i - last.get(name, -RUN) >= RUN:
-                last[name] = i
-                yield 2, spans[i][0], spans[i + RUN - 1][1], run
-
-
-def units(text: str) -> Iterator[tuple[int, int, int, list[str]]]:
-    """(level, start, end, words): paragraphs (0), their pieces (1) of enough words and runs (2) of the text."""
-    yield from runs(text)
-    for s, e, words in paragraphs(text):
-        yield 0, s, e, words
-        sentences, at = [], s
-        for m in _SENTENCE.finditer(text, s, e):
-            bits = xxhash.xxh3_64_intdigest(" ".join(_WORD.findall(text[at : m.start()].lower())))
-            sentences.append((m.start(), m.end(), bits))
-            at = m.end()
-        pieces = set()
+#: What `_MIX` times it is 1, in 64 bits.
+_BACK = np.uint64(pow(int(_MIX), -1, 1 << 64))
+
+
+@cache
+def _kinds() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of every code point: is it a letter or digit, is it white space, its lower case (itself where that is several)."""
+    each = [chr(c) for c in range(0x110000)]
+    lower = np.fromiter((ord(x) if len(x := c.lower()) == 1 else i for i, c in enumerate(each)), np.uint32, len(each))
+    return np.fromiter(map(str.isalnum, each), bool, len(each)), np.fromiter(map(str.isspace, each), bool, len(each)), lower
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def _word_hashes(codes: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+    """A hash of each word: the sum of its characters' hashes, which tell their places in it."""
+    out = np.empty(len(starts), np.uint64)
+    lower = _kinds()[2]
+    for i in range(0, len(starts), WORDS):
+        size = stops[i : i + WORDS] - starts[i : i + WORDS]
+        first = np.cumsum(size) - size
+        at = np.arange(int(size.sum())) - np.repeat(first, size)
+        x = lower[codes[np.repeat(starts[i : i + WORDS], size) + at]].astype(np.uint64)
+        x = (x | (at.astype(np.uint64) << np.uint64(21))) * _MIX
+        x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+        out[i : i + WORDS] = np.add.reduceat(x ^ (x >> np.uint64(32)), first)
+    return _mixed(out)
+
+
+class _Words:
+    """The words of some texts, with hashes of any words in a row from one pass over them."""
+
+    def __init__(self, texts: list[str]) -> None:
+        whole = "\n".join(texts)
+        self.codes = np.frombuffer(whole.encode("utf-32-le", "surrogatepass"), np.uint32)
+        self.base = np.cumsum([0, *(len(t) + 1 for t in texts)])
+        inside = np.zeros(len(self.codes) + 2, np.int8)
+        inside[1:-1] = _kinds()[0][self.codes]
+        turn = np.diff(inside)
+        self.starts, self.stops = np.flatnonzero(turn > 0), np.flatnonzero(turn < 0)
+        self.hashes = _word_hashes(self.codes, self.starts, self.stops)
+        n = len(self.hashes)
+        power = np.full(n, _MIX)
+        back = np.full(n + 1, _BACK)
+        power[:1], back[:1] = 1, 1
+        self.back = np.multiply.accumulate(back)  # negative powers, so that a row's hash doesn't tell its place
+        self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(self.hashes * np.multiply.accumulate(power), dtype=np.uint64)])
+        s = self.hashes[: max(n - SHINGLE + 1, 0)].copy()
+        for k in range(1, SHINGLE):
+            s = (s ^ (s >> np.uint64(31))) * _MIX + self.hashes[k : n - SHINGLE + 1 + k]
+        self.shingles = s ^ (s >> np.uint64(32))
+
+    def before(self, at: np.ndarray) -> np.ndarray:
+        """The number of words that start before these characters."""
+        return np.searchsorted(self.starts, at)
+
+    def ids(self, a: np.ndarray, b: np.ndarray, level: int) -> np.ndarray:
+        """Hashes of the words from a[i] to b[i]."""
+        return _mixed((self.sums[b] - self.sums[a]) * self.back[a] + (b - a).astype(np.uint64) * _MIX + np.uint64(level))
+
+    def paragraphs(self) -> tuple[np.ndarray, np.ndarray]:
+        """Starts and ends (characters): lines of enough words, and shorter ones joined until a long or a wordless one."""
+        ends = np.append(np.flatnonzero(self.codes == 10), len(self.codes))
+        starts = np.concatenate([[0], ends[:-1] + 1])
+        n = np.diff(self.before(np.append(starts, len(self.codes) + 1)))
+        short = (n > 0) & (n < LINE_WORDS)
+        on = short[1:] & short[:-1] & ~np.isin(starts[1:], self.base)  # goes on the line before it
+        s = starts[(n > 0) & ~np.concatenate([[False], on])]
+        e = ends[(n > 0) & ~np.concatenate([on, [False]])]
+        enough = self.before(e) - self.before(s) >= LINE_WORDS
+        return s[enough], e[enough]
+
+    def pieces(self, s: np.ndarray, e: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Starts and ends of the pieces with enough words, but for whole paragraphs."""
+        space = np.concatenate([[False], _kinds()[1][self.codes], [False]])
+        turn = np.diff(space.astype(np.int8))
+        x, y = np.flatnonzero(turn > 0), np.flatnonzero(turn < 0)
+        ok = x > 0
+        ok[ok] = np.isin(self.codes[x[ok] - 1], _STOPS)
+        x, y = x[ok], y[ok]
+        of = np.searchsorted(s, x, "right") - 1
+        ok = (of >= 0) & (x < e[of]) if len(e) else np.zeros(len(x), bool)
+        x, y, of = x[ok], np.minimum(y[ok], e[of[ok]]), of[ok]
+        new = np.concatenate([[True], of[1:] != of[:-1]])[: len(of)]
+        since = np.where(new, s[of], np.concatenate([[0], y[:-1]])[: len(of)])
+        bits = self.ids(self.before(since), self.before(x), 3)
+        found = np.empty((0, 2), np.int64)
         for way in range(CUTS):
-            cuts = [(a, b) for a, b, bits in sentences if bits >> way & 1]
-            pieces.update(zip([s, *(b for _, b in cuts)], [*(a for a, _ in cuts), e]))
-        for a, b in sorted(pieces - {(s, e)}):
-            piece = _WORD.findall(text[a:b].lower())
-            if len(piece) >= PIECE_WORDS:
-                yield 1, a, b, piece
-
-
-def _hash(level: int, words: list[str]) -> int:
-    return xxhash.xxh64_intdigest(" ".join(words), level)
+            cut = (bits >> np.uint64(way)) & np.uint64(1) > 0
+            found = np.concatenate([found, np.stack([np.sort(np.concatenate([s, y[cut]])), np.sort(np.concatenate([x[cut], e]))], axis=1)])
+        found = np.unique(found, axis=0) if len(found) else found
+        at = np.searchsorted(s, found[:, 0]).clip(max=max(len(s) - 1, 0))
+        some = self.before(found[:, 1]) - self.before(found[:, 0]) >= PIECE_WORDS
+        if len(s):
+            some &= (s[at] != found[:, 0]) | (e[at] != found[:, 1])
+        return found[some, 0], found[some, 1]
+
+    def runs(self) -> np.ndarray:
+        """First words of the runs, over line ends; of equal ones of a text that overlap the first."""
+        n = len(self.hashes)
+        if n < ANCHOR + RUN - 1:
+            return np.empty(0, np.int64)
+        bound = self.before(self.base)
+        # the hash's upper bits, then the place: the least of a window is the first of the least shingles
+        at = np.arange(len(self.shingles), dtype=np.uint64)
+        low = self.shingles >> np.uint64(32) << np.uint64(32) | at
+        width = 1
+        while 2 * width <= ANCHOR:
+            low, width = np.minimum(low[:-width], low[width:]), 2 * width
+        low = np.minimum(low[: len(self.shingles) - ANCHOR + 1], low[ANCHOR - width :])
+        text = np.searchsorted(bound, np.arange(n), "right")
+        window = np.arange(len(low))
+        size = np.diff(bound)
+        inside = (text[window] == text[window + ANCHOR + SHINGLE - 2]) & (size[text[window] - 1] >= ANCHOR + RUN - 1)
+        starts = (low[inside] & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        starts = starts[np.concatenate([[True], starts[1:] != starts[:-1]])[: len(starts)]]
+        starts = starts[starts + RUN <= bound[text[starts]]]
+        names = self.ids(starts, starts + RUN, 2)
+        order = np.lexsort((starts, names, text[starts]))
+        same = (names[order][1:] == names[order][:-1]) & (np.diff(starts[order]) < RUN) & (np.diff(text[starts[order]]) == 0)
+        near, gone, last = np.flatnonzero(same), [], -1
+        for i in near.tolist():  # only where equal runs overlap
+            if i == 0 or not same[i - 1]:
+                last = starts[order[i]]
+            if starts[order[i + 1]] - last < RUN:
+                gone.append(order[i + 1])
+            else:
+                last = starts[order[i + 1]]
+        return np.delete(starts, gone)
+
+
+def units(texts: list[str]) -> list[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray | None]]:
+    """(level, text numbers, starts, ends, ids, bands) of paragraphs (0, the only ones with bands), their pieces (1) and runs (2)."""
+    words = _Words(texts)
+    s, e = words.paragraphs()
+    a, b = words.before(s), words.before(e)
+    n = b - a - SHINGLE + 1
+    first = np.cumsum(n) - n
+    ids = words.ids(a, b, 0)
+    each = words.shingles[np.arange(int(n.sum())) - np.repeat(first - a, n)]
+    found = [(0, s, e, ids, bands(each, n))]
+    s, e = words.pieces(s, e)
+    found.append((1, s, e, words.ids(words.before(s), words.before(e), 1), None))
+    i = words.runs()
+    found.append((2, words.starts[i], words.stops[i + RUN - 1], words.ids(i, i + RUN, 2), None))
+    out = []
+    for level, s, e, ids, band in found:
+        text = np.searchsorted(words.base, s, "right") - 1
+        out.append((level, text, s - words.base[text], e - words.base[text], ids.view(np.int64), band))
+    return out
 
 
 def _shingles(many: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
@@ -150,16 +241,16 @@ def _shingles(many: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
     return s[ok[: len(s)]], sizes - SHINGLE + 1
 
 
-def bands(many: list[list[str]]) -> np.ndarray:
-    """The band hashes (signed) of each list of at least `SHINGLE` words."""
-    s, n = _shingles(many)
-    starts = np.cumsum(n) - n
-    out = np.zeros((len(many), BANDS), np.uint64)
-    for b in range(BANDS):
-        for r in range(ROWS):
-            least = np.minimum.reduceat((s * _ODD[b * ROWS + r]) >> np.uint64(16), starts)
-            out[:, b] = (out[:, b] ^ (out[:, b] >> np.uint64(29))) * _MIX + least
-        out[:, b] = (out[:, b] ^ (out[:, b] >> np.uint64(32))) * _MIX + np.uint64(b)
+def bands(shingles: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The band hashes (signed) of sets of shingles' hashes, one after the other, of these sizes."""
+    starts = np.cumsum(sizes) - sizes
+    out = np.zeros((len(sizes), BANDS), np.uint64)
+    if len(sizes):
+        for b in range(BANDS):
+            for r in range(ROWS):
+                least = np.minimum.reduceat((shingles * _ODD[b * ROWS + r]) >> np.uint64(16), starts)
+                out[:, b] = (out[:, b] ^ (out[:, b] >> np.uint64(29))) * _MIX + least
+            out[:, b] = (out[:, b] ^ (out[:, b] >> np.uint64(32))) * _MIX + np.uint64(b)
     return out.view(np.int64)
 
 
@@ -171,35 +262,36 @@ def scan(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows, size = [], 0
-            for doc_id, h, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
-                text = text.as_py() or ""
-                rows += [(doc_id, h, level, s, e, words, text[s:e] if level == 0 else None) for level, s, e, words in units(text)]
-                size += len(text)
-                if size > 1 << 20:
-                    yield _batch(rows)
-                    rows, size = [], 0
-            yield _batch(rows)
+            first, texts, size = 0, [], 0
+            for i, text in enumerate(b.column(2), 1):
+                texts.append(text.as_py() or "")
+                size += len(texts[-1])
+                if size > STEP or i == b.num_rows:
+                    yield from _rows(b.slice(first, i - first), texts)
+                    first, texts, size = i, [], 0
 
     key = F.hash(F.coalesce("text", F.lit("")))  # tells rows of the same id apart
     return docs.select("doc_id", key.alias("h"), "text").mapInArrow(run, UNITS)
 
 
-def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    whole = [words for _, _, level, _, _, words, _ in rows if level == 0]
-    found = iter(bands(whole).tolist() if whole else [])
-    ids = np.fromiter((_hash(r[2], r[5]) for r in rows), np.uint64, len(rows)).view(np.int64)
-    cols = [
-        pa.array([r[0] for r in rows], pa.int64()),
-        pa.array([r[1] for r in rows], pa.int32()),
-        pa.array([r[2] for r in rows], pa.int32()),
-        pa.array([r[3] for r in rows], pa.int32()),
-        pa.array([r[4] for r in rows], pa.int32()),
-        pa.array(ids),
-        pa.array([r[6] for r in rows], pa.string()),
-        pa.array([next(found) if r[2] == 0 else None for r in rows], pa.list_(pa.int64())),
-    ]
-    return pa.RecordBatch.from_arrays(cols, ["doc_id", "h", "level", "start", "stop", "uid", "line", "bands"])
+def _rows(docs: pa.RecordBatch, texts: list[str]) -> Iterator[pa.RecordBatch]:
+    for level, text, start, stop, uid, band in units(texts):
+        n = len(text)
+        lines = [texts[t][s:e] for t, s, e in zip(text.tolist(), start.tolist(), stop.tolist())] if level == 0 else pa.nulls(n, pa.string())
+        lists = pa.nulls(n, pa.list_(pa.int64()))
+        if level == 0:
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * BANDS, pa.int32()), pa.array(band.ravel()))
+        cols = [
+            docs.column(0).take(pa.array(text)),
+            docs.column(1).take(pa.array(text)),
+            pa.array(np.full(n, level), pa.int32()),
+            pa.array(start, pa.int32()),
+            pa.array(stop, pa.int32()),
+            pa.array(uid),
+            pa.array(lines, pa.string()) if level == 0 else lines,
+            lists,
+        ]
+        yield pa.RecordBatch.from_arrays(cols, ["doc_id", "h", "level", "start", "stop", "uid", "line", "bands"])
 
 
 def candidates(scanned: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -253,28 +345,16 @@ def _met(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
 
 
 def _pairs(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """The pairs to compare of whole buckets (band, uid), at most `SMALL` or `HUBS` for each member.
-
-    All pairs of buckets up to `SMALL`; larger ones, which `_met` keeps from it, are `linked` instead.
-    """
-    if rows.shape[1] < 2:
-        return
-    new = np.concatenate([[True], rows[0, 1:] != rows[0, :-1]])
+    """All pairs of whole buckets (band, uid) of up to `SMALL`."""
+    new = np.concatenate([[True], rows[0, 1:] != rows[0, :-1]])[: rows.shape[1]]
     starts = np.flatnonzero(new)
     sizes = np.diff(np.append(starts, rows.shape[1]))
-    v, small = rows[1], np.repeat(sizes <= SMALL, sizes)
-    at = np.arange(rows.shape[1]) - np.repeat(starts, sizes)
-    left = np.repeat(sizes, sizes) - at
+    left = np.repeat(starts + sizes, sizes) - np.arange(rows.shape[1])
     for d in range(1, SMALL):
-        i = np.flatnonzero(small & (left > d))
+        i = np.flatnonzero(left > d)
         if not len(i):
             break
-        yield pa.RecordBatch.from_arrays([pa.array(v[i]), pa.array(v[i + d])], ["a", "b"])
-    for s, n in zip(starts[sizes > SMALL].tolist(), sizes[sizes > SMALL].tolist()):
-        members = v[s : s + n]
-        for hub in members[np.linspace(0, n - 1, HUBS).astype(int)]:
-            a, b = np.minimum(members, hub), np.maximum(members, hub)
-            yield pa.RecordBatch.from_arrays([pa.array(a[a != b]), pa.array(b[a != b])], ["a", "b"])
+        yield pa.RecordBatch.from_arrays([pa.array(rows[1, i]), pa.array(rows[1, i + d])], ["a", "b"])
 
 
 def jaccard(a: list[str], b: list[str]) -> float:
@@ -396,16 +476,16 @@ def repeats(docs: DataFrame) -> DataFrame:
     pairs, members = candidates(scanned)
     near = verified(stage(pairs, "paragraph-pairs"), scanned).union(linked(members, scanned))
     labels = components(stage(near, "paragraph-edges"))
-    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h", "start")
-    places = scanned.select("doc_id", "h", "start", "stop", "uid", place.alias("place"))
+    places = scanned.select("doc_id", "h", "start", "stop", "uid")
     # most ids have one place and no class, and go no further than this count
-    own = places.withColumn("mark", F.hash("place"))
-    own = own.groupBy("uid").agg(F.min("place").alias("first"), F.min("mark").alias("low"), F.max("mark").alias("high"))
-    own = own.join(_with_roots(labels), "uid", "left").where("cls IS NOT NULL OR low != high")
-    own = stage(own.select("uid", F.coalesce("cls", "uid").alias("cls"), "first"), "paragraph-classes")
-    kept = own.groupBy("cls").agg(F.min("first").alias("first"))
-    kept = own.select("uid", "cls").join(kept, "cls").select("uid", "first")
-    held = places.join(kept, "uid").withColumn("gone", F.col("place") != F.col("first"))
+    own = places.groupBy("uid").agg(F.count("*").alias("n")).join(_with_roots(labels), "uid", "left")
+    own = own.where("cls IS NOT NULL OR n > 1").select("uid", F.coalesce("cls", "uid").alias("cls"))
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h", "start")
+    held = places.join(stage(own, "paragraph-classes"), "uid").select("cls", "doc_id", "h", "start", "stop", place.alias("place"))
+    held = stage(held, "paragraph-places", "zstd")
+    # repeated rows alone are one place
+    kept = held.groupBy("cls").agg(F.min("place").alias("first"), F.max("place").alias("last")).where("first != last")
+    held = held.join(kept, "cls").withColumn("gone", F.col("place") != F.col("first"))
     span = F.when(F.col("gone"), F.struct("start", "stop"))
     each = held.groupBy("doc_id", "h").agg(
         F.countDistinct("start", "stop").alias("n_repeated"),
