@@ -80,3 +80,36 @@ def test_identify(spark):
     assert langid.identify(df.limit(0)).count() == 0
     unlabelled = df.withColumn("lang", df.lang.substr(9, 1)).where("lang is null")
     assert {r.lang_pred for r in langid.identify(unlabelled).collect()} <= {"und"}
+
+
+def brute_predict(rows, texts):
+    """Plain sets in place of filters."""
+    counts: dict = {}
+    for text, lang in rows:
+        for g in brute_trigrams(text):
+            counts.setdefault(lang, {}).setdefault(g, 0)
+            counts[lang][g] += 1
+    shares = {x: {g: k / sum(n.values()) for g, k in n.items()} for x, n in counts.items()}
+    most: dict = {}
+    for each in shares.values():
+        for g, k in each.items():
+            most[g] = max(most.get(g, 0), k)
+    held = {x: {g for g, k in each.items() if k >= langid.LEAST_SHARE and k >= langid.LEAST_RATIO * most[g]} for x, each in shares.items()}
+    out = []
+    for text in texts:
+        grams = brute_trigrams(text)
+        out.append(max(sorted(held), key=lambda x: sum(g in held[x] for g in grams)) if grams else "und")
+    return out
+
+
+def test_any_number_of_languages_equals_brute_force(spark):
+    r = random.Random(4)
+    letters = "abcdefghijklmnopqrstuvwxyzабвгдежзийклмнопрстуфхцч"
+    words = {f"l{k:03}": ["".join(r.choice(letters) for _ in range(r.randrange(2, 7))) for _ in range(12)] for k in range(150)}
+    rows = [(" ".join(r.choice(w) for _ in range(30)), x) for x, w in words.items() for _ in range(4)]
+    model = langid.fit(spark.createDataFrame(rows, "text string, lang string"))
+    assert model.languages == tuple(sorted(words)) and model.slots.shape == (3, langid.SLOTS)
+    texts = [" ".join(r.choice(w) for _ in range(25)) for w in words.values()] + ["", "1 2"]
+    got, score = langid.predict_texts(model, texts)
+    assert got == brute_predict(rows, texts)
+    assert np.mean([a == b for a, b in zip(got, words)]) > 0.99 and (score[:-2] > 0.5).all()

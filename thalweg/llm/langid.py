@@ -5,7 +5,7 @@ letter reads as a gap. Training counts trigrams per language in Spark and puts a
 trigram into a language's filter if it is common enough there, and not much
 rarer than where it is most common. The filters share one table: slot i holds a
 bit per language, so one lookup at `HASHES` slots, ANDed, gives the bitmask of
-all languages that hold the trigram. A text's language is the one with most set
+all languages that hold the trigram, in words of `BITS` languages. A text's language is the one with most set
 bits after taking off the false positives that its filter's fill lets expect.
 """
 
@@ -30,7 +30,8 @@ LEAST_SHARE = 1e-5
 #: Least share against the language where the trigram is most common.
 LEAST_RATIO = 0.5
 UNKNOWN = "und"
-MOST_LANGUAGES = 64
+#: Languages in one word of a mask. A model takes 8 bytes a slot for each begun word, 8 MB at `SLOTS`.
+BITS = 64
 #: Characters that are looked at together; longer texts are read in slices of so many, cut between words.
 STEP = 1 << 20
 
@@ -38,14 +39,18 @@ STEP = 1 << 20
 @dataclass(frozen=True)
 class Model:
     languages: tuple[str, ...]
-    slots: np.ndarray  # of the smallest unsigned type with a bit per language
+    slots: np.ndarray  # (words, slots), of the smallest unsigned type with a bit for each language of a word
 
     @property
     def false_rates(self) -> np.ndarray:
-        fill = [float(((self.slots >> self.slots.dtype.type(i)) & self.slots.dtype.type(1)).mean()) for i in range(len(self.languages))]
+        fill = [float(_bit(self.slots[i // BITS], i).mean()) for i in range(len(self.languages))]
         return np.array(fill) ** HASHES
 
 
+def _bit(words: np.ndarray, language: int) -> np.ndarray:
+    return (words >> words.dtype.type(language % BITS)) & words.dtype.type(1)
+
+
 @cache
 def _is_letter() -> np.ndarray:
     return np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000)
@@ -136,20 +141,19 @@ def trigram_counts(docs: DataFrame) -> DataFrame:
 def fit(docs: DataFrame) -> Model:
     """Learn from `docs` (lang, text); rows without a language or without letters teach nothing.
 
-    What reaches the driver is one row per language and at most `SLOTS` slots.
+    What reaches the driver is one row per language and at most `SLOTS` slots for each word of `BITS` languages.
     """
     counts = stage(trigram_counts(docs), "langid-counts")
-    totals = counts.groupBy("lang").agg(F.sum("n").alias("total")).orderBy("lang").limit(MOST_LANGUAGES + 1).collect()
+    totals = counts.groupBy("lang").agg(F.sum("n").alias("total")).orderBy("lang").collect()
     languages = tuple(r.lang for r in totals)
-    if len(languages) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
     if not languages:
-        return Model((), np.zeros(1, np.uint8))
-    kind = next(k for k in (np.uint8, np.uint16, np.uint32, np.uint64) if np.iinfo(k).bits >= len(languages))
+        return Model((), np.zeros((0, SLOTS), np.uint8))
+    kind = next(k for k in (np.uint8, np.uint16, np.uint32, np.uint64) if np.iinfo(k).bits >= min(len(languages), BITS))
     spark = docs.sparkSession
-    rows = [(r.lang, float(r.total), 1 << i if i < 63 else -(1 << 63)) for i, r in enumerate(totals)]
-    known = F.broadcast(spark.createDataFrame(rows, "lang string, total double, bit long"))
-    shares = counts.join(known, "lang").select("gram", "bit", (F.col("n") / F.col("total")).alias("share"))
+    bit = (np.uint64(1) << np.arange(len(totals), dtype=np.uint64) % np.uint64(BITS)).view(np.int64).tolist()
+    rows = [(r.lang, float(r.total), i // BITS, bit[i]) for i, r in enumerate(totals)]
+    known = F.broadcast(spark.createDataFrame(rows, "lang string, total double, word int, bit long"))
+    shares = counts.join(known, "lang").select("gram", "word", "bit", (F.col("n") / F.col("total")).alias("share"))
     most = shares.groupBy("gram").agg(F.max("share").alias("most"))
     held = shares.join(most, "gram").where((F.col("share") >= LEAST_SHARE) & (F.col("share") >= LEAST_RATIO * F.col("most")))
 
@@ -157,11 +161,12 @@ def fit(docs: DataFrame) -> Model:
         for b in batches:
             grams = b.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
             for slots in _places(grams):
-                yield pa.RecordBatch.from_arrays([pa.array(slots.astype(np.int64)), b.column(1)], ["slot", "bits"])
+                yield pa.RecordBatch.from_arrays([pa.array(slots.astype(np.int64)), b.column(1), b.column(2)], ["slot", "word", "bits"])
 
-    filled = held.select("gram", "bit").mapInArrow(place, "slot long, bits long").groupBy("slot").agg(F.bit_or("bits").alias("bits")).toArrow()
-    slots = np.zeros(SLOTS, kind)
-    slots[filled["slot"].to_numpy()] = filled["bits"].to_numpy().view(np.uint64).astype(kind)
+    filled = held.select("gram", "word", "bit").mapInArrow(place, "slot long, word int, bits long")
+    filled = filled.groupBy("slot", "word").agg(F.bit_or("bits").alias("bits")).toArrow()
+    slots = np.zeros((rows[-1][2] + 1, SLOTS), kind)
+    slots[filled["word"].to_numpy(), filled["slot"].to_numpy()] = filled["bits"].to_numpy().view(np.uint64).astype(kind)
     return Model(languages, slots)
 
 
@@ -187,14 +192,13 @@ def predict_texts(model: Model, texts: list[str | None]) -> tuple[list[str], np.
         if not len(index) or not model.languages:
             continue
         grams = _trigrams(codes, index)
-        mask = None
-        for slots in _places(grams):
-            mask = model.slots[slots] if mask is None else mask & model.slots[slots]
+        places = list(_places(grams))
         some = np.flatnonzero(sizes)
         starts = (np.cumsum(sizes) - sizes)[some]
-        for i in range(len(model.languages)):
-            bit = ((mask >> mask.dtype.type(i)) & mask.dtype.type(1)).astype(np.int32)
-            np.add.at(hits[:, i], np.array(at)[some], np.add.reduceat(bit, starts))
+        for word, table in enumerate(model.slots):
+            mask = np.bitwise_and.reduce([table[slots] for slots in places])
+            for i in range(word * BITS, min((word + 1) * BITS, len(model.languages))):
+                np.add.at(hits[:, i], np.array(at)[some], np.add.reduceat(_bit(mask, i).astype(np.int32), starts))
     if not model.languages:
         return [UNKNOWN] * len(texts), np.zeros(len(texts))
     false = model.false_rates
@@ -230,7 +234,12 @@ def held_out(id_col: str, parts: int, part: int) -> Column:
 
 
 def identify(docs: DataFrame) -> DataFrame:
-    """doc_id, held_out, lang_pred, score; learns from the rows that aren't held out."""
+    """doc_id, held_out, lang_pred, score; learns from the rows that aren't held out.
+
+    One row per row, repeated ones included. NULL, empty and letterless texts are `und` with
+    score 0 and teach nothing, as do rows without lang; ties go to the first language by name.
+    A NULL id counts as empty text in the division. An empty table gives none; other columns aren't read.
+    """
     out = held_out("doc_id", 3, 1)
     known = docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"), out.alias("held_out"))
     model = fit(known.where(~F.col("held_out")))
