@@ -37,7 +37,7 @@ def test_wand_retrieves_all(threshold, monkeypatch):
 
 def test_own_score_is_one():
     index = decontam.build(ITEMS)
-    assert len(index.item_ids) == 62
+    assert len(index.item_ids) == 63
     for i, text in ITEMS[:60]:
         assert any(index.item_ids[p] == i and s[0] > 0.999 for p, s in decontam.matches(index, text).items())
 
@@ -58,10 +58,35 @@ def test_contaminated(spark):
     assert decontam.contaminated(df.limit(0), bench).count() == 0 and decontam.contaminated(df, bench.limit(0)).count() == 0
 
 
-def test_too_large_is_refused(spark, monkeypatch):
-    monkeypatch.setattr(decontam, "MOST_CHARACTERS", 10)
-    with pytest.raises(ValueError):
-        decontam.index_of(spark.createDataFrame(ITEMS, "item_id long, text string"))
+def test_items_of_few_words():
+    items = [(0, "Paris"), (1, "Capital of France? Paris"), (2, "of France"), (3, "of France"), (4, "France of"), (5, "?!"), (6, prose(20))]
+    index = decontam.build(items)
+
+    def held(text):
+        return {index.item_ids[i]: f[3] for i, f in decontam.matches(index, text).items()}
+
+    assert held("The capital, of FRANCE: Paris. of France") == {0: 4, 1: 1, 2: 2, 3: 2}
+    assert held("the capital of") == {} and held("?") == {} and held("of of france of") == {2: 1, 3: 1, 4: 2}
+    R2 = random.Random(8)
+    few = [(i, " ".join(R2.choice("abc") for _ in range(R2.randrange(1, 5)))) for i in range(40)]
+    index = decontam.build(few)
+    for _ in range(50):
+        text = " ".join(R2.choice("abcd") for _ in range(R2.randrange(1, 12)))
+        want = {i: f" {text} ".index(f" {x} ") // 2 for i, x in few if f" {x} " in f" {text} "}
+        assert held(text) == want
+
+
+def test_parts_tell_the_same(spark, monkeypatch):
+    docs = [(i, f"{prose(60)} {ITEMS[i][1] if i % 2 else ''} {prose(40)} {'too short' if i % 5 == 0 else ''}", "x") for i in range(40)]
+    df = spark.createDataFrame(docs + [(None, None, None), (50, "", "")], "doc_id long, text string, item_id string")
+    bench = spark.createDataFrame(ITEMS + ITEMS[:3], "item_id long, text string")
+    want = sorted(map(str, decontam.contaminated(df, bench).collect()))
+    kept = sorted(map(str, decontam.clean(df, bench).collect()))
+    assert len(want) >= 28
+    monkeypatch.setattr(decontam, "MOST_CHARACTERS", sum(len(x or "") for _, x in ITEMS) // 2)
+    assert decontam.indexes(bench)[0] > 1
+    assert sorted(map(str, decontam.contaminated(df, bench).collect())) == want
+    assert sorted(map(str, decontam.clean(df, bench).collect())) == kept
 
 
 def test_split():

@@ -8,14 +8,20 @@ that length, so that no item's copy is split. All items at or above the threshol
 are retrieved; WAND's first step (do the terms' largest impacts reach it at all?)
 is taken for all windows of a batch at once. What is retrieved is verified by
 the shares of the question's and the answer's 5-word shingles found in the window.
+
+Items of fewer than 5 words are found where all their words stand in a row. A
+benchmark too large for one index is indexed part by part, with document frequencies
+and lengths that Spark counts over the whole of it, so that scores are the same.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +29,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema
 
+from thalweg.staging import stage
+
 K1, B = 1.2, 0.75
 #: Share of an item's own score that a window must reach to be looked at.
 THRESHOLD = 0.3
@@ -30,7 +38,7 @@ SHINGLE = 5
 #: A copy: this share of the question and of the answer, or the second share of all.
 PART, WHOLE = 0.5, 0.8
 BLOCK = 16
-#: Characters of the benchmark that one index may hold; more is refused.
+#: Characters of the benchmark that one index holds, or about half of them where more take several.
 MOST_CHARACTERS = 64_000_000
 STEP = 1 << 20
 
@@ -45,10 +53,23 @@ class Index:
     most: np.ndarray  # by pair: the largest impact
     postings: list[tuple[np.ndarray, np.ndarray]]  # by pair: items, impacts
     blocks: list[tuple[np.ndarray, np.ndarray]]  # by pair: last item and largest impact of each block
-    item_ids: list[int | None]
+    item_ids: list[int | None]  # those of `SHINGLE` words and more, then shorter ones
     questions: list[set]
     answers: list[set]
     stride: int
+    steps: np.ndarray  # of the shorter items' tree of words: node and next word, sorted
+    nodes: np.ndarray  # by step: the node it leads to
+    ends: dict[int, list[int]]  # by node: the items that end there
+
+
+@dataclass(frozen=True)
+class Counts:
+    """What the scores of a part need to know of the whole benchmark."""
+
+    items: int
+    mean: float
+    stride: int
+    held: dict[str, int]  # by pair of words of the part: the items that have it
 
 
 def _words(text: str) -> Iterator[list[str]]:
@@ -73,10 +94,23 @@ def _shingles(ids: list[int]) -> set:
     return {tuple(ids[i : i + n]) for i in range(len(ids) - n + 1)} if n else set()
 
 
-def build(items: list[tuple[int | None, str | None]]) -> Index:
-    """Index items (id, text); NULL ones and those of fewer than `SHINGLE` words can't be told and are left out."""
+def _tree(short: list[list[int]], size: int, first: int) -> tuple[np.ndarray, np.ndarray, dict[int, list[int]]]:
+    """Steps, nodes and ends (see `Index`) of short items, which are numbered from `first`."""
+    to: dict[int, int] = {}
+    ends: dict[int, list[int]] = {}
+    for i, ids in enumerate(short, first):
+        node = 0
+        for w in ids:
+            node = to.setdefault(node * size + w, len(to) + 1)
+        ends.setdefault(node, []).append(i)
+    steps = np.array(sorted(to), np.int64)
+    return steps, np.array([to[s] for s in steps.tolist()], np.int64), ends
+
+
+def build(items: list[tuple[int | None, str | None]], counts: Counts | None = None) -> Index:
+    """Index items (id, text), the whole benchmark or, with its `counts`, a part. Those without a word can't be told and are left out."""
     vocabulary: dict[str, int] = {}
-    kept, pairs, questions, answers = [], [], [], []
+    kept, pairs, questions, answers, short = [], [], [], [], []
     for item_id, text in items:
         question, answer = (
             [vocabulary.setdefault(w, len(vocabulary) + 1) for part in _words(p) for w in part] for p in split(text or "")
@@ -88,9 +122,15 @@ def build(items: list[tuple[int | None, str | None]]) -> Index:
             whole = _shingles(ids)
             questions.append(_shingles(question) & whole if len(question) >= SHINGLE else whole)
             answers.append(_shingles(answer))
-    size, n = len(vocabulary) + 1, len(kept)
-    held = Counter(p for c in pairs for p in c)
-    mean = sum(x for _, x in kept) / max(n, 1)
+        elif ids:
+            short.append((item_id, ids))
+    size = len(vocabulary) + 1
+    if counts is None:
+        n, held = len(kept), Counter(p for c in pairs for p in c)
+        mean, stride = sum(x for _, x in kept) / max(n, 1), max((x + 1 for _, x in kept), default=1)
+    else:
+        n, mean, stride = counts.items, counts.mean, counts.stride
+        held = {tuple(vocabulary[w] for w in p.split(" ")): c for p, c in counts.held.items()}
     lists: dict[tuple, list] = {p: [] for p in held}
     for i, c in enumerate(pairs):
         norm = K1 * (1 - B + B * kept[i][1] / mean)
@@ -107,8 +147,8 @@ def build(items: list[tuple[int | None, str | None]]) -> Index:
         blocks.append((at[np.minimum(starts + BLOCK, len(at)) - 1], np.maximum.reduceat(x, starts)))
     most = np.array([x.max() for _, x in postings])
     keys = np.array([a * size + b for a, b in order], np.int64)
-    stride = max((x + 1 for _, x in kept), default=1)
-    return Index(vocabulary, keys, most, postings, blocks, [i for i, _ in kept], questions, answers, stride)
+    tree = _tree([ids for _, ids in short], size, len(kept))
+    return Index(vocabulary, keys, most, postings, blocks, [i for i, _ in kept + short], questions, answers, stride, *tree)
 
 
 def search(index: Index, terms: list[int], threshold: float = THRESHOLD) -> list[tuple[int, float]]:
@@ -150,12 +190,13 @@ def search(index: Index, terms: list[int], threshold: float = THRESHOLD) -> list
             for c in head:
                 forward(c, max(to, at + 1))
             continue
-        score = 0.0
+        parts = []
         for c in head:
             forward(c, at)
             if item(c) == at:
-                score += float(index.postings[c[1]][1][c[0]])
+                parts.append(float(index.postings[c[1]][1][c[0]]))
                 c[0] += 1
+        score = math.fsum(parts)  # the same in any order of the terms
         if score >= threshold:
             found.append((at, score))
     return found
@@ -163,10 +204,37 @@ def search(index: Index, terms: list[int], threshold: float = THRESHOLD) -> list
 
 def matches(index: Index, text: str | None) -> dict[int, tuple[float, float, float, int]]:
     """By item position: score, question and answer overlap of the verified window with the largest score, and its first word."""
-    if not text or not len(index.keys):
+    if not text:
         return {}
-    get, size = index.vocabulary.get, len(index.vocabulary) + 1
+    get = index.vocabulary.get
     w = np.concatenate([np.fromiter((get(x, 0) for x in part), np.int64, len(part)) for part in _words(text)])
+    return _longer(index, w) | _shorter(index, w)
+
+
+def _shorter(index: Index, w: np.ndarray) -> dict[int, tuple[float, float, float, int]]:
+    """Items of fewer than `SHINGLE` words that stand in a row among `w`, at their first place."""
+    found: dict[int, tuple[float, float, float, int]] = {}
+    if not len(index.steps):
+        return found
+    size, at = len(index.vocabulary) + 1, np.arange(len(w))
+    node = np.zeros(len(w), np.int64)
+    for depth in range(SHINGLE - 1):
+        inside = at + depth < len(w)
+        at, node = at[inside], node[inside]
+        key = node * size + w[at + depth]
+        step = np.minimum(np.searchsorted(index.steps, key), len(index.steps) - 1)
+        hit = index.steps[step] == key
+        at, node = at[hit], index.nodes[step[hit]]
+        for n, first in zip(*(x.tolist() for x in np.unique(node, return_index=True))):
+            found |= {i: (1.0, 1.0, 1.0, int(at[first])) for i in index.ends.get(n, ())}
+    return found
+
+
+def _longer(index: Index, w: np.ndarray) -> dict[int, tuple[float, float, float, int]]:
+    """Items of `SHINGLE` words and more that windows of `w` hold."""
+    if not len(index.keys):
+        return {}
+    size = len(index.vocabulary) + 1
     pair = np.flatnonzero((w[:-1] > 0) & (w[1:] > 0))
     key = w[pair] * size + w[pair + 1]
     term = np.minimum(np.searchsorted(index.keys, key), len(index.keys) - 1)
@@ -193,13 +261,45 @@ def matches(index: Index, text: str | None) -> dict[int, tuple[float, float, flo
     return found
 
 
-def index_of(benchmark: DataFrame) -> Index:
-    """Index a benchmark (item_id, text), which must fit `MOST_CHARACTERS`; that is checked before any of it is fetched."""
+def indexes(benchmark: DataFrame) -> tuple[int, Iterator[Index]]:
+    """How many indexes a benchmark (item_id, text) takes, and the indexes, each made when it is asked for.
+
+    Only what one index holds is fetched at a time; that is measured beforehand.
+    """
     items = benchmark.select(F.col("item_id"), F.col("text").cast("string").alias("text"))
-    size = items.agg(F.sum(F.length("text")), F.count("*")).first()
-    if (size[0] or 0) > MOST_CHARACTERS or size[1] > MOST_CHARACTERS // 10:
-        raise ValueError(f"the benchmark has over {MOST_CHARACTERS} characters; give it in parts")
-    return build(sorted(((r.item_id, r.text) for r in items.collect()), key=lambda r: (r[0] is None, r[0] or 0, r[1] or "")))
+    characters, rows = items.agg(F.sum(F.length("text")), F.count("*")).first()
+    full = max((characters or 0) / MOST_CHARACTERS, rows / max(1, MOST_CHARACTERS // 10))
+    if full <= 1:
+        return 1, iter([build(_fetched(items))])
+    n = math.ceil(full) * 2
+    return n, _parts(items, n)
+
+
+def _fetched(items: DataFrame) -> list[tuple[int | None, str | None]]:
+    return sorted(((r.item_id, r.text) for r in items.collect()), key=lambda r: (r[0] is None, r[0] or 0, r[1] or ""))
+
+
+def _parts(items: DataFrame, n: int) -> Iterator[Index]:
+    # rows are dealt by their place, so that copies of one item spread; the written table fixes who is where
+    dealt = stage(items.withColumn("part", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(n))), "benchmark")
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            words = [[w for p in split(t.as_py() or "") for part in _words(p) for w in part] for t in b.column(0)]
+            words = [(p, w) for p, w in zip(b.column(1).to_pylist(), words) if len(w) >= SHINGLE]
+            pairs = [list({f"{x} {y}" for x, y in zip(w, w[1:])}) for _, w in words]
+            cols = [pa.array([p for p, _ in words], pa.int64()), pa.array([len(w) for _, w in words], pa.int64())]
+            yield pa.RecordBatch.from_arrays([*cols, pa.array(pairs, pa.list_(pa.string()))], ["part", "words", "pairs"])
+
+    worded = stage(dealt.select("text", "part").mapInArrow(read, "part long, words long, pairs array<string>"), "benchmark-words")
+    size, pairs, stride = worded.agg(F.count("*"), F.sum(F.col("words") - 1), F.max("words")).first()
+    each = worded.select("part", F.explode("pairs").alias("pair")).groupBy("part", "pair").agg(F.count("*").alias("n"))
+    each = stage(each, "benchmark-pairs")
+    held = stage(each.groupBy("pair").agg(F.sum("n").alias("held")), "benchmark-held")
+    for k in range(n):
+        own = each.where(F.col("part") == k).join(held, "pair").select("pair", "held")
+        counts = Counts(size, (pairs or 0) / max(size, 1), stride or 1, {r.pair: r.held for r in own.collect()})
+        yield build(_fetched(dealt.where(F.col("part") == k).select("item_id", "text")), counts)
 
 
 FOUND = pa.schema(
@@ -212,10 +312,17 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row per document and item that it holds: doc_id, item_id, score, overlaps, first_word of the window.
 
     NULL and empty texts hold nothing. A repeated document repeats its rows; NULL
-    ids stay. Equal items are all listed. Items of fewer than 5 words aren't told.
+    ids stay. Equal items are all listed. Of windows with the same score the first
+    is told. An item of 1 to 4 words is held where they stand in a row, with score
+    and overlaps of 1 and the first such place; items without a word aren't told.
     """
-    index = index_of(benchmark)
+    n, parts = indexes(benchmark)
+    asked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    found = (_told(asked, index) for index in parts)
+    return reduce(DataFrame.union, [stage(f, "contaminated") for f in found] if n > 1 else found)
 
+
+def _told(docs: DataFrame, index: Index) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows = []
@@ -224,12 +331,22 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                     rows.append(dict(zip(FOUND.names, (doc_id, index.item_ids[i], score, question, answer, first))))
             yield pa.RecordBatch.from_pylist(rows, FOUND)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, from_arrow_schema(FOUND))
+    return docs.mapInArrow(run, from_arrow_schema(FOUND))
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of `docs` whose text holds no item; all columns as they are, and no shuffle."""
-    index = index_of(benchmark)
+    """The rows of `docs` whose text holds no item; all columns as they are, and no shuffle.
+
+    What holds an item is told by `contaminated`; NULL and empty texts stay.
+    """
+    n, parts = indexes(benchmark)
+    for index in parts:
+        docs = _free(docs, index)
+        docs = stage(docs, "decontaminated") if n > 1 else docs
+    return docs
+
+
+def _free(docs: DataFrame, index: Index) -> DataFrame:
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
