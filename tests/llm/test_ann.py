@@ -60,3 +60,21 @@ def test_scan_abandons_far_pairs_only():
     found = np.zeros_like(near)
     found[i, j] = True
     assert found[near].mean() > 0.97 and len(i) <= near.sum() * 1.01
+
+
+@pytest.mark.parametrize("power", [-160, 0, 150, 1000])
+def test_any_magnitude(spark, power):
+    rng = np.random.default_rng(4)
+    x = rng.standard_normal((400, 16)) * 2.0**power if power > 0 else rng.standard_normal((400, 16)) * 10.0**power
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>")
+    got: dict = {}
+    for r in ann.search(df, 20, 5).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    unit = x / 2.0**power if power > 0 else x / 10.0**power
+    want = brute(range(400), unit, 20, 5)
+    assert got.keys() == want.keys()
+    assert np.mean([len({i for i, _ in got[q]} & {i for i, _ in want[q]}) / 5 for q in want]) >= 0.9
+    if power == 0:
+        assert all(abs(s - (x[q] * x[i]).sum()) < 1e-12 for q in got for i, s in got[q])
+    elif power == 1000:
+        assert all(s == np.inf for q in got for _, s in got[q])

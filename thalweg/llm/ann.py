@@ -49,18 +49,23 @@ class Lists:
         return (self.centroids**2).sum(axis=1) - 2 * x @ self.centroids.T
 
 
-def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """id and v (array of doubles), one row per id, of vectors that take part.
+def usable(vectors: DataFrame, id_col: str, vector_col: str) -> tuple[DataFrame, int]:
+    """id and v (array of doubles), one row per id, of vectors that take part, and the exponent e of their scale.
 
     Without NULL ids, NULL or zero vectors, NULL or non-finite components, and lengths
-    other than the most common one. Of rows with the same id the smallest vector stays.
+    other than the most common one (ties: the shorter), between which there is no inner
+    product. Of rows with the same id the smallest vector stays. Components are divided by
+    2**e, so that the largest is about 1 and no square leaves the range of doubles.
     """
     v = F.col(vector_col).cast("array<double>")
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), v.alias("v")).where("id IS NOT NULL AND size(v) > 0")
     rows = rows.where(F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0))
-    rows = stage(rows.groupBy("id").agg(F.min("v").alias("v")), "ann-vectors")
-    common = rows.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").first()
-    return rows.where(F.size("v") == (common.n if common else 0))
+    rows = rows.groupBy("id").agg(F.min("v").alias("v")).withColumn("n", F.size("v"))
+    rows = stage(rows.withColumn("most", F.array_max(F.transform("v", F.abs))), "ann-vectors")
+    common = rows.groupBy("n").agg(F.count("*").alias("rows"), F.max("most").alias("most")).orderBy(F.desc("rows"), "n").first()
+    e = max(-1000, min(1000, math.frexp(common.most)[1])) if common else 0
+    scaled = F.transform("v", lambda x: x * F.lit(2.0**-e))
+    return rows.where(F.col("n") == (common.n if common else 0)).select("id", scaled.alias("v")), e
 
 
 def fit(rows: DataFrame) -> Lists | None:
@@ -147,9 +152,9 @@ def search(vectors: DataFrame, every: int, k: int, id_col: str = "vec_id", vecto
 
     Ties go to the smaller id. With fewer than k candidates all are returned, and with
     none a query has no row. What takes part is told by `usable`; an empty table gives
-    an empty result.
+    an empty result. Scores beyond the range of doubles are infinite or zero, but ranked as they are.
     """
-    rows = usable(vectors, id_col, vector_col)
+    rows, e = usable(vectors, id_col, vector_col)
     lists = fit(rows)
     spark = vectors.sparkSession
     if lists is None:
@@ -211,4 +216,5 @@ def search(vectors: DataFrame, every: int, k: int, id_col: str = "vec_id", vecto
     met = xs.groupBy(by).cogroup(qs.groupBy(by)).applyInArrow(meet, "query_id long, vec_id long, score double")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     met = met.union(early).repartition("query_id").dropDuplicates(["query_id", "vec_id"])
-    return met.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    met = met.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+    return met.select("query_id", "rank", "vec_id", (F.col("score") * F.lit(2.0**e) * F.lit(2.0**e)).alias("score"))
