@@ -1,5 +1,7 @@
+import glob
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -296,3 +298,33 @@ def test_wrapped_text_and_long_sentences(spark):
     assert set(got) == want | {100, 101}
     assert all(got[2 * i + 1].class_id == 2 * i and got[2 * i + 1].removed_chars > 100 for i in range(20))
     assert got[101].class_id == 100 and got[101].removed_chars > 400
+
+
+def test_shuffles_do_not_pile_up(spark):
+    def files():
+        folders = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+        return {f for d in folders for f in glob.glob(f"{d}/**/shuffle_*", recursive=True)}
+
+    rows = [(i, f"{line(40)}\n{line(60)}") for i in range(20)]
+    rows += [(100 + i, rows[i][1] if i % 2 else edited(rows[i][1], 50)) for i in range(10)]
+    before, was = files(), spark.conf.get(paragraphs.FREE_SHUFFLES)
+    found = paragraphs.repeats(spark.createDataFrame(rows, "doc_id long, text string"))
+    for _ in range(50):  # they go a moment after their job
+        if files() <= before:
+            break
+        time.sleep(0.1)
+    assert files() <= before and spark.conf.get(paragraphs.FREE_SHUFFLES) == was
+    assert {r.doc_id for r in found.collect()} == {*range(10), *range(100, 110)}
+
+
+def test_texts_move_once_for_pairs_and_large_buckets(spark, monkeypatch):
+    made = []
+    stage = paragraphs.stage
+    monkeypatch.setattr(paragraphs, "stage", lambda df, name, *a: made.append((name, stage(df, name, *a))) or made[-1][1])
+    again, other, own = line(30), line(90), line(70)
+    # equal shingles however often a text is repeated, so these share every bucket and are never listed as pairs
+    docs = [(100 + i, " ".join([again] * (3 + i))) for i in range(paragraphs.SMALL + 2)] + [(10, other), (11, edited(other, 40)), (12, other), (13, own)]
+    got = {r.doc_id: r.class_id for r in paragraphs.repeats(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == dict.fromkeys(range(100, 102 + paragraphs.SMALL), 100) | dict.fromkeys((10, 11, 12), 10)
+    (lines,) = [df for name, df in made if name == "paragraph-lines"]
+    assert sorted(r.line for r in lines.collect()) == sorted({text for _, text in docs} - {own})

@@ -24,12 +24,13 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cache
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from thalweg.llm.components import components
@@ -51,6 +52,7 @@ SMALL = 32
 BLOCK = 2048
 #: Characters of texts read together, unless one text is longer, and words hashed together.
 STEP, WORDS = 1 << 20, 1 << 17
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 _WORD = re.compile(r"[^\W_]+")
 #: After these characters, before white space, a sentence ends.
@@ -362,11 +364,15 @@ def jaccard(a: list[str], b: list[str]) -> float:
     return len(x & y) / len(x | y) if x or y else 1.0
 
 
-def verified(pairs: DataFrame, scanned: DataFrame) -> DataFrame:
-    """The pairs whose exact Jaccard reaches the threshold."""
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("uid")).distinct()
+def collided(scanned: DataFrame, pairs: DataFrame, members: DataFrame) -> DataFrame:
+    """uid and line, once each, of what is in a pair or in a large bucket; all texts move only for this."""
+    needed = pairs.select(F.explode(F.array("a", "b")).alias("uid")).union(members.select("uid")).distinct()
     own = scanned.where("level = 0").select("uid", "line").join(needed, "uid", "left_semi").dropDuplicates(["uid"])
-    own = stage(own, "paragraph-lines", "zstd")
+    return stage(own, "paragraph-lines", "zstd")
+
+
+def verified(pairs: DataFrame, lines: DataFrame) -> DataFrame:
+    """The pairs whose exact Jaccard reaches the threshold; lines: uid, line of all in them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -376,22 +382,20 @@ def verified(pairs: DataFrame, scanned: DataFrame) -> DataFrame:
             ]
             yield b.select(["a", "b"]).filter(pa.array(near, pa.bool_()))
 
-    first = own.select(F.col("uid").alias("a"), F.col("line").alias("x"))
-    second = own.select(F.col("uid").alias("b"), F.col("line").alias("y"))
+    first = lines.select(F.col("uid").alias("a"), F.col("line").alias("x"))
+    second = lines.select(F.col("uid").alias("b"), F.col("line").alias("y"))
     return pairs.join(first, "a").join(second, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
-def linked(members: DataFrame, scanned: DataFrame) -> DataFrame:
+def linked(members: DataFrame, lines: DataFrame) -> DataFrame:
     """Links (a, b) that span the groups of lines whose exact Jaccard reaches the threshold, of large buckets (band, uid, block)."""
-    needed = members.select("uid").distinct()
-    own = scanned.where("level = 0").select("uid", "line").join(needed, "uid", "left_semi").dropDuplicates(["uid"])
     blocks = members.groupBy("band").agg((F.max("block") + 1).alias("blocks"))
     # every two blocks of a bucket meet; the pair also settles what is within each
     others = F.expr("filter(sequence(0L, blocks - 1), j -> j != block)")
     meets = F.when(F.col("blocks") == 1, F.array(F.lit(0).cast("long"))).otherwise(
         F.transform(others, lambda j: F.least(j, "block") * F.col("blocks") + F.greatest(j, "block"))
     )
-    each = members.join(blocks, "band").select("band", "uid", F.explode(meets).alias("meet")).join(own, "uid")
+    each = members.join(blocks, "band").select("band", "uid", F.explode(meets).alias("meet")).join(lines.select("uid", "line"), "uid")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, uids, texts = None, [], []
@@ -459,22 +463,29 @@ def _with_roots(labels: DataFrame) -> DataFrame:
     return labels.select(F.col("node").alias("uid"), F.col("label").alias("cls")).union(roots)
 
 
-def repeats(docs: DataFrame) -> DataFrame:
-    """One row for each document that holds a paragraph of a class of two or more.
+@contextmanager
+def _shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Within it the shuffle files of a job go when it ends, not when the driver happens to collect its garbage.
 
-    doc_id; n_repeated, its paragraphs, pieces and runs in such classes; n_removed, the
-    separate stretches of text that another document or place keeps; removed_chars;
-    removed, these stretches as start:end, joined; kept_in, the ids of the documents
-    that keep them, in order; class_id, the smallest of those and its own.
-
-    A class keeps its first place by (doc_id, start), NULL ids last. Repeated rows
-    (same id and text) count as one document. NULL and empty texts, and lines of
-    fewer than 20 words with their short neighbours, hold no paragraph. Other columns aren't read.
+    For steps that stage what they make: a frame that runs twice shuffles again. Holds for
+    the whole session meanwhile, where it changes no result.
     """
+    before = spark.conf.get(FREE_SHUFFLES, "false")
+    spark.conf.set(FREE_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(FREE_SHUFFLES, before)
+
+
+def _held(docs: DataFrame) -> DataFrame:
+    """The places (cls, doc_id, h, start, stop, place) of paragraphs, pieces and runs that share an id or a class."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     scanned = stage(scan(docs), "paragraphs", "zstd")
     pairs, members = candidates(scanned)
-    near = verified(stage(pairs, "paragraph-pairs"), scanned).union(linked(members, scanned))
+    pairs = stage(pairs, "paragraph-pairs")
+    lines = collided(scanned, pairs, members)
+    near = verified(pairs, lines).union(linked(members, lines))
     labels = components(stage(near, "paragraph-edges"))
     places = scanned.select("doc_id", "h", "start", "stop", "uid")
     # most ids have one place and no class, and go no further than this count
@@ -482,7 +493,23 @@ def repeats(docs: DataFrame) -> DataFrame:
     own = own.where("cls IS NOT NULL OR n > 1").select("uid", F.coalesce("cls", "uid").alias("cls"))
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h", "start")
     held = places.join(stage(own, "paragraph-classes"), "uid").select("cls", "doc_id", "h", "start", "stop", place.alias("place"))
-    held = stage(held, "paragraph-places", "zstd")
+    return stage(held, "paragraph-places", "zstd")
+
+
+def repeats(docs: DataFrame) -> DataFrame:
+    """One row for each document that holds a paragraph of a class of two or more.
+
+    doc_id; n_repeated, its paragraphs, pieces and runs in such classes; n_removed, the
+    separate stretches of text that another document or place keeps; removed_chars;
+    removed, these stretches as start:end, joined; kept_in, the ids of the documents
+    that keep them, in order; class_id, the smallest of those and its own.
+
+    A class keeps its first place by (doc_id, start), NULL ids last. Repeated rows
+    (same id and text) count as one document. NULL and empty texts, and lines of
+    fewer than 20 words with their short neighbours, hold no paragraph. Other columns aren't read.
+    """
+    with _shuffles_freed(docs.sparkSession):
+        held = _held(docs)
     # repeated rows alone are one place
     kept = held.groupBy("cls").agg(F.min("place").alias("first"), F.max("place").alias("last")).where("first != last")
     held = held.join(kept, "cls").withColumn("gone", F.col("place") != F.col("first"))
