@@ -5,6 +5,7 @@ import time
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from thalweg.llm import paragraphs
 
@@ -328,3 +329,34 @@ def test_texts_move_once_for_pairs_and_large_buckets(spark, monkeypatch):
     assert got == dict.fromkeys(range(100, 102 + paragraphs.SMALL), 100) | dict.fromkeys((10, 11, 12), 10)
     (lines,) = [df for name, df in made if name == "paragraph-lines"]
     assert sorted(r.line for r in lines.collect()) == sorted({text for _, text in docs} - {own})
+
+
+@pytest.mark.parametrize("most", [10_000, 1])
+def test_large_classes_stay_spread(spark, most, monkeypatch):
+    monkeypatch.setattr(paragraphs, "HOT", 20)
+    monkeypatch.setattr(paragraphs, "MOST_HOT", most)
+    common, usual, few = line(40), line(45), line(50)
+    docs = [(i, "\n".join([common, line(60), *[usual] * (i % 2), line(60), *[few] * (i % 30 == 3)])) for i in range(90)]
+    found = paragraphs.repeats(spark.createDataFrame(docs, "doc_id long, text string").repartition(8))
+    got = {r.doc_id: r for r in found.collect()}
+    assert set(got) == set(range(90)) and {r.class_id for r in got.values()} == {0}
+    for i, text in docs:
+        keeps = {0: [common], 1: [usual], 3: [few]}.get(i, [])
+        gone = [p for p in (common, *[usual] * (i % 2), *[few] * (i % 30 == 3)) if p not in keeps]
+        assert got[i].removed == ",".join(f"{text.index(p)}:{text.index(p) + len(p)}" for p in gone)
+
+
+def test_a_large_class_is_not_dealt_to_one_task(spark):
+    n = 4 * paragraphs.HOT
+    held = spark.range(n, numPartitions=8).selectExpr("IF(id % 4 = 0, id, -1L) AS cls", "id AS place")
+    kept = held.groupBy("cls").agg(F.min("place").alias("first"), F.count("*").alias("n"))
+    size = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)  # as for tables too large to reach all tasks
+    try:
+        rows = paragraphs._with_first(held, kept)
+        got = [(*map(int, r),) for r in rows.select("cls", "place", "first", F.spark_partition_id()).collect()]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", size)
+    assert sorted(r[:3] for r in got) == sorted((i, i, i) if i % 4 == 0 else (-1, i, 1) for i in range(n))
+    tasks = [t for cls, _, _, t in got if cls == -1]
+    assert max(map(tasks.count, set(tasks))) < n / 4

@@ -50,6 +50,8 @@ ANCHOR, RUN = 25, 26
 SMALL = 32
 #: Paragraphs of a large bucket's block; two blocks are in memory at a time.
 BLOCK = 2048
+#: Classes of over `HOT` places, the largest `MOST_HOT` of them, reach all tasks, instead of all their places one task.
+HOT, MOST_HOT = 1000, 10_000
 #: Characters of texts read together, unless one text is longer, and words hashed together.
 STEP, WORDS = 1 << 20, 1 << 17
 FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
@@ -496,6 +498,13 @@ def _held(docs: DataFrame) -> DataFrame:
     return stage(held, "paragraph-places", "zstd")
 
 
+def _with_first(held: DataFrame, kept: DataFrame) -> DataFrame:
+    """The places of the classes kept (cls, first, n), with first; large classes stay spread as they are."""
+    hot = F.broadcast(kept.where(F.col("n") > HOT).orderBy(F.desc("n"), "cls").limit(MOST_HOT).select("cls", "first"))
+    rest = held.join(hot, "cls", "left_anti").join(kept.select("cls", "first"), "cls")
+    return held.join(hot, "cls").unionByName(rest)
+
+
 def repeats(docs: DataFrame) -> DataFrame:
     """One row for each document that holds a paragraph of a class of two or more.
 
@@ -510,9 +519,10 @@ def repeats(docs: DataFrame) -> DataFrame:
     """
     with _shuffles_freed(docs.sparkSession):
         held = _held(docs)
-    # repeated rows alone are one place
-    kept = held.groupBy("cls").agg(F.min("place").alias("first"), F.max("place").alias("last")).where("first != last")
-    held = held.join(kept, "cls").withColumn("gone", F.col("place") != F.col("first"))
+        # repeated rows alone are one place
+        kept = held.groupBy("cls").agg(F.min("place").alias("first"), F.max("place").alias("last"), F.count("*").alias("n")).where("first != last")
+        kept = stage(kept.select("cls", "first", "n"), "paragraph-kept", "zstd")
+    held = _with_first(held, kept).withColumn("gone", F.col("place") != F.col("first"))
     span = F.when(F.col("gone"), F.struct("start", "stop"))
     each = held.groupBy("doc_id", "h").agg(
         F.countDistinct("start", "stop").alias("n_repeated"),
