@@ -336,7 +336,9 @@ def test_large_classes_stay_spread(spark, most, monkeypatch):
     monkeypatch.setattr(paragraphs, "HOT", 20)
     monkeypatch.setattr(paragraphs, "MOST_HOT", most)
     common, usual, few = line(40), line(45), line(50)
-    docs = [(i, "\n".join([common, line(60), *[usual] * (i % 2), line(60), *[few] * (i % 30 == 3)])) for i in range(90)]
+    # own words next to what is shared, else a run over a line end may be equal by chance
+    own = [f"own{i} {line(60)} own{i}" for i in range(180)]
+    docs = [(i, "\n".join([common, own[i], *[usual] * (i % 2), own[90 + i], *[few] * (i % 30 == 3)])) for i in range(90)]
     found = paragraphs.repeats(spark.createDataFrame(docs, "doc_id long, text string").repartition(8))
     got = {r.doc_id: r for r in found.collect()}
     assert set(got) == set(range(90)) and {r.class_id for r in got.values()} == {0}
