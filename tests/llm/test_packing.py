@@ -51,6 +51,29 @@ def test_letters_before_punctuation(tokenizer):
         assert np.frombuffer(own.encode(text), own.kind).tolist() == coded.ids, text
 
 
+def test_added_tokens_in_capitals(tokenizer):
+    """Only the written form of an added token is one; other texts of the same batch are lower-cased and parted as ever."""
+    texts = ["a <|ENDOFTEXT|> b", "<|StartOfText|>x.<|startoftext|>", "<|endoftext|>.A,<|Endoftext|", "The end. The end, THE END"]
+    own = packing.Encoder(tokenizer_path())
+    assert [np.frombuffer(c, own.kind).tolist() for c in own.encode_all(texts)] == [ids_of(tokenizer, t)[:-1] for t in texts]
+
+
+def test_chunks_are_learned_once(tokenizer):
+    """A word is one chunk whatever its capitals and the punctuation after it."""
+    own = packing.Encoder(tokenizer_path())
+    text = "The cat, the CAT. cat; (the) cat.the"
+    assert np.frombuffer(own.encode(text), own.kind).tolist() == ids_of(tokenizer, text)[:-1]
+    assert set(own.new) == {"the", "cat", ",", ".", ";", "(the)"}
+
+
+def test_chunks_at_random(tokenizer):
+    pieces = [*"aZs9é'İΣ.,;:|#-<>=\u0301\u0338\u0307 \t\n\x0b\x0c\r\x1c\x85\xa0\u3000", "'s", "'RE", "H\u0331", "<|endoftext|>", "<|EndOfText|>", " ", " "]
+    texts = ["".join(R.choices(pieces, k=R.randrange(12))) for _ in range(5000)]
+    own = packing.Encoder(tokenizer_path())
+    for text, coded, ids in zip(texts, tokenizer.encode_batch(texts, add_special_tokens=False), own.encode_all(texts)):
+        assert np.frombuffer(ids, own.kind).tolist() == coded.ids, repr(text)
+
+
 def test_hilbert(monkeypatch):
     monkeypatch.setattr(packing, "BITS", 2)
     cells = np.array(list(itertools.product(range(4), repeat=4)), np.int64)

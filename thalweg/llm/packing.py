@@ -10,10 +10,12 @@ stream, so sequences run on across parts and only the very last one is padded.
 
 from __future__ import annotations
 
+import re
 import unicodedata
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from typing import TYPE_CHECKING
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +25,9 @@ from pyspark.sql.pandas.types import from_arrow_schema
 
 from thalweg.staging import stage
 
+if TYPE_CHECKING:
+    from tokenizers import Tokenizer
+
 LENGTH = 2048
 END_ID = 1
 #: Dimensions and bits of each on the curve, and the spread of means that its cells resolve best.
@@ -36,8 +41,11 @@ REMEMBERED, LONGEST = 600_000, 48
 TOGETHER = 1 << 21
 #: Characters that, at a chunk's end, are tokens apart from a letter or digit before them.
 _ENDS = ".,;:!?*$%&#|"
-#: White space to Python that isn't to the tokenizer.
-_ODD_SPACE = dict.fromkeys("\x1c\x1d\x1e\x1f")
+#: Bytes of UTF-8 by kind; chunks end at white space, and between an ASCII letter or digit and one of `_ENDS`.
+_ALNUM, _END, _SPACE = 1, 4, 16
+_SPACES = b"\t\n\v\f\r "
+_KINDS = bytes(_SPACE if i in _SPACES else _END if i in _ENDS.encode() else _ALNUM if i < 128 and chr(i).isalnum() else 0 for i in range(256))
+_GAP = re.compile("[\t\n\v\f\r ]")
 
 
 def _ends_apart(core: str) -> bool:
@@ -58,41 +66,53 @@ class Encoder:
     """Token ids (unsigned, 16 or 32 bits) of texts, by a `tokenizers` file.
 
     White space always parts tokens, so a text's ids are those of its chunks, and
-    the ids of recent chunks are remembered. Chunks of letters alone are learned without
-    offsets, by the tokens that end a word. Texts with rare control characters, where
-    the tokenizer and `str.split` part differently, go to it whole.
+    the ids of recent chunks are remembered. Arrow numbers the chunks of many texts; Python
+    sees each different one once, and their ids are dealt out by number. Chunks of letters
+    alone are learned without offsets, by the tokens that end a word.
     """
 
     def __init__(self, path: str, remembered: int | None = None) -> None:
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import WhitespaceSplit
 
         self.remembered = REMEMBERED if remembered is None else remembered
 
         self.tokenizer = Tokenizer.from_file(path)
+        # lower-case ASCII words are normalised already, and parted by white space alone
+        self.plain = Tokenizer(self.tokenizer.model)
+        self.plain.pre_tokenizer = WhitespaceSplit()
         self.kind = np.uint16 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else np.uint32
         suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
         self.ends = None  # which ids end a word, where the vocabulary marks that
         if suffix:
             self.ends = np.zeros(self.tokenizer.get_vocab_size(with_added_tokens=True), bool)
             self.ends[[i for t, i in self.tokenizer.get_vocab(with_added_tokens=False).items() if t.endswith(suffix)]] = True
+        # tokens that are told before anything is lower-cased or parted
+        self.added = [t.content.encode().lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.new: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
 
+    def _learn_words(self, tokenizer: Tokenizer, words: list[str]) -> None:
+        """Learn words of letters alone, if `tokenizer` makes as many words of them."""
+        if self.ends is None or not words:
+            return
+        joined = [" ".join(words[s : s + 512]) for s in range(0, len(words), 512)]
+        coded = tokenizer.encode_batch_fast(joined, add_special_tokens=False)
+        ids = np.concatenate([np.array(c.ids, self.kind) for c in coded])
+        cuts = np.flatnonzero(self.ends[ids]) + 1
+        if len(cuts) == len(words):
+            data, size = ids.tobytes(), ids.itemsize
+            cuts = [0, *(cuts * size).tolist()]
+            self.new.update((c, data[a:b]) for c, a, b in zip(words, cuts, cuts[1:]))
+
     def _learn(self, chunks: list[str]) -> None:
-        words = [c for c in chunks if _one_word(c)]
-        if self.ends is not None and words:
-            joined = [" ".join(words[s : s + 512]) for s in range(0, len(words), 512)]
-            coded = self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)
-            ids = np.concatenate([np.array(c.ids, self.kind) for c in coded])
-            cuts = np.flatnonzero(self.ends[ids]) + 1
-            if len(cuts) == len(words):
-                data, size = ids.tobytes(), ids.itemsize
-                cuts = [0, *(cuts * size).tolist()]
-                self.new.update((c, data[a:b]) for c, a, b in zip(words, cuts, cuts[1:]))
-                chunks = [c for c in chunks if c not in self.new]
+        plain = [c for c in chunks if c.isascii() and c.isalpha() and c.islower()]
+        self._learn_words(self.plain, plain)
+        self._learn_words(self.tokenizer, [c for c in chunks if c not in self.new and _one_word(c)])
+        chunks = [c for c in chunks if c not in self.new]
         for s in range(0, len(chunks), 2048):
             some = chunks[s : s + 2048]
             coded = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
@@ -105,10 +125,12 @@ class Encoder:
 
     def _add(self, unknown: set[str]) -> list[str]:
         """Learn these chunks; returns those too long to be remembered."""
+        self.new.update((c, self.old[c]) for c in unknown if c in self.old)
+        unknown = unknown.difference(self.new)
         if not unknown:
             return []
         long = {c: self._whole(c) for c in unknown if len(c) > LONGEST}
-        ended = {c: core for c in unknown if c not in long and (core := c.rstrip(_ENDS)) and core != c and _ends_apart(core)}
+        ended = {c: core for c in unknown if c[-1] in _ENDS and c not in long and (core := c.rstrip(_ENDS)) and _ends_apart(core)}
         wanted = {*unknown.difference(long, ended), *ended.values(), *(c[len(core) :] for c, core in ended.items())}
         wanted = {c for c in wanted if c not in self.new}
         self.new.update((c, self.old[c]) for c in wanted if c in self.old)
@@ -136,27 +158,52 @@ class Encoder:
                 size += len(text)
         return out + self._together(some)
 
+    def _chunks(self, texts: list[bytes]) -> tuple[pa.DictionaryArray, np.ndarray]:
+        """The chunks of all texts, one after the other, and the number of those before the end of each text."""
+        small = [t.lower() for t in texts]
+        asis = [any(a in t for a in self.added) for t in small]
+        raw = b"\n".join([*texts, b""])
+        lower = b"\n".join([*(t if o else s for t, s, o in zip(texts, small, asis)), b""])
+        lengths = [len(t) + 1 for t in texts]
+        kinds = np.frombuffer(raw.translate(_KINDS), np.uint8)
+        kept = kinds != _SPACE
+        first = kept.copy()
+        first[1:] &= ~kept[:-1]
+        ended = kinds[:-1] + kinds[1:] == _ALNUM + _END
+        if any(asis):
+            ended &= ~np.repeat(asis, lengths)[1:]
+        first[1:] |= ended
+        if not raw.isascii():  # a mark that follows may join a letter before that is lower-cased
+            was, now = np.frombuffer(raw, np.uint8), np.frombuffer(lower, np.uint8).copy()
+            joins = np.flatnonzero((was[1:] >= 0x80) & (was[:-1] != now[:-1]))
+            now[joins] = was[joins]
+            lower = now.tobytes()
+        offsets = np.append(np.flatnonzero(first[kept]), np.count_nonzero(kept))
+        buffers = [None, pa.py_buffer(offsets), pa.py_buffer(lower.translate(None, _SPACES))]
+        chunks = pa.Array.from_buffers(pa.large_utf8(), len(offsets) - 1, buffers).dictionary_encode()
+        return chunks, np.searchsorted(np.flatnonzero(first), np.cumsum(lengths))
+
     def _together(self, texts: list[str]) -> list[bytes]:
-        odd = [any(c in t for c in _ODD_SPACE) for t in texts]
-        chunks = [[] if o else (t.lower() if t.isascii() else t).split() for t, o in zip(texts, odd)]
-        long = self._add(set().union(*chunks).difference(self.new))
-        known = self.new.__getitem__
-        out = [self._whole(t) if o else b"".join(map(known, c)) for t, o, c in zip(texts, odd, chunks)]
+        if not texts:
+            return []
+        chunks, upto = self._chunks([t.encode() for t in texts])
+        names = chunks.dictionary.to_numpy(zero_copy_only=False).tolist()
+        long = self._add(set(names).difference(self.new))
+        known = pa.array([self.new[c] for c in names], pa.large_binary())
+        dealt = known.take(chunks.indices)
+        ids = dealt.buffers()[2]
+        cuts = np.frombuffer(dealt.buffers()[1], np.int64)[np.append(0, upto)].tolist()
         for c in long:
             del self.new[c]
         if len(self.new) > self.remembered:
             self.old, self.new = self.new, {}
-        return out
+        return [ids[a:b].to_pybytes() if a < b else b"" for a, b in zip(cuts, cuts[1:])]
 
     def _sliced(self, text: str) -> Iterator[bytes]:
-        if any(c in text for c in _ODD_SPACE):
-            yield self._whole(text)
-            return
         at = 0
         while at < len(text):
-            to = at + STEP
-            while to < len(text) and not text[to].isspace():
-                to += 1
+            gap = _GAP.search(text, at + STEP)
+            to = gap.start() if gap else len(text)
             yield self._together([text[at:to]])[0]
             at = to
 
