@@ -277,6 +277,7 @@ def tokenized(docs: DataFrame, path: str, remembered: int | None = None) -> Data
                 salt = np.array([zlib.crc32(c, (d or 0) & 0xFFFFFFFF) for c, d in zip(coded, b.column(0).slice(first, at - first).to_pylist())], np.int64)
                 cols = [b.column(0).slice(first, at - first), pa.array(place), pa.array(salt), pa.array(n), pa.array(coded, pa.binary())]
                 yield pa.RecordBatch.from_arrays(cols, ["doc_id", "place", "salt", "n", "ids"])
+            pa.default_memory_pool().release_unused()  # workers stay; what Arrow keeps would count with the next stage's
 
     kept = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return kept.mapInArrow(run, "doc_id long, place long, salt long, n long, ids binary")
